@@ -67,7 +67,8 @@ def _choose_exponent(sites: DataFrame, lat: str, lon: str, cell_deg: float | Non
         if not st["n"]:
             return None
         area = max((st["b"] - st["a"]) * (st["d"] - st["c"]), _MIN_CELL_DEG ** 2)
-        cell_deg = math.sqrt(area / st["n"])
+        # Fine cells at half the mean site spacing; search starts one level up.
+        cell_deg = math.sqrt(area / st["n"]) / 2
     elif sites.isEmpty():
         return None
     cell_deg = min(max(cell_deg, _MIN_CELL_DEG), 90.0)
@@ -110,43 +111,75 @@ def _guaranteed_radius(x0: Column, y0: Column, d0: float, level: int) -> Column:
     return F.least(lat_bound, lon_bound)
 
 
-def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Sequence[str]) -> DataFrame:
+def _cell_radius(y0: Column, d0: float) -> Column:
+    """Upper bound (km) on the distance from a fine cell's centre to any point of the cell.
+
+    For p in the cell |dlat|, |dlon| <= d0/2, so by the haversine formula
+    sin^2(d/2) <= sin^2(d0/4) * (1 + cos(lat_centre) * cos(lat_nearest_equator)).
+    """
+    lat_lo = y0 * F.lit(d0) - 90.0
+    lat_hi = lat_lo + d0
+    near = F.when((lat_lo <= 0) & (lat_hi >= 0), F.lit(0.0)).otherwise(F.least(F.abs(lat_lo), F.abs(lat_hi)))
+    centre = lat_lo + d0 / 2
+    s = math.sin(math.radians(d0) / 4) * F.sqrt(1 + F.cos(F.radians(centre)) * F.cos(F.radians(near)))
+    return 2 * EARTH_RADIUS_KM * F.asin(F.when(s > 1, F.lit(1.0)).otherwise(s))
+
+
+def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Sequence[str],
+                    start_level: int = 1, levels_per_job: int = 3) -> DataFrame:
     """Candidate sites per occupied cell: (``__x0``, ``__y0``, ``__cands`` array<struct>).
 
     ``cells`` holds distinct (``__x0``, ``__y0``) at the finest level;
     ``sites`` holds ``__slat``, ``__slon`` and the ``carry`` columns.
+
+    Levels are tried in batches of ``levels_per_job``; one job evaluates a
+    batch for every pending cell and keeps, per cell, the lowest level whose
+    block is sufficient. Its result is checkpointed and the next batch reads
+    the still-unresolved cells from it. Blocks are nested, so any sufficient
+    level yields the same candidate set (the sites with ``lb <= min ub``).
+    Candidates are collected only after pruning, so an array holds just the
+    sites that can be nearest somewhere in the cell.
     """
     d0 = 360.0 / (2 ** exponent)
-    radius = math.radians(d0) * EARTH_RADIUS_KM
     clat = (F.col("__y0") + 0.5) * F.lit(d0) - 90.0
     clon = (F.col("__x0") + 0.5) * F.lit(d0) - 180.0
     site_struct = F.struct(F.col("__slat"), F.col("__slon"), *[F.col(f"`{c}`") for c in carry])
+    cell = ["__x0", "__y0"]
 
+    top = exponent - 1  # level whose cells are 180 degrees: the block is the globe
     pending = materialize(cells)
     resolved_parts: list[DataFrame] = []
-    top = exponent - 1  # level whose cells are 180 degrees: the block is the globe
-    for level in range(0, top + 1):
-        if level > 0 and pending.isEmpty():
+    first = min(start_level, top)
+    for batch_start in range(first, top + 1, levels_per_job):
+        if resolved_parts and pending.isEmpty():
             break
-        blocks = _site_blocks(sites, d0 * (2 ** level))
-        pairs = (pending
-                 .withColumn("__bx", F.shiftright("__x0", level))
-                 .withColumn("__by", F.shiftright("__y0", level))
-                 .join(blocks, ["__bx", "__by"], "inner")
+        levels = range(batch_start, min(batch_start + levels_per_job, top + 1))
+        pairs = None
+        for level in levels:
+            part = (pending
+                    .withColumn("__bx", F.shiftright("__x0", level))
+                    .withColumn("__by", F.shiftright("__y0", level))
+                    .join(_site_blocks(sites, d0 * (2 ** level)), ["__bx", "__by"], "inner")
+                    .withColumn("__lvl", F.lit(level)))
+            pairs = part if pairs is None else pairs.unionByName(part)
+        pairs = (pairs.withColumn("__rc", _cell_radius(F.col("__y0"), d0))
                  .withColumn("__dc", haversine_km(clat, clon, F.col("__slat"), F.col("__slon"))))
-        bounds = (pairs.groupBy("__x0", "__y0")
-                  .agg(F.min(F.col("__dc") + radius).alias("__min_ub"))
-                  .withColumn("__g", _guaranteed_radius(F.col("__x0"), F.col("__y0"), d0, level)))
-        if level < top:
-            bounds = bounds.filter(F.col("__min_ub") + _EPS_KM < F.col("__g") - _EPS_KM)
-        done = (pairs.join(bounds.select("__x0", "__y0", "__min_ub"), ["__x0", "__y0"], "inner")
-                .filter(F.col("__dc") - radius <= F.col("__min_ub") + _EPS_KM)
-                .groupBy("__x0", "__y0")
-                .agg(F.collect_list(site_struct).alias("__cands")))
-        done = materialize(done)
-        resolved_parts.append(done)
-        if level < top:
-            pending = materialize(pending.join(done.select("__x0", "__y0"), ["__x0", "__y0"], "left_anti"))
+        bounds = pairs.groupBy(*cell, "__lvl").agg(F.min(F.col("__dc") + F.col("__rc")).alias("__min_ub"))
+        g = F.lit(float("inf"))
+        for level in levels:
+            if level < top:
+                g = F.when(F.col("__lvl") == level,
+                           _guaranteed_radius(F.col("__x0"), F.col("__y0"), d0, level)).otherwise(g)
+        chosen = (bounds.filter(F.col("__min_ub") + _EPS_KM < g - _EPS_KM)
+                  .groupBy(*cell).agg(F.min(F.struct("__lvl", "__min_ub")).alias("__pick"))
+                  .select(*cell, F.col("__pick.__lvl").alias("__lvl"), F.col("__pick.__min_ub").alias("__min_ub")))
+        cands = (pairs.join(chosen, [*cell, "__lvl"], "inner")
+                 .filter(F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM)
+                 .groupBy(*cell)
+                 .agg(F.collect_list(site_struct).alias("__cands")))
+        result = materialize(pending.join(cands, cell, "left"))
+        resolved_parts.append(result.filter(F.col("__cands").isNotNull()))
+        pending = result.filter(F.col("__cands").isNull()).select(*cell)
     out = resolved_parts[0]
     for p in resolved_parts[1:]:
         out = out.unionByName(p)
