@@ -7,10 +7,11 @@ convention), behind checks that keep each strategy safe at any scale:
 
 * ``broadcast`` only when the build side is proven small by a bounded row
   count (``limit(n+1).count()`` stops after n+1 rows); otherwise it falls back
-  to a shuffled hash join. Statistics estimates are never trusted for this.
+  to a sort-merge join, which spills rather than holding a large build side in
+  memory. Statistics estimates are never trusted for this.
 * ``shuffle_replicate_nl`` evaluates every pair, so it is honoured only when
   the pair count is proven below ``max_nl_pairs`` by bounded counts of both
-  sides; otherwise it falls back to a shuffled hash join. It is applied to
+  sides; otherwise it falls back to a sort-merge join. It is applied to
   inner joins only (Spark ignores it for semi joins).
 * ``merge`` / ``shuffle_hash`` shuffle both sides on the key; AQE's skew-join
   handling splits a hot key's partition on the streamed side.
@@ -57,8 +58,8 @@ def resolve_strategy(left: DataFrame, right: DataFrame, strategy: str, how: str
         if is_small(right, max_broadcast_rows):
             return "broadcast"
         if strategy == "broadcast":
-            log.warning("build side exceeds %d rows; using shuffle_hash instead of broadcast", max_broadcast_rows)
-            return "shuffle_hash"
+            log.warning("build side exceeds %d rows; using merge instead of broadcast", max_broadcast_rows)
+            return "merge"
         return "auto"
     if strategy == "shuffle_replicate_nl":
         if how != "inner":
@@ -69,8 +70,8 @@ def resolve_strategy(left: DataFrame, right: DataFrame, strategy: str, how: str
         n_left = bounded_count(left, max_nl_pairs // n_right if n_right <= max_nl_pairs else 0)
         if n_right <= max_nl_pairs and n_left * n_right <= max_nl_pairs:
             return strategy
-        log.warning("pair count above %d; using shuffle_hash instead of a nested loop", max_nl_pairs)
-        return "shuffle_hash"
+        log.warning("pair count above %d; using merge instead of a nested loop", max_nl_pairs)
+        return "merge"
     return strategy
 
 

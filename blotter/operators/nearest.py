@@ -22,8 +22,8 @@ That is rows x sites distance evaluations. Here the work is split in two:
    checkpointed, so the loop's lineage stays short and survives executor loss.
 
 2. **Points (big side).** One equi-join of points to their cell's candidate
-   array (broadcast when the candidate table is proven small, else a shuffle
-   join where AQE splits hot cells), then ``array_min`` over the few
+   array (broadcast when the candidate table is proven small, else a sort-merge
+   join where AQE's skew handling splits hot cells), then ``array_min`` over the few
    candidates' ``(distance, tie-break, ...)`` structs. Points are never
    shuffled by point key and never paired with sites outside their candidates.
 
@@ -222,7 +222,7 @@ class SiteGrid:
         cells = (self.assign_cells(cover.select(lat, lon), lat, lon)
                  .filter(F.col("__x0").isNotNull()).select("__x0", "__y0").distinct())
         cands = candidate_cells(cells, self.sites, self.exponent, self.carry)
-        return F.broadcast(cands) if is_small(cands, max_broadcast_rows) else cands.hint("shuffle_hash")
+        return F.broadcast(cands) if is_small(cands, max_broadcast_rows) else cands.hint("merge")
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, *, point_lat: str = "LAT", point_lon: str = "LON",

@@ -1 +1 @@
-
+"""Structured Streaming forms of the incident ingest and roll-ups."""

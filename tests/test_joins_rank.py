@@ -37,14 +37,14 @@ def test_strategy_plans_and_results_agree(spark, facts, dim, strategy):
 
 
 def test_broadcast_falls_back_when_build_side_too_big(spark, facts, dim):
-    assert joins.resolve_strategy(facts, dim, "broadcast", max_broadcast_rows=10) == "shuffle_hash"
+    assert joins.resolve_strategy(facts, dim, "broadcast", max_broadcast_rows=10) == "merge"
     assert joins.resolve_strategy(facts, dim, "broadcast", max_broadcast_rows=40) == "broadcast"
     assert joins.resolve_strategy(facts, dim, "auto", max_broadcast_rows=10) == "auto"
 
 
 def test_nested_loop_only_under_pair_bound(spark, facts, dim):
     assert joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", max_nl_pairs=100_000) == "shuffle_replicate_nl"
-    assert joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", max_nl_pairs=1_000) == "shuffle_hash"
+    assert joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", max_nl_pairs=1_000) == "merge"
     with pytest.raises(ValueError):
         joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", how="left_semi")
 
