@@ -38,7 +38,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import EARTH_RADIUS_KM, haversine_km, is_valid_coordinate
@@ -147,9 +147,10 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     cell = ["__x0", "__y0"]
 
     top = exponent - 1  # level whose cells are 180 degrees: the block is the globe
-    pending = materialize(cells)
+    pending = cells  # computed inside the first level job; later levels read checkpoints
     resolved_parts: list[DataFrame] = []
     first = min(start_level, top)
+    by_cell = Window.partitionBy(*cell)
     for batch_start in range(first, top + 1, levels_per_job):
         if resolved_parts and pending.isEmpty():
             break
@@ -162,19 +163,21 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
                     .join(_site_blocks(sites, d0 * (2 ** level)), ["__bx", "__by"], "inner")
                     .withColumn("__lvl", F.lit(level)))
             pairs = part if pairs is None else pairs.unionByName(part)
-        pairs = (pairs.withColumn("__rc", _cell_radius(F.col("__y0"), d0))
-                 .withColumn("__dc", haversine_km(clat, clon, F.col("__slat"), F.col("__slon"))))
-        bounds = pairs.groupBy(*cell, "__lvl").agg(F.min(F.col("__dc") + F.col("__rc")).alias("__min_ub"))
         g = F.lit(float("inf"))
         for level in levels:
             if level < top:
                 g = F.when(F.col("__lvl") == level,
                            _guaranteed_radius(F.col("__x0"), F.col("__y0"), d0, level)).otherwise(g)
-        chosen = (bounds.filter(F.col("__min_ub") + _EPS_KM < g - _EPS_KM)
-                  .groupBy(*cell).agg(F.min(F.struct("__lvl", "__min_ub")).alias("__pick"))
-                  .select(*cell, F.col("__pick.__lvl").alias("__lvl"), F.col("__pick.__min_ub").alias("__min_ub")))
-        cands = (pairs.join(chosen, [*cell, "__lvl"], "inner")
-                 .filter(F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM)
+        # One shuffle by cell; the windows and the final aggregate reuse its partitioning.
+        scored = (pairs.repartition(*cell)
+                  .withColumn("__rc", _cell_radius(F.col("__y0"), d0))
+                  .withColumn("__dc", haversine_km(clat, clon, F.col("__slat"), F.col("__slon")))
+                  .withColumn("__min_ub", F.min(F.col("__dc") + F.col("__rc"))
+                              .over(Window.partitionBy(*cell, "__lvl")))
+                  .withColumn("__ok", F.col("__min_ub") + _EPS_KM < g - _EPS_KM)
+                  .withColumn("__pick", F.min(F.when(F.col("__ok"), F.col("__lvl"))).over(by_cell)))
+        cands = (scored.filter((F.col("__lvl") == F.col("__pick"))
+                               & (F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM))
                  .groupBy(*cell)
                  .agg(F.collect_list(site_struct).alias("__cands")))
         result = materialize(pending.join(cands, cell, "left"))
