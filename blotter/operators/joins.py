@@ -34,6 +34,8 @@ STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_n
 # Row bound for a broadcast build side. A few million narrow rows stay well
 # under the default 8 GiB broadcast limit; callers with wide rows pass less.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Above this estimated size a side is treated as large without counting it.
+DEFAULT_OBVIOUSLY_LARGE_BYTES = 256 * 1024 ** 3
 # Pair bound for nested-loop strategies (every pair is evaluated).
 DEFAULT_MAX_NL_PAIRS = 50_000_000
 
@@ -43,8 +45,23 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Proof that ``df`` has at most ``max_rows`` rows."""
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an estimate, never used as a proof of smallness)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+             obviously_large_bytes: int = DEFAULT_OBVIOUSLY_LARGE_BYTES) -> bool:
+    """Proof that ``df`` has at most ``max_rows`` rows.
+
+    The proof is a bounded count. When Catalyst already estimates the input in
+    the hundreds of GiB the answer is "not small" without counting, so the
+    check never turns into a full scan of a big table; that shortcut can only
+    err toward a shuffle join, which is always correct.
+    """
+    if estimated_bytes(df) > obviously_large_bytes:
+        return False
     return bounded_count(df, max_rows) <= max_rows
 
 
@@ -64,6 +81,9 @@ def resolve_strategy(left: DataFrame, right: DataFrame, strategy: str, how: str
     if strategy == "shuffle_replicate_nl":
         if how != "inner":
             raise ValueError("shuffle_replicate_nl applies to inner joins only")
+        if max(estimated_bytes(left), estimated_bytes(right)) > DEFAULT_OBVIOUSLY_LARGE_BYTES:
+            log.warning("inputs estimated too large for a nested loop; using merge")
+            return "merge"
         n_right = bounded_count(right, max_nl_pairs)
         if n_right == 0:
             return strategy

@@ -39,11 +39,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset.
+    """Return the session's checkpoint folder, creating a local one only for local masters.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is. Only a session without it (a test run) gets a
-    fresh folder under /tmp.
+    folder and is used as is; a cluster session without it is an error, since
+    a machine-local folder would not survive the loss of an executor. Only a
+    local-mode session without the setting (a test run) gets a fresh folder
+    under /tmp.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS, object store) for this cluster")
         configured = tempfile.mkdtemp(prefix="blotter-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

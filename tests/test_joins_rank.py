@@ -93,3 +93,9 @@ def test_profile_operators(spark):
     assert rc == {"t": 2, "u": 1}
     rep = [tuple(r) for r in schema_report(df).collect()]
     assert rep == [(1, "a", "int", True, 2), (2, "b c", "string", True, 1)]
+
+
+def test_is_small_skips_count_for_obviously_large_inputs(spark, dim):
+    assert joins.estimated_bytes(dim) > 0
+    assert joins.is_small(dim, 100)
+    assert not joins.is_small(dim, 100, obviously_large_bytes=1)
