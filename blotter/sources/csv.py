@@ -86,10 +86,17 @@ def typed_select(df: DataFrame, schema: T.StructType,
     ])
 
 
-def read_incidents(spark: SparkSession, paths: str | Iterable[str], header: bool = True) -> DataFrame:
-    """Typed incident table from one or more period files."""
+def read_incidents(spark: SparkSession, paths: str | Iterable[str], header: bool = True,
+                   columns: Iterable[str] | None = None) -> DataFrame:
+    """Typed incident table from one or more period files.
+
+    ``columns`` narrows the result by *name* (the reference bound a five-field
+    schema by position, which mislabels columns of a wider file); the scan
+    then reads only those columns.
+    """
     raw = read_csv_strings(spark, paths, header=header, schema=None if header else schemas.INCIDENT)
-    return typed_select(raw, schemas.INCIDENT, schemas.TIMESTAMP_PATTERNS)
+    typed = typed_select(raw, schemas.INCIDENT, schemas.TIMESTAMP_PATTERNS)
+    return typed.select(*[F.col(f"`{c}`") for c in columns]) if columns is not None else typed
 
 
 def read_income(spark: SparkSession, path: str, header: bool = True) -> DataFrame:

@@ -135,3 +135,35 @@ def test_stations_on_fixtures(spark, files, incidents):
     near_sql = {r.division: r.crime_count for r in stations.nearest_by_division_sql(incidents, st).collect()}
     assert near == near_sql
     assert sum(near.values()) == 4 and "DELTA" not in near and "CHARLIE" not in near
+
+
+def test_narrow_read_by_name(spark, files):
+    cols = ["DR_NO", "Date Rptd", "DATE OCC", "AREA", "LAT"]
+    df = read_incidents(spark, files["a"], columns=cols)
+    assert df.columns == cols
+    row = df.filter(F.col("DR_NO") == 1).first()
+    assert row["AREA"] == 1 and row["LAT"] == 34.05
+
+
+def test_checkpoint_dir_required_off_local(spark, monkeypatch):
+    from blotter import session
+
+    class FakeSc:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class FakeConf:
+        def get(self, key, default=None):
+            return default
+
+    class FakeSpark:
+        sparkContext = FakeSc()
+        conf = FakeConf()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(FakeSpark())
