@@ -4,10 +4,11 @@ The reference pairs every incident with every station and keeps the closest.
 That is rows x sites distance evaluations. Here the work is split in two:
 
 1. **Candidate cells (small side).** Points are bucketed on a lat/lon grid of
-   cell size ``d0 = 360 / 2**k`` degrees. For each *occupied* cell (a distinct
-   set bounded by the grid, not by the row count) we find the sites that could
-   be nearest to *any* point of that cell, by looking in the 3x3 block of
-   cells around it on a pyramid of grids (``d0, 2*d0, 4*d0 .. 180``):
+   cell size ``d0 = 360 / 2**k`` degrees, k chosen from how densely sites
+   share cells. For each *occupied* cell (a distinct set bounded by the grid's
+   area, not by the row count) we find the sites that could be nearest to
+   *any* point of that cell, by looking in the 3x3 block of cells around it on
+   a pyramid of grids (``d0, 2*d0, 4*d0 .. 180``):
 
    * every site within the block gets bounds ``lb <= dist(p, site) <= ub`` for
      all points p of the cell (cell centre distance -/+ a rigorous cell radius);
@@ -18,8 +19,11 @@ That is rows x sites distance evaluations. Here the work is split in two:
      cell moves on to the next (coarser) level. The top level's block covers
      the whole globe, so every cell resolves and no site is ever capped away.
 
-   Each level works only on cells still unresolved, and each level's output is
-   checkpointed, so the loop's lineage stays short and survives executor loss.
+   Levels run in batches, one job per batch, on cells still unresolved; past
+   the first batch, nearby far-away cells are searched together as one coarser
+   unit, so a cell far from every site costs one pairing per unit, not per cell.
+   Each batch's output is checkpointed, so the loop's lineage stays short and
+   survives executor loss.
 
 2. **Points (big side).** One equi-join of points to their cell's candidate
    array (broadcast when the candidate table is proven small, else a sort-merge
@@ -48,6 +52,11 @@ from .joins import DEFAULT_MAX_BROADCAST_ROWS, is_small
 # Slack (km) on every bound comparison; far above haversine rounding error.
 _EPS_KM = 1e-7
 _MIN_CELL_DEG = 1e-4
+_MAX_EXPONENT = 22  # finest cell 360 / 2**22 degrees (about 10 m)
+_SHARE_RATIO = 1.25
+# Past the first batch of levels, the search unit at level l is the cell of level
+# l - _UNIT_LAG holding the fine cell, so far-away cells collapse into few units.
+_UNIT_LAG = 2
 
 
 def _cell_index(lat: Column, lon: Column, level_deg: float) -> tuple[Column, Column]:
@@ -60,19 +69,36 @@ def _cell_index(lat: Column, lon: Column, level_deg: float) -> tuple[Column, Col
 
 
 def _choose_exponent(sites: DataFrame, lat: str, lon: str, cell_deg: float | None) -> int | None:
-    """Grid exponent k (cell = 360 / 2**k degrees); None when there are no sites."""
-    if cell_deg is None:
-        st = sites.agg(F.count(F.lit(1)).alias("n"), F.min(lat).alias("a"), F.max(lat).alias("b"),
-                       F.min(lon).alias("c"), F.max(lon).alias("d")).first()
-        if not st["n"]:
+    """Grid exponent k (cell = 360 / 2**k degrees); None when there are no sites.
+
+    By default the finest cells are about half the spacing of sites *where
+    sites are*: one small aggregate counts (approximately) the distinct
+    occupied cells at every resolution (a 21-row result), and the finest resolution where sites
+    still share cells (``_SHARE_RATIO`` sites per occupied cell) sets the scale. Clustered sites thus
+    get fine cells inside their clusters, which a bounding-box spacing would
+    miss. Only speed depends on this choice, never the result.
+    """
+    if cell_deg is not None:
+        if sites.isEmpty():
             return None
-        area = max((st["b"] - st["a"]) * (st["d"] - st["c"]), _MIN_CELL_DEG ** 2)
-        # Fine cells at half the mean site spacing; search starts one level up.
-        cell_deg = math.sqrt(area / st["n"]) / 2
-    elif sites.isEmpty():
+        cell_deg = min(max(cell_deg, _MIN_CELL_DEG), 90.0)
+        return max(2, math.ceil(math.log2(360.0 / cell_deg)))
+    ks = list(range(2, _MAX_EXPONENT + 1))
+    # Finest cell once; coarser cells are its bit-shifted prefixes.
+    fx, fy = _cell_index(F.col(lat), F.col(lon), 360.0 / (2 ** _MAX_EXPONENT))
+    shift = F.explode(F.sequence(F.lit(0), F.lit(_MAX_EXPONENT - 2))).alias("s")
+    occupied = (sites.select(fx.alias("fx"), fy.alias("fy")).select("fx", "fy", shift)
+                .select((F.lit(_MAX_EXPONENT) - F.col("s")).alias("k"),
+                        F.expr("shiftleft(shiftright(fx, s), 32) + shiftright(fy, s)").alias("c"))
+                .groupBy("k").agg(F.approx_count_distinct("c", 0.02).alias("cells"),
+                                  F.count(F.lit(1)).alias("n")))
+    rows = occupied.collect()  # one row per resolution (21 rows)
+    if not rows:
         return None
-    cell_deg = min(max(cell_deg, _MIN_CELL_DEG), 90.0)
-    return max(2, math.ceil(math.log2(360.0 / cell_deg)))
+    cells_at = {r["k"]: r["cells"] for r in rows}
+    n = rows[0]["n"]
+    shared = [k for k in ks if n >= _SHARE_RATIO * cells_at[k]]
+    return min(_MAX_EXPONENT, (max(shared) if shared else 2) + 2)
 
 
 def _site_blocks(sites: DataFrame, level_deg: float) -> DataFrame:
@@ -132,17 +158,19 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     ``cells`` holds distinct (``__x0``, ``__y0``) at the finest level;
     ``sites`` holds ``__slat``, ``__slon`` and the ``carry`` columns.
 
-    Levels are tried in batches of ``levels_per_job``; one job evaluates a
-    batch for every pending cell and keeps, per cell, the lowest level whose
-    block is sufficient. Its result is checkpointed and the next batch reads
-    the still-unresolved cells from it. Blocks are nested, so any sufficient
-    level yields the same candidate set (the sites with ``lb <= min ub``).
-    Candidates are collected only after pruning, so an array holds just the
-    sites that can be nearest somewhere in the cell.
+    Levels are tried in batches of ``levels_per_job``. In the first batch the
+    search unit is the fine cell. Beyond it, at level l, the unit is the level
+    ``l - 2`` cell holding the fine cell, so cells far from every site, which
+    climb to coarse levels, share few units and pair with each site once per
+    unit. A unit resolves
+    when its best upper bound beats the guaranteed radius of its level-l
+    block; its candidates (block sites with ``lb <= min ub``) are exact for
+    every fine cell inside it. One job evaluates a batch and keeps, per fine
+    cell, the candidates of its lowest resolved level; the result is
+    checkpointed and the next batch reads the unresolved cells from it.
+    Candidates are collected only after pruning.
     """
     d0 = 360.0 / (2 ** exponent)
-    clat = (F.col("__y0") + 0.5) * F.lit(d0) - 90.0
-    clon = (F.col("__x0") + 0.5) * F.lit(d0) - 180.0
     site_struct = F.struct(F.col("__slat"), F.col("__slon"), *[F.col(f"`{c}`") for c in carry])
     cell = ["__x0", "__y0"]
 
@@ -150,36 +178,50 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     pending = cells  # computed inside the first level job; later levels read checkpoints
     resolved_parts: list[DataFrame] = []
     first = min(start_level, top)
-    by_cell = Window.partitionBy(*cell)
     for batch_start in range(first, top + 1, levels_per_job):
         if resolved_parts and pending.isEmpty():
             break
-        levels = range(batch_start, min(batch_start + levels_per_job, top + 1))
-        pairs = None
-        for level in levels:
-            part = (pending
-                    .withColumn("__bx", F.shiftright("__x0", level))
-                    .withColumn("__by", F.shiftright("__y0", level))
-                    .join(_site_blocks(sites, d0 * (2 ** level)), ["__bx", "__by"], "inner")
-                    .withColumn("__lvl", F.lit(level)))
-            pairs = part if pairs is None else pairs.unionByName(part)
-        g = F.lit(float("inf"))
+        levels = list(range(batch_start, min(batch_start + levels_per_job, top + 1)))
+        identity = batch_start == first  # first batch: every unit is a fine cell
+        ux, uy = ("__x0", "__y0") if identity else ("__ux", "__uy")
+        unit = ["__lvl", ux, uy]
+        fine_to_unit = None
+        unit_frames = []
         for level in levels:
-            if level < top:
-                g = F.when(F.col("__lvl") == level,
-                           _guaranteed_radius(F.col("__x0"), F.col("__y0"), d0, level)).otherwise(g)
-        # One shuffle by cell; the windows and the final aggregate reuse its partitioning.
-        scored = (pairs.repartition(*cell)
-                  .withColumn("__rc", _cell_radius(F.col("__y0"), d0))
-                  .withColumn("__dc", haversine_km(clat, clon, F.col("__slat"), F.col("__slon")))
-                  .withColumn("__min_ub", F.min(F.col("__dc") + F.col("__rc"))
-                              .over(Window.partitionBy(*cell, "__lvl")))
-                  .withColumn("__ok", F.col("__min_ub") + _EPS_KM < g - _EPS_KM)
-                  .withColumn("__pick", F.min(F.when(F.col("__ok"), F.col("__lvl"))).over(by_cell)))
-        cands = (scored.filter((F.col("__lvl") == F.col("__pick"))
-                               & (F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM))
-                 .groupBy(*cell)
-                 .agg(F.collect_list(site_struct).alias("__cands")))
+            lag = level if identity else min(level, _UNIT_LAG)
+            du = d0 * (2 ** (level - lag))  # unit cell size
+            if identity:
+                units = pending.select(F.lit(level).alias("__lvl"), *cell)
+            else:
+                mapping = pending.select(*cell, F.lit(level).alias("__lvl"),
+                                         F.shiftright("__x0", level - lag).alias(ux),
+                                         F.shiftright("__y0", level - lag).alias(uy))
+                fine_to_unit = mapping if fine_to_unit is None else fine_to_unit.unionByName(mapping)
+                units = mapping.select(*unit).distinct()
+            ulat = (F.col(uy) + 0.5) * F.lit(du) - 90.0
+            ulon = (F.col(ux) + 0.5) * F.lit(du) - 180.0
+            g = _guaranteed_radius(F.col(ux), F.col(uy), du, lag) if level < top else F.lit(float("inf"))
+            unit_frames.append(
+                units
+                .withColumn("__bx", F.shiftright(ux, lag))
+                .withColumn("__by", F.shiftright(uy, lag))
+                .join(_site_blocks(sites, d0 * (2 ** level)), ["__bx", "__by"], "inner")
+                .withColumn("__rc", _cell_radius(F.col(uy), du))
+                .withColumn("__dc", haversine_km(ulat, ulon, F.col("__slat"), F.col("__slon")))
+                .withColumn("__g", g))
+        pairs = unit_frames[0]
+        for f in unit_frames[1:]:
+            pairs = pairs.unionByName(f)
+        # One shuffle by unit cell (by fine cell in the first batch); the window and
+        # the aggregates reuse its partitioning.
+        scored = (pairs.repartition(ux, uy)
+                  .withColumn("__min_ub", F.min(F.col("__dc") + F.col("__rc")).over(Window.partitionBy(*unit))))
+        unit_cands = (scored.filter((F.col("__min_ub") + _EPS_KM < F.col("__g") - _EPS_KM)
+                                    & (F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM))
+                      .groupBy(*unit)
+                      .agg(F.collect_list(site_struct).alias("__cands")))
+        per_fine = unit_cands if identity else fine_to_unit.join(unit_cands, unit, "inner")
+        cands = per_fine.groupBy(*cell).agg(F.min_by("__cands", "__lvl").alias("__cands"))
         result = materialize(pending.join(cands, cell, "left"))
         resolved_parts.append(result.filter(F.col("__cands").isNotNull()))
         pending = result.filter(F.col("__cands").isNull()).select(*cell)
