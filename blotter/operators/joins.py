@@ -95,6 +95,11 @@ def resolve_strategy(left: DataFrame, right: DataFrame, strategy: str, how: str
     return strategy
 
 
+def sql_hint(df: DataFrame, alias: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> str:
+    """A SQL join hint for relation ``alias``: BROADCAST when ``df`` is proven small, else MERGE."""
+    return f"/*+ {'BROADCAST' if is_small(df, max_rows) else 'MERGE'}({alias}) */"
+
+
 def hinted(df: DataFrame, strategy: str) -> DataFrame:
     """``df`` with the join hint for ``strategy`` (``auto``: none)."""
     return df if strategy == "auto" else df.hint(strategy)

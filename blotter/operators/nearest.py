@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import EARTH_RADIUS_KM, haversine_km, is_valid_coordinate
 from ..session import materialize
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, is_small
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, hinted, is_small
 
 # Slack (km) on every bound comparison; far above haversine rounding error.
 _EPS_KM = 1e-7
@@ -171,6 +171,8 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     Candidates are collected only after pruning.
     """
     d0 = 360.0 / (2 ** exponent)
+    # Site blocks are 9 rows per site: broadcast them only under a proven bound.
+    block_strategy = "broadcast" if is_small(sites, DEFAULT_MAX_BROADCAST_ROWS // 9) else "merge"
     site_struct = F.struct(F.col("__slat"), F.col("__slon"), *[F.col(f"`{c}`") for c in carry])
     cell = ["__x0", "__y0"]
 
@@ -205,7 +207,7 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
                 units
                 .withColumn("__bx", F.shiftright(ux, lag))
                 .withColumn("__by", F.shiftright(uy, lag))
-                .join(_site_blocks(sites, d0 * (2 ** level)), ["__bx", "__by"], "inner")
+                .join(hinted(_site_blocks(sites, d0 * (2 ** level)), block_strategy), ["__bx", "__by"], "inner")
                 .withColumn("__rc", _cell_radius(F.col(uy), du))
                 .withColumn("__dc", haversine_km(ulat, ulon, F.col("__slat"), F.col("__slon")))
                 .withColumn("__g", g))
@@ -261,12 +263,16 @@ class SiteGrid:
         x0, y0 = _cell_index(la, lo, self.cell_deg)
         return df.withColumns({"__x0": F.when(ok, x0), "__y0": F.when(ok, y0)})
 
-    def candidates(self, cover: DataFrame, lat: str, lon: str,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-        """Candidate table for the cells that ``cover``'s coordinates occupy, join-hinted by size."""
+    def candidate_table(self, cover: DataFrame, lat: str, lon: str) -> DataFrame:
+        """Checkpointed candidate table for the cells that ``cover``'s coordinates occupy."""
         cells = (self.assign_cells(cover.select(lat, lon), lat, lon)
                  .filter(F.col("__x0").isNotNull()).select("__x0", "__y0").distinct())
-        cands = candidate_cells(cells, self.sites, self.exponent, self.carry)
+        return candidate_cells(cells, self.sites, self.exponent, self.carry)
+
+    def candidates(self, cover: DataFrame, lat: str, lon: str,
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+        """Candidate table, hinted broadcast only when a bounded count proves it small."""
+        cands = self.candidate_table(cover, lat, lon)
         return F.broadcast(cands) if is_small(cands, max_broadcast_rows) else cands.hint("merge")
 
 

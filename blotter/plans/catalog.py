@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_with_strategy
 from ..sources import tables as tb
 from ..sources.periods import union_periods
 from . import descent, ingest, months, part_of_day, stations
@@ -67,7 +68,7 @@ def _income_with_missing_zips(spark: SparkSession, sf: str) -> DataFrame:
     """Income rows whose ZIP is unknown (NULL) where the balance is negative."""
     inc = _income(spark, sf)
     bal = tb.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("Zip Code"), "s_acctbal")
-    joined = inc.join(bal, "Zip Code")
+    joined = join_with_strategy(inc, bal, "Zip Code")
     return joined.withColumn("Zip Code", F.when(F.col("s_acctbal") >= 0, F.col("`Zip Code`")))
 
 

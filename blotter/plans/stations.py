@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import haversine_km
 from ..functions.sql import register_sql_functions
 from ..operators.filters import drop_missing, in_range
-from ..operators.joins import join_with_strategy
+from ..operators.joins import join_with_strategy, sql_hint
 from ..operators.nearest import SiteGrid, candidate_rows, nearest_site
 from ..operators.rank import top_k_per_group
 
@@ -96,7 +96,8 @@ def responsible_by_year_sql(incidents: DataFrame, stations: DataFrame) -> DataFr
         WITH filtered AS (
             SELECT * FROM {v['crimes']} WHERE `{WEAPON}` BETWEEN :lo AND :hi
         ), joined AS (
-            SELECT year(f.`{DATE}`) AS year, haversine_km(f.LAT, f.LON, p.Y, p.X) AS distance
+            SELECT {sql_hint(stations, 'p')} year(f.`{DATE}`) AS year,
+                   haversine_km(f.LAT, f.LON, p.Y, p.X) AS distance
             FROM {v['stations']} p JOIN filtered f ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
         )
         SELECT year, ROUND(AVG(distance), {DIGITS}) AS mean_distance, COUNT(year) AS crime_count
@@ -112,7 +113,8 @@ def responsible_by_division_sql(incidents: DataFrame, stations: DataFrame) -> Da
         WITH filtered AS (
             SELECT * FROM {v['crimes']} WHERE `{WEAPON}` IS NOT NULL
         ), joined AS (
-            SELECT p.DIVISION AS division, haversine_km(f.LAT, f.LON, p.Y, p.X) AS distance
+            SELECT {sql_hint(stations, 'p')} p.DIVISION AS division,
+                   haversine_km(f.LAT, f.LON, p.Y, p.X) AS distance
             FROM {v['stations']} p JOIN filtered f ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
         )
         SELECT division, ROUND(AVG(distance), {DIGITS}) AS mean_distance, COUNT(division) AS crime_count
@@ -125,7 +127,7 @@ def responsible_distances_sql(incidents: DataFrame, stations: DataFrame) -> Data
     register_sql_functions(spark)
     v = _sql_views(crimes=incidents, stations=stations)
     return spark.sql(f"""
-        SELECT f.{KEY} AS dr_no, p.DIVISION AS division,
+        SELECT {sql_hint(stations, 'p')} f.{KEY} AS dr_no, p.DIVISION AS division,
                ROUND(haversine_km(f.LAT, f.LON, p.Y, p.X), {DIGITS}) AS distance
         FROM {v['crimes']} f JOIN {v['stations']} p ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
     """)
@@ -161,26 +163,26 @@ def nearest_by_division(incidents: DataFrame, stations: DataFrame, cover: DataFr
 
 
 def _nearest_sql_inputs(incidents: DataFrame, stations: DataFrame, cover: DataFrame | None,
-                        cols: Sequence[str]) -> tuple[dict[str, str], bool]:
+                        cols: Sequence[str]) -> tuple[dict[str, str], str]:
     grid = SiteGrid.build(_usable_stations(stations), "Y", "X", ["DIVISION"])
     if grid.exponent is None:
         empty = stations.sparkSession.createDataFrame([], "__x0 bigint, __y0 bigint, __slat double, "
                                                           "__slon double, DIVISION string")
         pts = incidents.select(*cols).withColumns({"__x0": F.lit(None).cast("bigint"),
                                                     "__y0": F.lit(None).cast("bigint")})
-        return _sql_views(points=pts, cands=empty), False
+        return _sql_views(points=pts, cands=empty), ""
     pts = grid.assign_cells(incidents.select(*cols), "LAT", "LON")
-    cands = candidate_rows(grid.candidates(cover if cover is not None else incidents, "LAT", "LON"))
-    return _sql_views(points=pts, cands=F.broadcast(cands)), True
+    cands = candidate_rows(grid.candidate_table(cover if cover is not None else incidents, "LAT", "LON"))
+    return _sql_views(points=pts, cands=cands), sql_hint(cands, "c")
 
 
 def nearest_by_year_sql(incidents: DataFrame, stations: DataFrame, cover: DataFrame | None = None) -> DataFrame:
     spark = incidents.sparkSession
     register_sql_functions(spark)
-    v, _ = _nearest_sql_inputs(firearm(incidents), stations, cover, [KEY, DATE, "LAT", "LON"])
+    v, hint = _nearest_sql_inputs(firearm(incidents), stations, cover, [KEY, DATE, "LAT", "LON"])
     return spark.sql(f"""
         WITH pairs AS (
-            SELECT p.{KEY}, year(p.`{DATE}`) AS year,
+            SELECT {hint} p.{KEY}, year(p.`{DATE}`) AS year,
                    haversine_km(p.LAT, p.LON, c.__slat, c.__slon) AS distance
             FROM {v['points']} p LEFT JOIN {v['cands']} c ON p.__x0 = c.__x0 AND p.__y0 = c.__y0
         ), per_key AS (
@@ -195,10 +197,10 @@ def nearest_by_division_sql(incidents: DataFrame, stations: DataFrame,
                             cover: DataFrame | None = None) -> DataFrame:
     spark = incidents.sparkSession
     register_sql_functions(spark)
-    v, _ = _nearest_sql_inputs(any_weapon(incidents), stations, cover, [KEY, "LAT", "LON"])
+    v, hint = _nearest_sql_inputs(any_weapon(incidents), stations, cover, [KEY, "LAT", "LON"])
     return spark.sql(f"""
         WITH pairs AS (
-            SELECT p.{KEY}, c.DIVISION AS division,
+            SELECT {hint} p.{KEY}, c.DIVISION AS division,
                    haversine_km(p.LAT, p.LON, c.__slat, c.__slon) AS distance
             FROM {v['points']} p LEFT JOIN {v['cands']} c ON p.__x0 = c.__x0 AND p.__y0 = c.__y0
         ), ranked AS (

@@ -29,6 +29,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # No broadcast from plan estimates; AQE may still broadcast a side whose
+        # *measured* shuffle output is small. Library joins carry proof-based hints.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
