@@ -67,12 +67,17 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 
 def resolve_strategy(left: DataFrame, right: DataFrame, strategy: str, how: str = "inner",
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS) -> str:
-    """The strategy actually used after the safety checks."""
+                     max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS, right_max_rows: int | None = None) -> str:
+    """The strategy actually used after the safety checks.
+
+    ``right_max_rows`` is a bound the caller holds by construction (e.g. the
+    output of ordered limits); it stands in for the bounded count.
+    """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose from {STRATEGIES}")
     if strategy in ("broadcast", "auto"):
-        if is_small(right, max_broadcast_rows):
+        proven = right_max_rows is not None and right_max_rows <= max_broadcast_rows
+        if proven or is_small(right, max_broadcast_rows):
             return "broadcast"
         if strategy == "broadcast":
             log.warning("build side exceeds %d rows; using merge instead of broadcast", max_broadcast_rows)
@@ -108,9 +113,9 @@ def hinted(df: DataFrame, strategy: str) -> DataFrame:
 def join_with_strategy(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column,
                        how: str = "inner", strategy: str = "auto",
                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS) -> DataFrame:
+                       max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS, right_max_rows: int | None = None) -> DataFrame:
     """``left.join(right, on, how)`` with ``right`` as the hinted build side."""
-    used = resolve_strategy(left, right, strategy, how, max_broadcast_rows, max_nl_pairs)
+    used = resolve_strategy(left, right, strategy, how, max_broadcast_rows, max_nl_pairs, right_max_rows)
     return left.join(hinted(right, used), on, how)
 
 
@@ -118,7 +123,7 @@ def restrict_by_dimension(facts: DataFrame, lookup: DataFrame, dims: DataFrame,
                           lookup_dim_key: str, dim_key: str, fact_keys: Sequence[str],
                           strategy: str = "auto",
                           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                          max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS) -> DataFrame:
+                          max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS, dims_max_rows: int | None = None) -> DataFrame:
     """Facts whose ``fact_keys`` appear in ``lookup`` rows that point at ``dims``.
 
     Three steps: ``lookup`` joined to the selected ``dims`` (inner, on
@@ -129,12 +134,13 @@ def restrict_by_dimension(facts: DataFrame, lookup: DataFrame, dims: DataFrame,
 
     The restricted key set is checkpointed: it is size-checked and then reused
     by the final join, and a lost executor does not recompute it.
+    ``dims_max_rows`` passes a size bound of ``dims`` known by construction.
     """
     from ..session import materialize
 
     dim_keys = dims.select(F.col(dim_key).alias("__dim_key")).distinct()
     joined = join_with_strategy(lookup, dim_keys, F.col(lookup_dim_key) == F.col("__dim_key"),
-                                "inner", strategy, max_broadcast_rows, max_nl_pairs)
+                                "inner", strategy, max_broadcast_rows, max_nl_pairs, dims_max_rows)
     keys = materialize(joined.select(*fact_keys).distinct())
     if strategy == "shuffle_replicate_nl":
         used = resolve_strategy(facts, keys, strategy, "inner", max_broadcast_rows, max_nl_pairs)

@@ -47,8 +47,9 @@ def dim_restricted_counts(facts: DataFrame, revgeo: DataFrame, income: DataFrame
     year_facts = facts.filter(F.col(f"`{code_col}`").isNotNull()
                               & year_equals(F.col(f"`{date_col}`"), year, date_type))
     zips = income_extremes(income, k, exclude_zips).select(ZIP)
+    # Two ordered limits of k rows: at most 2k ZIPs by construction.
     restricted = restrict_by_dimension(year_facts, revgeo, zips, lookup_dim_key="ZIPcode", dim_key=ZIP,
-                                       fact_keys=["LAT", "LON"], strategy=strategy)
+                                       fact_keys=["LAT", "LON"], strategy=strategy, dims_max_rows=2 * k)
     return (restricted.groupBy(code_label(F.col(f"`{code_col}`"), labels).alias("descent"))
             .agg(F.count(F.lit(1)).alias("victim_count"))
             .orderBy(F.desc("victim_count"), F.asc("descent")))
