@@ -68,8 +68,10 @@ def _cell_index(lat: Column, lon: Column, level_deg: float) -> tuple[Column, Col
     return x.cast("bigint"), y.cast("bigint")
 
 
-def _choose_exponent(sites: DataFrame, lat: str, lon: str, cell_deg: float | None) -> int | None:
-    """Grid exponent k (cell = 360 / 2**k degrees); None when there are no sites.
+def _choose_exponent(sites: DataFrame, lat: str, lon: str, cell_deg: float | None) -> tuple[int | None, int | None]:
+    """Grid exponent k (cell = 360 / 2**k degrees) and the exact site count when it was counted.
+
+    The exponent is None when there are no sites.
 
     By default the finest cells are about half the spacing of sites *where
     sites are*: one small aggregate counts (approximately) the distinct
@@ -80,9 +82,9 @@ def _choose_exponent(sites: DataFrame, lat: str, lon: str, cell_deg: float | Non
     """
     if cell_deg is not None:
         if sites.isEmpty():
-            return None
+            return None, 0
         cell_deg = min(max(cell_deg, _MIN_CELL_DEG), 90.0)
-        return max(2, math.ceil(math.log2(360.0 / cell_deg)))
+        return max(2, math.ceil(math.log2(360.0 / cell_deg))), None
     ks = list(range(2, _MAX_EXPONENT + 1))
     # Finest cell once; coarser cells are its bit-shifted prefixes.
     fx, fy = _cell_index(F.col(lat), F.col(lon), 360.0 / (2 ** _MAX_EXPONENT))
@@ -94,11 +96,11 @@ def _choose_exponent(sites: DataFrame, lat: str, lon: str, cell_deg: float | Non
                                   F.count(F.lit(1)).alias("n")))
     rows = occupied.collect()  # one row per resolution (21 rows)
     if not rows:
-        return None
+        return None, 0
     cells_at = {r["k"]: r["cells"] for r in rows}
     n = rows[0]["n"]
     shared = [k for k in ks if n >= _SHARE_RATIO * cells_at[k]]
-    return min(_MAX_EXPONENT, (max(shared) if shared else 2) + 2)
+    return min(_MAX_EXPONENT, (max(shared) if shared else 2) + 2), n
 
 
 def _site_blocks(sites: DataFrame, level_deg: float) -> DataFrame:
@@ -152,7 +154,7 @@ def _cell_radius(y0: Column, d0: float) -> Column:
 
 
 def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Sequence[str],
-                    start_level: int = 1, levels_per_job: int = 3) -> DataFrame:
+                    start_level: int = 1, levels_per_job: int = 3, site_count: int | None = None) -> DataFrame:
     """Candidate sites per occupied cell: (``__x0``, ``__y0``, ``__cands`` array<struct>).
 
     ``cells`` holds distinct (``__x0``, ``__y0``) at the finest level;
@@ -171,8 +173,11 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     Candidates are collected only after pruning.
     """
     d0 = 360.0 / (2 ** exponent)
-    # Site blocks are 9 rows per site: broadcast them only under a proven bound.
-    block_strategy = "broadcast" if is_small(sites, DEFAULT_MAX_BROADCAST_ROWS // 9) else "merge"
+    # Site blocks are 9 rows per site: broadcast them only under a proven bound
+    # (the exact count from choosing the grid, else a bounded count).
+    bound = DEFAULT_MAX_BROADCAST_ROWS // 9
+    small = site_count <= bound if site_count is not None else is_small(sites, bound)
+    block_strategy = "broadcast" if small else "merge"
     site_struct = F.struct(F.col("__slat"), F.col("__slon"), *[F.col(f"`{c}`") for c in carry])
     cell = ["__x0", "__y0"]
 
@@ -240,6 +245,7 @@ class SiteGrid:
     sites: DataFrame
     exponent: int | None
     carry: list[str]
+    site_count: int | None = None
 
     @classmethod
     def build(cls, sites: DataFrame, site_lat: str, site_lon: str, carry: Sequence[str],
@@ -250,7 +256,8 @@ class SiteGrid:
                  .select(F.col(f"`{site_lat}`").cast("double").alias("__slat"),
                          F.col(f"`{site_lon}`").cast("double").alias("__slon"),
                          *[F.col(f"`{c}`") for c in carry]))
-        return cls(valid, _choose_exponent(valid.select("__slat", "__slon"), "__slat", "__slon", cell_deg), carry)
+        exponent, count = _choose_exponent(valid.select("__slat", "__slon"), "__slat", "__slon", cell_deg)
+        return cls(valid, exponent, carry, count)
 
     @property
     def cell_deg(self) -> float:
@@ -267,7 +274,7 @@ class SiteGrid:
         """Checkpointed candidate table for the cells that ``cover``'s coordinates occupy."""
         cells = (self.assign_cells(cover.select(lat, lon), lat, lon)
                  .filter(F.col("__x0").isNotNull()).select("__x0", "__y0").distinct())
-        return candidate_cells(cells, self.sites, self.exponent, self.carry)
+        return candidate_cells(cells, self.sites, self.exponent, self.carry, site_count=self.site_count)
 
     def candidates(self, cover: DataFrame, lat: str, lon: str,
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
