@@ -287,9 +287,13 @@ def nearest_site(points: DataFrame, sites: DataFrame, *, point_lat: str = "LAT",
                  site_lat: str = "Y", site_lon: str = "X", site_cols: Sequence[str] = ("DIVISION",),
                  tie_break: Sequence[str] | None = None, distance_col: str = "distance",
                  cell_deg: float | None = None, cover: DataFrame | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, when_no_sites: str = "null") -> DataFrame:
     """``points`` plus the nearest site's ``site_cols`` and the distance in km.
 
+    When no site has usable coordinates, ``when_no_sites="null"`` keeps every
+    point with NULL site columns, and ``"drop"`` returns no rows (the result a
+    pairing of every point with every site would give).
+
     ``tie_break`` (default ``site_cols``) orders sites at equal distance.
     ``cell_deg`` sets the finest grid cell; by default it is derived from the
     sites' extent and count (about one site per cell). ``cover`` optionally
@@ -304,8 +308,9 @@ def nearest_site(points: DataFrame, sites: DataFrame, *, point_lat: str = "LAT",
     grid = SiteGrid.build(sites, site_lat, site_lon, [*tie_break, *site_cols], cell_deg)
     if grid.exponent is None:
         types = dict((f.name, f.dataType) for f in grid.sites.schema)
-        return points.withColumns({c: F.lit(None).cast(types[c]) for c in site_cols}
-                                  | {distance_col: F.lit(None).cast("double")})
+        out = points.withColumns({c: F.lit(None).cast(types[c]) for c in site_cols}
+                                 | {distance_col: F.lit(None).cast("double")})
+        return out.filter(F.lit(False)) if when_no_sites == "drop" else out
 
     keyed = grid.assign_cells(points, point_lat, point_lon)
     cands = grid.candidates(cover if cover is not None else points, point_lat, point_lon, max_broadcast_rows)

@@ -143,10 +143,12 @@ def nearest_per_key(incidents: DataFrame, stations: DataFrame, cover: DataFrame
     """One row per incident key: (key, year, division, distance) of its nearest station.
 
     A key with several rows keeps its closest pair (ties by division), as the
-    reference's rank-per-key does; NULL distances rank last.
+    reference's rank-per-key does; NULL distances rank last. Incidents without
+    usable coordinates keep a NULL station; with no usable station at all the
+    result is empty, as pairing every incident with every station gives.
     """
     near = nearest_site(incidents.select(KEY, DATE, "LAT", "LON"), _usable_stations(stations),
-                        site_cols=["DIVISION"], cover=cover)
+                        site_cols=["DIVISION"], cover=cover, when_no_sites="drop")
     ranked = top_k_per_group(near, [KEY], [F.asc_nulls_last("distance"), F.asc_nulls_last("DIVISION")], 1,
                              rank_col="__rank")
     return ranked.select(KEY, F.year(_q(DATE)).alias("year"), F.col("DIVISION").alias("division"), "distance")
@@ -169,7 +171,7 @@ def _nearest_sql_inputs(incidents: DataFrame, stations: DataFrame, cover: DataFr
         empty = stations.sparkSession.createDataFrame([], "__x0 bigint, __y0 bigint, __slat double, "
                                                           "__slon double, DIVISION string")
         pts = incidents.select(*cols).withColumns({"__x0": F.lit(None).cast("bigint"),
-                                                    "__y0": F.lit(None).cast("bigint")})
+                                                    "__y0": F.lit(None).cast("bigint")}).filter(F.lit(False))
         return _sql_views(points=pts, cands=empty), ""
     pts = grid.assign_cells(incidents.select(*cols), "LAT", "LON")
     cands = candidate_rows(grid.candidate_table(cover if cover is not None else incidents, "LAT", "LON"))
