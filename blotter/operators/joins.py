@@ -136,16 +136,16 @@ def restrict_by_dimension(facts: DataFrame, lookup: DataFrame, dims: DataFrame,
     by the final join, and a lost executor does not recompute it.
     ``dims_max_rows`` passes a size bound of ``dims`` known by construction.
     """
-    from ..session import materialize
+    from ..session import materialize_counted
 
     dim_keys = dims.select(F.col(dim_key).alias("__dim_key")).distinct()
     joined = join_with_strategy(lookup, dim_keys, F.col(lookup_dim_key) == F.col("__dim_key"),
                                 "inner", strategy, max_broadcast_rows, max_nl_pairs, dims_max_rows)
-    keys = materialize(joined.select(*fact_keys).distinct())
+    keys, seen = materialize_counted(joined.select(*fact_keys).distinct())
     if strategy == "shuffle_replicate_nl":
         used = resolve_strategy(facts, keys, strategy, "inner", max_broadcast_rows, max_nl_pairs)
         if used == "shuffle_replicate_nl":
             return facts.join(hinted(keys, used), list(fact_keys), "inner")
         strategy = used
     return join_with_strategy(facts, keys, list(fact_keys), "left_semi", strategy,
-                              max_broadcast_rows, max_nl_pairs)
+                              max_broadcast_rows, max_nl_pairs, right_max_rows=seen["rows"])

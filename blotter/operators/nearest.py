@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import EARTH_RADIUS_KM, haversine_km, is_valid_coordinate
-from ..session import materialize
+from ..session import materialize_counted
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, hinted, is_small
 
 # Slack (km) on every bound comparison; far above haversine rounding error.
@@ -154,8 +154,9 @@ def _cell_radius(y0: Column, d0: float) -> Column:
 
 
 def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Sequence[str],
-                    start_level: int = 1, levels_per_job: int = 3, site_count: int | None = None) -> DataFrame:
-    """Candidate sites per occupied cell: (``__x0``, ``__y0``, ``__cands`` array<struct>).
+                    start_level: int = 1, levels_per_job: int = 3,
+                    site_count: int | None = None) -> tuple[DataFrame, int]:
+    """Candidate sites per occupied cell: (``__x0``, ``__y0``, ``__cands`` array<struct>), and its row count.
 
     ``cells`` holds distinct (``__x0``, ``__y0``) at the finest level;
     ``sites`` holds ``__slat``, ``__slon`` and the ``carry`` columns.
@@ -184,10 +185,9 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     top = exponent - 1  # level whose cells are 180 degrees: the block is the globe
     pending = cells  # computed inside the first level job; later levels read checkpoints
     resolved_parts: list[DataFrame] = []
+    resolved_rows = 0
     first = min(start_level, top)
     for batch_start in range(first, top + 1, levels_per_job):
-        if resolved_parts and pending.isEmpty():
-            break
         levels = list(range(batch_start, min(batch_start + levels_per_job, top + 1)))
         identity = batch_start == first  # first batch: every unit is a fine cell
         ux, uy = ("__x0", "__y0") if identity else ("__ux", "__uy")
@@ -229,13 +229,17 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
                       .agg(F.collect_list(site_struct).alias("__cands")))
         per_fine = unit_cands if identity else fine_to_unit.join(unit_cands, unit, "inner")
         cands = per_fine.groupBy(*cell).agg(F.min_by("__cands", "__lvl").alias("__cands"))
-        result = materialize(pending.join(cands, cell, "left"))
+        result, seen = materialize_counted(pending.join(cands, cell, "left"),
+                                           unresolved=F.count_if(F.col("__cands").isNull()))
         resolved_parts.append(result.filter(F.col("__cands").isNotNull()))
+        resolved_rows += seen["rows"] - seen["unresolved"]
+        if seen["unresolved"] == 0:
+            break
         pending = result.filter(F.col("__cands").isNull()).select(*cell)
     out = resolved_parts[0]
     for p in resolved_parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out, resolved_rows
 
 
 @dataclass
@@ -270,17 +274,17 @@ class SiteGrid:
         x0, y0 = _cell_index(la, lo, self.cell_deg)
         return df.withColumns({"__x0": F.when(ok, x0), "__y0": F.when(ok, y0)})
 
-    def candidate_table(self, cover: DataFrame, lat: str, lon: str) -> DataFrame:
-        """Checkpointed candidate table for the cells that ``cover``'s coordinates occupy."""
+    def candidate_table(self, cover: DataFrame, lat: str, lon: str) -> tuple[DataFrame, int]:
+        """Checkpointed candidate table for the cells that ``cover``'s coordinates occupy, and its row count."""
         cells = (self.assign_cells(cover.select(lat, lon), lat, lon)
                  .filter(F.col("__x0").isNotNull()).select("__x0", "__y0").distinct())
         return candidate_cells(cells, self.sites, self.exponent, self.carry, site_count=self.site_count)
 
     def candidates(self, cover: DataFrame, lat: str, lon: str,
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-        """Candidate table, hinted broadcast only when a bounded count proves it small."""
-        cands = self.candidate_table(cover, lat, lon)
-        return F.broadcast(cands) if is_small(cands, max_broadcast_rows) else cands.hint("merge")
+        """Candidate table, hinted broadcast only when its counted size proves it small."""
+        cands, rows = self.candidate_table(cover, lat, lon)
+        return F.broadcast(cands) if rows <= max_broadcast_rows else cands.hint("merge")
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, *, point_lat: str = "LAT", point_lon: str = "LON",

@@ -174,7 +174,8 @@ def _nearest_sql_inputs(incidents: DataFrame, stations: DataFrame, cover: DataFr
                                                     "__y0": F.lit(None).cast("bigint")}).filter(F.lit(False))
         return _sql_views(points=pts, cands=empty), ""
     pts = grid.assign_cells(incidents.select(*cols), "LAT", "LON")
-    cands = candidate_rows(grid.candidate_table(cover if cover is not None else incidents, "LAT", "LON"))
+    table, _ = grid.candidate_table(cover if cover is not None else incidents, "LAT", "LON")
+    cands = candidate_rows(table)  # one row per (cell, candidate): proven by a count of its own
     return _sql_views(points=pts, cands=cands), sql_hint(cands, "c")
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -73,3 +74,16 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns the row count (``rows``) and ``metrics``, gathered by the same job.
+
+    The metrics ride along the checkpoint job (``DataFrame.observe``), so no
+    second pass reads the result. A retried task can only add to a count,
+    never drop from it, so ``rows`` is safe as an upper bound for a size proof.
+    """
+    obs = Observation()
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+    out = materialize(observed)
+    return out, dict(obs.get)
