@@ -79,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "profile_count": lambda s, d: ingest.profile_counts(tb.incident_periods(s, d)),
     "schema_report": lambda s, d: ingest.incidents_schema_report(tb.incident_periods(s, d)),
     "csv_roundtrip": lambda s, d: ingest.csv_roundtrip(tb.table(s, d, "part")),
+    "csv_file_roundtrip": lambda s, d: ingest.csv_file_roundtrip_report(tb.table(s, d, "part")),
     "parse_timestamp": lambda s, d: ingest.parse_timestamp_report(
         tb.incidents_from_orders(tb.table(s, d, "orders"))),
     "parse_money": lambda s, d: ingest.parse_money_report(tb.income_text_from_supplier(tb.table(s, d, "supplier"))),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.filters import drop_missing, exclude_keys, in_range
 from ..operators.profile import row_counts, schema_report
-from ..sources.csv import csv_text_roundtrip, typed_column, typed_select
+from ..session import ensure_checkpoint_dir
+from ..sources.csv import csv_file_roundtrip, csv_text_roundtrip, typed_column, typed_select
 from ..sources.periods import tag_and_union, union_periods
 
 
@@ -51,6 +53,12 @@ def csv_roundtrip(df: DataFrame) -> DataFrame:
     return csv_text_roundtrip(df)
 
 
+def csv_file_roundtrip_report(df: DataFrame) -> DataFrame:
+    """``df`` written as CSV files under the session's checkpoint folder and read back typed."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex[:12]}"
+    return csv_file_roundtrip(df, folder)
+
+
 def union_fold(periods: Sequence[DataFrame]) -> DataFrame:
     return tag_and_union([(f"period_{i + 1}", p) for i, p in enumerate(periods)])
 

@@ -184,6 +184,7 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'incidents', COUNT(*) FROM inc""",
     "schema_report": SCHEMA_REPORT,
     "csv_roundtrip": "SELECT * FROM part",
+    "csv_file_roundtrip": "SELECT * FROM part",
     "parse_timestamp": f"""
         SELECT o_orderkey AS dr_no, strftime(o_orderdate, '{TS_FMT}') AS date_text,
                strptime(strftime(o_orderdate, '{TS_FMT}'), '{TS_FMT}') AS occurred,

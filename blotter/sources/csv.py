@@ -125,3 +125,14 @@ def csv_text_roundtrip(df: DataFrame, schema: T.StructType | None = None) -> Dat
     line = F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in schema]))
     parsed = df.select(F.from_csv(line, F.lit(text_ddl)).alias("r")).select("r.*")
     return typed_select(parsed, schema)
+
+
+def csv_file_roundtrip(df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df`` as CSV files with a header into ``folder`` and read them back typed.
+
+    The read goes through the same path as the incident files: header names,
+    all-string fields, tolerant typed projection. ``folder`` must be shared
+    storage on a cluster (the callers use the session's checkpoint folder).
+    """
+    df.write.mode("overwrite").option("header", "true").csv(folder)
+    return typed_select(read_csv_strings(df.sparkSession, folder), df.schema)
