@@ -53,3 +53,12 @@ def exclude_keys(df: DataFrame, col: str, keys: Iterable) -> DataFrame:
     for k in keys:
         hit = hit | (c == F.lit(k))
     return df.filter(~hit)
+
+
+def drop_null_island(df: DataFrame, lat: str = "LAT", lon: str = "LON") -> DataFrame:
+    """Rows whose coordinates are not the (0, 0) placeholder (NULL coordinates are kept).
+
+    Opt-in: the reference keeps such rows, which inflates distance means.
+    """
+    la, lo = F.col(f"`{lat}`"), F.col(f"`{lon}`")
+    return df.filter(~((la == 0.0) & (lo == 0.0)) | la.isNull() | lo.isNull())

@@ -99,3 +99,11 @@ def test_is_small_skips_count_for_obviously_large_inputs(spark, dim):
     assert joins.estimated_bytes(dim) > 0
     assert joins.is_small(dim, 100)
     assert not joins.is_small(dim, 100, obviously_large_bytes=1)
+
+
+def test_drop_null_island(spark):
+    from blotter.operators.filters import drop_null_island
+
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (None, 0.0), (34.0, -118.0)], "LAT double, LON double")
+    assert sorted(drop_null_island(df).collect(), key=str) == sorted(
+        [r for r in df.collect() if not (r.LAT == 0.0 and r.LON == 0.0)], key=str)
