@@ -244,7 +244,7 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
 
 @dataclass
 class SiteGrid:
-    """Valid sites (``__slat``, ``__slon`` + carried columns) and the grid exponent."""
+    """Valid sites, one per location (``__slat``, ``__slon`` + carried columns), and the grid exponent."""
 
     sites: DataFrame
     exponent: int | None
@@ -260,8 +260,14 @@ class SiteGrid:
                  .select(F.col(f"`{site_lat}`").cast("double").alias("__slat"),
                          F.col(f"`{site_lon}`").cast("double").alias("__slon"),
                          *[F.col(f"`{c}`") for c in carry]))
-        exponent, count = _choose_exponent(valid.select("__slat", "__slon"), "__slat", "__slon", cell_deg)
-        return cls(valid, exponent, carry, count)
+        # Sites sharing a location are always tied; only the first in ``carry`` order
+        # (tie-break columns first) can win, so one row per location is kept. This
+        # bounds every candidate list by distinct locations, however many copies exist.
+        per_location = (valid.groupBy("__slat", "__slon")
+                        .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in carry])).alias("__site"))
+                        .select("__slat", "__slon", *[F.col("__site")[c].alias(c) for c in carry]))
+        exponent, count = _choose_exponent(per_location.select("__slat", "__slon"), "__slat", "__slon", cell_deg)
+        return cls(per_location, exponent, carry, count)
 
     @property
     def cell_deg(self) -> float:

@@ -99,3 +99,20 @@ def test_tie_goes_to_smallest_name(spark):
     sites = [("CHARLIE", 34.10, -118.30), ("BRAVO", 34.10, -118.30), ("ALPHA", 34.05, -118.25)]
     got, _ = _run(spark, [(1, 34.10, -118.30), (2, 34.11, -118.31)], sites)
     assert got[1][0] == "BRAVO" and got[2][0] == "BRAVO"
+
+
+def test_many_sites_at_one_location_keep_candidates_small(spark):
+    from pyspark.sql import functions as F
+
+    from blotter.operators.nearest import SiteGrid
+
+    sites = [(f"D{i:04d}", 34.05, -118.25) for i in range(500)] + [("ZZZ", 34.10, -118.30)]
+    sdf = spark.createDataFrame(sites, "DIVISION string, Y double, X double")
+    grid = SiteGrid.build(sdf, "Y", "X", ["DIVISION"])
+    assert grid.site_count == 2
+    pts = spark.createDataFrame([(1, 34.06, -118.26), (2, 34.2, -118.4)], "pid bigint, LAT double, LON double")
+    cands, _ = grid.candidate_table(pts, "LAT", "LON")
+    assert cands.select(F.max(F.size("__cands"))).first()[0] <= 2
+    got, _ = _run(spark, [(1, 34.06, -118.26), (2, 34.2, -118.4)], sites)
+    _check(got, _brute([(1, 34.06, -118.26), (2, 34.2, -118.4)], sites))
+    assert got[1][0] == "D0000"
