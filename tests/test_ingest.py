@@ -167,3 +167,22 @@ def test_checkpoint_dir_required_off_local(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(FakeSpark())
+
+
+def test_command_line_questions(spark, files, tmp_path):
+    from blotter.__main__ import main
+
+    inc = ["--incidents", files["a"], files["b"]]
+    out = main(["top-months", *inc, "--out", str(tmp_path / "months")], spark)
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "months")).orderBy("year", "rank").collect()] == \
+        [(2015, 2, 2, 1), (2015, 12, 1, 2), (2016, 3, 3, 1)]
+    assert out.columns == ["year", "month", "crime_total", "rank"]
+    got = {r.descent: r.victim_count for r in main(
+        ["descent", *inc, "--income", files["income"], "--revgeo", files["revgeo"], "--strategy", "merge"],
+        spark).collect()}
+    assert got == {"Hispanic/Latin/Mexican": 1, "White": 1, "Q": 1}
+    near = main(["nearest", *inc, "--stations", files["stations"], "--by", "division", "--api", "sql"], spark)
+    assert sum(r.crime_count for r in near.collect()) == 4
+    pod = {r.part_of_day: r.crime_count for r in main(["part-of-day", *inc, "--api", "rdd"], spark).collect()}
+    assert pod == {"Night": 2, None: 2, "Morning": 1}
+    assert {r.table: r.row_count for r in main(["profile", *inc], spark).collect()}["incidents"] == 6
