@@ -20,10 +20,11 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators.joins import STRATEGIES
-from .plans import descent, ingest, months, part_of_day, stations
-from .sources.csv import read_incidents, read_income, read_revgeo, read_stations
-from .sources.periods import union_periods
+# Absolute imports: the file also runs as a spark-submit script with blotter on --py-files.
+from blotter.operators.joins import STRATEGIES
+from blotter.plans import descent, ingest, months, part_of_day, stations
+from blotter.sources.csv import read_incidents, read_income, read_revgeo, read_stations
+from blotter.sources.periods import union_periods
 
 
 def _incidents(spark: SparkSession, paths: list[str]) -> DataFrame:
