@@ -154,14 +154,16 @@ def _cell_radius(y0: Column, d0: float) -> Column:
 
 
 def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Sequence[str],
-                    start_level: int = 1, levels_per_job: int = 3,
+                    start_level: int = 1, levels_per_job: int = 3, later_levels_per_job: int = 5,
                     site_count: int | None = None) -> tuple[DataFrame, int]:
     """Candidate sites per occupied cell: (``__x0``, ``__y0``, ``__cands`` array<struct>), and its row count.
 
     ``cells`` holds distinct (``__x0``, ``__y0``) at the finest level;
     ``sites`` holds ``__slat``, ``__slon`` and the ``carry`` columns.
 
-    Levels are tried in batches of ``levels_per_job``. In the first batch the
+    Levels are tried in batches (``levels_per_job`` levels first, then
+    ``later_levels_per_job`` per batch for the cells still far from every
+    site). In the first batch the
     search unit is the fine cell. Beyond it, at level l, the unit is the level
     ``l - 2`` cell holding the fine cell, so cells far from every site, which
     climb to coarse levels, share few units and pair with each site once per
@@ -174,6 +176,8 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     Candidates are collected only after pruning.
     """
     d0 = 360.0 / (2 ** exponent)
+    clat = (F.col("__y0") + 0.5) * F.lit(d0) - 90.0  # fine-cell centre
+    clon = (F.col("__x0") + 0.5) * F.lit(d0) - 180.0
     # Site blocks are 9 rows per site: broadcast them only under a proven bound
     # (the exact count from choosing the grid, else a bounded count).
     bound = DEFAULT_MAX_BROADCAST_ROWS // 9
@@ -187,9 +191,12 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     resolved_parts: list[DataFrame] = []
     resolved_rows = 0
     first = min(start_level, top)
-    for batch_start in range(first, top + 1, levels_per_job):
-        levels = list(range(batch_start, min(batch_start + levels_per_job, top + 1)))
+    batch_start = first
+    while batch_start <= top:
         identity = batch_start == first  # first batch: every unit is a fine cell
+        width = levels_per_job if identity else later_levels_per_job  # far cells climb faster
+        levels = list(range(batch_start, min(batch_start + width, top + 1)))
+        batch_start += width
         ux, uy = ("__x0", "__y0") if identity else ("__ux", "__uy")
         unit = ["__lvl", ux, uy]
         fine_to_unit = None
@@ -212,7 +219,8 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
                 units
                 .withColumn("__bx", F.shiftright(ux, lag))
                 .withColumn("__by", F.shiftright(uy, lag))
-                .join(hinted(_site_blocks(sites, d0 * (2 ** level)), block_strategy), ["__bx", "__by"], "inner")
+                .join(hinted(_site_blocks(sites, d0 * (2 ** level)), block_strategy), ["__bx", "__by"],
+                      "left" if identity else "inner")
                 .withColumn("__rc", _cell_radius(F.col(uy), du))
                 .withColumn("__dc", haversine_km(ulat, ulon, F.col("__slat"), F.col("__slon")))
                 .withColumn("__g", g))
@@ -220,17 +228,36 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
         for f in unit_frames[1:]:
             pairs = pairs.unionByName(f)
         # One shuffle by unit cell (by fine cell in the first batch); the window and
-        # the aggregates reuse its partitioning.
+        # the aggregates reuse its partitioning. A unit without sites in its block
+        # has a NULL min_ub and stays unresolved.
         scored = (pairs.repartition(ux, uy)
-                  .withColumn("__min_ub", F.min(F.col("__dc") + F.col("__rc")).over(Window.partitionBy(*unit))))
-        unit_cands = (scored.filter((F.col("__min_ub") + _EPS_KM < F.col("__g") - _EPS_KM)
-                                    & (F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM))
-                      .groupBy(*unit)
-                      .agg(F.collect_list(site_struct).alias("__cands")))
-        per_fine = unit_cands if identity else fine_to_unit.join(unit_cands, unit, "inner")
-        cands = per_fine.groupBy(*cell).agg(F.min_by("__cands", "__lvl").alias("__cands"))
-        result, seen = materialize_counted(pending.join(cands, cell, "left"),
-                                           unresolved=F.count_if(F.col("__cands").isNull()))
+                  .withColumn("__min_ub", F.min(F.col("__dc") + F.col("__rc")).over(Window.partitionBy(*unit)))
+                  .withColumn("__ok", F.coalesce(F.col("__min_ub") + _EPS_KM < F.col("__g") - _EPS_KM,
+                                                 F.lit(False))))
+        keep = F.col("__ok") & (F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM)
+        if identity:
+            # Left-joined blocks keep every pending cell, so no re-join with pending is needed.
+            unit_cands = (scored.groupBy(*unit)
+                          .agg(F.collect_list(F.when(keep, site_struct)).alias("__cands"),
+                               F.max("__ok").alias("__ok")))
+            per_cell = unit_cands.groupBy(*cell).agg(
+                F.min_by("__cands", F.when(F.col("__ok"), F.col("__lvl"))).alias("__cands"))
+        else:
+            # A coarse unit's candidates hold every fine cell's nearest site; each fine
+            # cell re-prunes them with its own tighter bounds, as rows (codegen'd).
+            unit_rows = scored.filter(keep).select(*unit, "__slat", "__slon", *[F.col(f"`{c}`") for c in carry])
+            level_of = (fine_to_unit.join(unit_rows.select(*unit).distinct(), unit, "inner")
+                        .groupBy(*cell).agg(F.min("__lvl").alias("__lvl")))
+            fine_rows = (fine_to_unit.join(level_of, [*cell, "__lvl"], "inner")
+                         .join(unit_rows, unit, "inner")
+                         .withColumn("__rc", _cell_radius(F.col("__y0"), d0))
+                         .withColumn("__dc", haversine_km(clat, clon, F.col("__slat"), F.col("__slon")))
+                         .repartition(*cell)
+                         .withColumn("__min_ub", F.min(F.col("__dc") + F.col("__rc")).over(Window.partitionBy(*cell))))
+            resolved = (fine_rows.filter(F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM)
+                        .groupBy(*cell).agg(F.collect_list(site_struct).alias("__cands")))
+            per_cell = pending.join(resolved, cell, "left")
+        result, seen = materialize_counted(per_cell, unresolved=F.count_if(F.col("__cands").isNull()))
         resolved_parts.append(result.filter(F.col("__cands").isNotNull()))
         resolved_rows += seen["rows"] - seen["unresolved"]
         if seen["unresolved"] == 0:
