@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..functions.scalars import part_of_day
+from ..operators.nearest import nearest_site
 from ..session import ensure_checkpoint_dir
 from ..sources.csv import typed_select
 
@@ -74,3 +75,25 @@ def start_to_memory(aggregate: DataFrame, name: str, available_now: bool = True)
               .option("checkpointLocation", location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def start_nearest_station_sink(incidents: DataFrame, stations: DataFrame, out_path: str, name: str,
+                               available_now: bool = True) -> StreamingQuery:
+    """Nearest station for every arriving incident, written as Parquet under ``out_path``.
+
+    Each micro-batch runs the batch ``nearest_site`` operator on its own rows
+    and overwrites ``out_path/batch_id=<id>``, so a replayed batch (after a
+    failure) replaces its output instead of duplicating it.
+    """
+    spark = incidents.sparkSession
+    usable = stations.filter(F.col("X").isNotNull() & F.col("Y").isNotNull())
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select("DR_NO", "`DATE OCC`", "LAT", "LON")
+        near = nearest_site(rows, usable, site_cols=["DIVISION"])
+        near.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+
+    location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    writer = incidents.writeStream.foreachBatch(write_batch).option("checkpointLocation", location)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()

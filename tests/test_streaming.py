@@ -34,3 +34,25 @@ def test_stream_matches_batch(spark):
     assert got == want
     want_m = sorted(tuple(r) for r in months.monthly_counts(batch).collect())
     assert sorted(tuple(r) for r in spark.table("month_counts").collect()) == want_m
+
+
+def test_nearest_station_stream_matches_batch(spark, tmp_path):
+    from blotter.operators.nearest import nearest_site
+    from blotter.sources.csv import read_stations
+
+    from .fixtures import write_dimensions
+
+    src = Path(tempfile.mkdtemp(prefix="blotter-stream-src-", dir="/tmp"))
+    landing = Path(tempfile.mkdtemp(prefix="blotter-stream-in-", dir="/tmp"))
+    a, b = write_incident_periods(src)
+    shutil.copy(b, landing / "p2.csv")
+    st_path = write_dimensions(src)["stations"]
+    stations = read_stations(spark, st_path)
+    out = tmp_path / "near"
+    q = st.start_nearest_station_sink(st.read_incident_stream(spark, str(landing)), stations, str(out), "near")
+    q.awaitTermination(120)
+    got = {r.DR_NO: (r.DIVISION, r.distance) for r in spark.read.parquet(str(out)).collect()}
+    batch = read_incidents(spark, b).select("DR_NO", "`DATE OCC`", "LAT", "LON")
+    want = {r.DR_NO: (r.DIVISION, r.distance) for r in nearest_site(
+        batch, stations.filter("X IS NOT NULL AND Y IS NOT NULL"), site_cols=["DIVISION"]).collect()}
+    assert got == want and len(got) == 3
