@@ -163,17 +163,19 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
 
     Levels are tried in batches (``levels_per_job`` levels first, then
     ``later_levels_per_job`` per batch for the cells still far from every
-    site). In the first batch the
-    search unit is the fine cell. Beyond it, at level l, the unit is the level
-    ``l - 2`` cell holding the fine cell, so cells far from every site, which
-    climb to coarse levels, share few units and pair with each site once per
-    unit. A unit resolves
-    when its best upper bound beats the guaranteed radius of its level-l
-    block; its candidates (block sites with ``lb <= min ub``) are exact for
-    every fine cell inside it. One job evaluates a batch and keeps, per fine
+    site). In the first batch the search unit is the fine cell. Beyond it, at
+    level l, the unit is the level ``l - 2`` cell holding the fine cell, so
+    cells far from every site, which climb to coarse levels, share few units
+    and pair with each site once per unit.
+
+    A unit resolves when its best upper bound beats the guaranteed radius of
+    its level-l block; its candidates (block sites with ``lb <= min ub``) hold
+    the nearest site of every point inside it, and each fine cell re-prunes
+    them with its own bounds. One job evaluates a batch and keeps, per fine
     cell, the candidates of its lowest resolved level; the result is
-    checkpointed and the next batch reads the unresolved cells from it.
-    Candidates are collected only after pruning.
+    checkpointed (its row and unresolved counts observed by the same job) and
+    the next batch reads the unresolved cells from it. Candidates are
+    collected only after pruning.
     """
     d0 = 360.0 / (2 ** exponent)
     clat = (F.col("__y0") + 0.5) * F.lit(d0) - 90.0  # fine-cell centre
