@@ -92,7 +92,8 @@ def test_headerless_positional_read(spark, tmp_path):
 
 
 def test_csv_text_roundtrip_keeps_values(spark):
-    df = spark.createDataFrame([(1, 1.25, "a,b", None), (2, 1e-7, 'q"x', 3.5)], "k bigint, v double, s string, f double")
+    df = spark.createDataFrame([(1, 1.25, "a,b", None), (2, 1e-7, 'q"x', 3.5)],
+                               "k bigint, v double, s string, f double")
     back = csv_text_roundtrip(df)
     assert back.schema == df.schema
     assert sorted(back.collect()) == sorted(df.collect())
