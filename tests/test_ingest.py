@@ -187,3 +187,17 @@ def test_command_line_questions(spark, files, tmp_path):
     pod = {r.part_of_day: r.crime_count for r in main(["part-of-day", *inc, "--api", "rdd"], spark).collect()}
     assert pod == {"Night": 2, None: 2, "Morning": 1}
     assert {r.table: r.row_count for r in main(["profile", *inc], spark).collect()}["incidents"] == 6
+
+
+def test_command_line_remaining_questions(spark, files):
+    from blotter.__main__ import main
+
+    inc = ["--incidents", files["a"], files["b"]]
+    by_year = main(["responsible", *inc, "--stations", files["stations"], "--by", "year", "--strategy", "merge"],
+                   spark)
+    by_year_sql = main(["responsible", *inc, "--stations", files["stations"], "--by", "year", "--api", "sql"], spark)
+    assert sorted(by_year.collect()) == sorted(by_year_sql.collect())
+    near = main(["nearest", *inc, "--stations", files["stations"], "--by", "year"], spark)
+    assert sum(r.crime_count for r in near.collect()) == 3  # firearm rows 1, 4 and 6
+    schema = main(["schema", *inc], spark)
+    assert schema.count() == 28
