@@ -1,20 +1,33 @@
 """Per-row Python twins, used only by the RDD-route parity query.
 
 Kept tiny on purpose: the DataFrame route uses ``scalars.part_of_day``.
+The helper is a closure over plain values, so cloudpickle ships it by value
+and Python workers need no installed copy of this package.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from .scalars import NIGHT_FROM, NIGHT_LABEL, NIGHT_UNTIL, PART_OF_DAY_RANGES
 
 
-def part_of_day_py(clock: int | None) -> str | None:
-    """Python twin of ``scalars.part_of_day`` (NULL in -> NULL out)."""
-    if clock is None:
+def _make_part_of_day() -> Callable[[int | None], str | None]:
+    ranges = tuple(PART_OF_DAY_RANGES)
+    night_label, night_from, night_until = NIGHT_LABEL, NIGHT_FROM, NIGHT_UNTIL
+
+    def part_of_day_py(clock: int | None) -> str | None:
+        """Python twin of ``scalars.part_of_day`` (NULL in -> NULL out)."""
+        if clock is None:
+            return None
+        for label, lo, hi in ranges:
+            if lo <= clock <= hi:
+                return label
+        if clock >= night_from or clock <= night_until:
+            return night_label
         return None
-    for label, lo, hi in PART_OF_DAY_RANGES:
-        if lo <= clock <= hi:
-            return label
-    if clock >= NIGHT_FROM or clock <= NIGHT_UNTIL:
-        return NIGHT_LABEL
-    return None
+
+    return part_of_day_py
+
+
+part_of_day_py = _make_part_of_day()

@@ -9,21 +9,15 @@ from __future__ import annotations
 import operator
 import uuid
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import rowwise
 from ..functions.rowwise import part_of_day_py
 from ..functions.scalars import part_of_day
 from ..functions.sql import register_sql_functions
 
 CLOCK, PREMISE = "TIME OCC", "Premis Desc"
 
-# The per-row helper travels with the RDD closures, so Python workers need no
-# installed copy of this package.
-cloudpickle.register_pickle_by_value(rowwise)
-
 
 def street_by_part_of_day(incidents: DataFrame, premise: str = "STREET") -> DataFrame:
     # The premise filter sits below the bucketing so it reaches the scan.
