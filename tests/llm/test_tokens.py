@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from blotter.llm import tokens
+from tests.conftest import SF_SMALL
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def library(text):
+    return len(Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False))
+
+
+def counted(spark, texts, **sizes):
+    df = spark.createDataFrame([(i, t, 5) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
+    return {r["doc_id"]: r for r in tokens.token_counts(df, PATH, **sizes).collect()}
+
+
+def odd_texts():
+    r = random.Random(2)
+    pieces = ["the", "Été", "e\u0301", "<|endoftext|>", "a<|startoftext|>b", "\u00a0", "\t", " ", "\n", "it's", "x" * 30, "\x1c", "日本", "😀!", "1234", "ΑΣ"]
+    return [None, "", " ", *["".join(r.choice(pieces) + r.choice(["", " ", "\n"]) for _ in range(r.randint(1, 400))) for _ in range(25)]]
+
+
+def test_counts_equal_the_library_whole_and_in_chunks(spark):
+    texts = odd_texts() + ["y" * 3000 + " tail", "z" * 5000]
+    want = {i: library(t) for i, t in enumerate(texts)}
+    for sizes in ({}, {"chunk": 120, "overlap": 40}, {"chunk": 64, "overlap": 60}):
+        got = counted(spark, texts, **sizes)
+        assert {i: r["n_tokens"] for i, r in got.items()} == want
+    assert all(r["n_bytes"] == len((texts[i] or "").encode()) and r["over_limit"] == (r["n_tokens"] > 2048) for i, r in got.items())
+
+
+def test_memo_stays_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO", 50)
+    texts = [t or "" for t in odd_texts()]
+    assert tokens.count_pieces(texts, PATH) == [library(t) for t in texts]
+
+
+def test_generated_table_repeats_and_empty(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    both = docs.unionByName(docs)
+    out = tokens.token_counts(both, PATH, chunk=4000, overlap=200).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len(out) == 2 * len(texts)
+    encoder = Tokenizer.from_file(PATH)
+    assert all(r["n_tokens"] == len(encoder.encode(texts[r["doc_id"]], add_special_tokens=False)) for r in out)
+    assert tokens.token_counts(docs.limit(0), PATH).count() == 0
