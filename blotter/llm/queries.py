@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, extraction, mixing, quality, tokens, urls
+from blotter.llm import chat, extraction, mixing, packing, quality, tokens, urls
 from blotter.llm.common import table
 from blotter.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -48,6 +48,13 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(rows))
 
 
+PACK_VOCABULARY = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), PACK_VOCABULARY)
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -58,5 +65,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op5_chat_format, op8_token_counts, op10_source_mix)
+    for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op5_chat_format, op6_best_fit_packing, op8_token_counts, op10_source_mix)
 }
