@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm.common import materialize, ship
 
-MEMO = 600_000  # pieces remembered per Python worker
+MEMO = 1_000_000  # pieces remembered per Python worker
 _loaded: dict[str, tuple] = {}
 
 
@@ -35,15 +36,41 @@ def tokenizer(path: str):
     return _loaded[path]
 
 
+def count_words(encoder, words: list[str], at_once: int = 256) -> list[int]:
+    """Tokens of each of many one-word pieces, which the library gets joined by spaces and tells apart again."""
+    parts = [words[i : i + at_once] for i in range(0, len(words), at_once)]
+    out: list[int] = []
+    for part, told in zip(parts, encoder.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)):
+        own = np.bincount(told.word_ids).tolist() if part else []
+        out += own if len(own) == len(part) else [len(x) for x in encoder.encode_batch_fast(part, add_special_tokens=False)]
+    return out
+
+
+def core(piece: str) -> str:
+    """The piece without a comma or full stop that the split cuts off after letters; in lower case if that's ASCII."""
+    word = piece[:-1] if piece[-1:] in (",", ".") and piece[:-1].isalpha() else piece
+    return word.lower() if word.isascii() else word
+
+
+def learn(encoder, memo: dict[str, int], missing: set[str]) -> None:
+    cores = {w: core(w) for w in missing}
+    new = set(cores.values()).difference(memo)
+    # words of Latin-1 letters stay one word each under the normaliser and the split
+    words = [w for w in new if w.isalpha() and (w.isascii() or max(w) <= "\u00ff")]
+    others = list(new.difference(words) | {",", "."})
+    memo.update(zip(words, count_words(encoder, words)))
+    memo.update(zip(others, map(len, encoder.encode_batch_fast(others, add_special_tokens=False))))
+    memo.update({w: memo[c] + (memo[w[-1]] if len(c) < len(w) else 0) for w, c in cores.items() if c != w})
+
+
 def count_pieces(texts: list[str], path: str) -> list[int]:
     """Tokens of each text: the sum over its pieces between spaces and line feeds."""
     encoder, memo = tokenizer(path)
     split = [t.replace("\n", " ").split(" ") for t in texts]
-    missing = list(set(itertools.chain.from_iterable(split)).difference(memo))
-    if len(memo) + len(missing) > MEMO:
+    words = set(itertools.chain.from_iterable(split))
+    if len(memo) > MEMO:
         memo.clear()
-        missing = list(set(itertools.chain.from_iterable(split)))
-    memo.update(zip(missing, map(len, encoder.encode_batch_fast(missing, add_special_tokens=False))))
+    learn(encoder, memo, words.difference(memo))
     return [sum(map(memo.__getitem__, pieces)) for pieces in split]
 
 
