@@ -150,11 +150,11 @@ def plan(counts: dict[int, int], capacity: int) -> dict[int, tuple[np.ndarray, n
     return out
 
 
-def ranked(cut_pieces: DataFrame, per_salt: int = 200_000, most_salts: int = 1024) -> tuple[DataFrame, dict[int, int]]:
+def ranked(cut_pieces: DataFrame, per_salt: int = 200_000, salts: tuple[int, int] = (64, 1024)) -> tuple[DataFrame, dict[int, int]]:
     """The pieces with their rank (from 0) within their length, and the number of pieces per length."""
     n = cut_pieces.count()
-    salts = min(most_salts, n // per_salt + 1)
-    salted = cut_pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    n_salts = min(max(salts[0], n // per_salt + 1), salts[1])
+    salted = cut_pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_salts)))
     per_salt_counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # capacity x salts at most
     before: dict[int, dict[int, int]] = {}
     counts: dict[int, int] = {}
