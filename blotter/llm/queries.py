@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, embeddings, extraction, mixing, packing, quality, tokens, urls
+from blotter.llm import chat, embeddings, extraction, jaccard, mixing, packing, quality, tokens, urls
 from blotter.llm.common import table
 from blotter.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -55,6 +55,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), PACK_VOCABULARY)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -69,6 +73,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op5_chat_format, op6_best_fit_packing, op8_token_counts,
+    for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op5_chat_format, op6_best_fit_packing, op7_ngram_jaccard,
+              op8_token_counts,
               op9_embedding_near_dups, op10_source_mix)
 }
