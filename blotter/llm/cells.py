@@ -10,6 +10,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 KEY_BITS = 40
 KEY_MASK = np.uint64((1 << KEY_BITS) - 1)
@@ -62,7 +63,7 @@ def batch_name(partition: int, number: int, ids: list) -> int:
 
 def slices(batch: pa.RecordBatch, most_rows: int, most_bytes: int):
     """Consecutive parts of an Arrow batch of at most that many rows and (but for a single long text) text bytes."""
-    sizes = [0 if x is None else x for x in pa.compute.binary_length(batch["text"]).to_pylist()]
+    sizes = [0 if x is None else x for x in pc.binary_length(batch["text"]).to_pylist()]
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if i > start and (i - start >= most_rows or total + size > most_bytes):

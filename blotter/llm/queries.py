@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, embeddings, extraction, jaccard, mixing, packing, quality, tokens, urls
+from blotter.llm import chat, embeddings, extraction, jaccard, mixing, packing, quality, suffixes, tokens, urls
 from blotter.llm.common import table
 from blotter.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -39,6 +39,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame(
@@ -73,7 +77,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op5_chat_format, op6_best_fit_packing, op7_ngram_jaccard,
+    for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op4_suffix_dedup, op5_chat_format, op6_best_fit_packing, op7_ngram_jaccard,
               op8_token_counts,
               op9_embedding_near_dups, op10_source_mix)
 }

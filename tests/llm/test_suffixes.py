@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from blotter.llm import suffixes
+from tests.conftest import SF_SMALL
+
+
+def brute(rows, length=100):
+    """rows: (doc_id, text); first start of every string by (doc_id, start), then the union of later ones."""
+    first = {}
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        for i in range(len(data) - length + 1):
+            key = data[i : i + length]
+            if doc_id is not None and (key not in first or (doc_id, i) < first[key]):
+                first[key] = (doc_id, i)
+    out = []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        gone = np.zeros(len(data) + 1, bool)
+        for i in range(len(data) - length + 1):
+            if doc_id is not None and first[data[i : i + length]] < (doc_id, i):
+                gone[i : i + length] = True
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        out.append((doc_id, len(data), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, parts=3, **sizes):
+    df = spark.createDataFrame([(*r, 1, b"x") for r in rows], "doc_id long, text string, start long, data binary")
+    df = df.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    return sorted(map(tuple, suffixes.removal_digests(df, **sizes).collect()), key=str)
+
+
+def corpus(seed=1, n=50):
+    r = random.Random(seed)
+    words = [f"{a}{b}" for a in ("ka", "é", "mo", "x", "tion") for b in ("lo", "ß", "ri", "")]
+    text = lambda k: " ".join(r.choices(words, k=k))
+    passages = [text(40), text(70), "=" * 150]
+    rows = []
+    for i in range(n):
+        parts = [text(r.randint(0, 60))]
+        for _ in range(r.randint(0, 3)):
+            p = r.choice(passages)
+            cut = r.randint(0, 60) if r.random() < 0.4 else 0
+            parts += [p[cut:], text(r.randint(0, 30))]
+        rows.append((i * 3 % 101, r.choice(["", " "]).join(parts)))
+    rows += [(500 + i, rows[i][1]) for i in range(8)]
+    rows += [(600, "ab" * 300), (601, "b" + "ab" * 200), (602, "a" * 99), (603, "a" * 100), (604, "a" * 101), (605, "a" * 260)]
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [{}, {"per_salt": 2}, {"grams": 60}])
+def test_equal_brute_force(spark, sizes):
+    rows = corpus(len(sizes) + 1)
+    assert run(spark, rows, **sizes) == brute(rows)
+
+
+def test_odd_rows(spark):
+    p = "The quick brown fox jumps over the lazy dog and runs away from the hunter who came out of the dark woods at dawn."
+    rows = [(1, None), (2, ""), (3, p), (3, p), (4, p + p), (None, p), (None, None), (5, "x" + p), (-9, "y" + p)]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, [], parts=1) == []
+
+
+def test_short_strings_and_other_lengths(spark):
+    r = random.Random(7)
+    rows = [(i, "".join(r.choices("ab", k=r.randint(0, 60)))) for i in range(60)]
+    assert run(spark, rows, length=12, grams=5) == brute(rows, 12)
+
+
+def test_generated_table(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in df.collect()]
+    assert sorted(map(tuple, suffixes.removal_digests(df).collect()), key=str) == brute(rows)
+
+
+def test_suffix_sort_orders_by_bytes():
+    r = np.random.default_rng(3)
+    data = r.integers(97, 100, 400).astype(np.uint8)
+    start = r.integers(0, 380, 300)
+    segment = np.sort(r.integers(0, 20, 300))
+    order = suffixes.Suffixes(np.append(data, np.zeros(20, np.uint8)), 20).sort(start, segment)
+    whole = np.append(data, np.zeros(20, np.uint8)).tobytes()
+    want = sorted(range(300), key=lambda i: (segment[i], whole[start[i] : start[i] + 20], i))
+    assert order.tolist() == want
+
+
+def test_anchors_are_equal_for_equal_windows():
+    r = np.random.default_rng(4)
+    inner = r.integers(97, 123, 140).astype(np.uint8)
+    one, two = (np.concatenate([r.integers(97, 123, k).astype(np.uint8), inner, r.integers(97, 123, 50).astype(np.uint8)]) for k in (33, 90))
+    a, b = suffixes.Anchors(one, 100, 24), suffixes.Anchors(two, 100, 24)
+    for i in range(41):
+        x, y = (t.at[np.searchsorted(t.first, k + i, side="right") - 1] - k for t, k in ((a, 33), (b, 90)))
+        assert x == y
+
+
+def test_long_texts_in_chunks(spark, monkeypatch):
+    rows = corpus(9, 30)
+    whole = suffixes.Anchors.__init__
+    monkeypatch.setattr(suffixes.Anchors, "__init__", lambda self, data, length, grams: whole(self, data, length, grams, 37))
+    data = suffixes.document_bytes(rows[3][1])
+    small, window = suffixes.Anchors(data, 100, 24), np.arange(len(data) - 99)
+    monkeypatch.undo()
+    large = suffixes.Anchors(data, 100, 24)
+    owner = [t.at[np.searchsorted(t.first, window, side="right") - 1] for t in (small, large)]
+    assert np.array_equal(*owner) and len(small.at) > len(large.at)
+
+
+def test_collisions_are_errors_not_removals(monkeypatch):
+    import pandas as pd
+
+    frame = pd.DataFrame({"kind": 1, "batch": 0, "place": [0, 1], "doc_id": [1, 2], "start": 0, "stop": 10, "part": 0,
+                          "text": [b"abcdefghij", b"abcdefghiX"], "before": 0})
+    monkeypatch.setattr(suffixes.cells.Rolling, "of", lambda self, a, b: np.zeros(len(a), np.uint64))
+    with pytest.raises(RuntimeError):
+        suffixes.compare(10, 3)(frame)
