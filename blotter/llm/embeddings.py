@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import materialize, ship
-from blotter.llm.graph import components
+from blotter.llm.graph import components, smallest_reachable
 
 MARGIN = 1e-6  # for rounding in the rotated products; the decision itself is by the given vectors
 
@@ -87,20 +87,6 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, rotation: np.ndarray, threshold:
         yield i[hit], j[hit]
 
 
-def smallest_reachable(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Per index, the smallest index reachable by the pairs."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        for i, j in pairs:
-            low = np.minimum(label[i], label[j])
-            np.minimum.at(label, i, low)
-            np.minimum.at(label, j, low)
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def compare_tiles(classes: DataFrame, rotations: dict[int, np.ndarray], threshold: float) -> DataFrame:
     """id, links (weighted, within one pair of tiles), root (smallest linked id there)."""
 

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import materialize
 
 
+def smallest_reachable(n: int, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Per index, the smallest index reachable by the pairs; within one task."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        for i, j in pairs:
+            low = np.minimum(label[i], label[j])
+            np.minimum.at(label, i, low)
+            np.minimum.at(label, j, low)
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
 def _smallest(pairs: DataFrame) -> DataFrame:
     """(v, m): the smallest of v and its neighbours u; combined before the shuffle."""
     return pairs.groupBy("v").agg(F.least(F.col("v"), F.min("u")).alias("m"))

@@ -12,9 +12,11 @@ one shingle). Documents link when 100 * |intersection| >= 75 * |union|.
    among one more. Rare shingles of the prefix are index keys of their own. Frequent ones are indexed as pairs within the
    extended prefix. That bounds a class's keys only while its set is small, so large sets index frequent shingles singly;
    between ``pair_sets`` and 4/3 of it sets do both, and as linked sets differ in size by less, no pair falls between.
-4. Verification in two rounds. First, each key's smallest class is compared with the key's other classes. Then only
-   keys whose classes are still in several components are joined with themselves, across components; everything else
-   is connected already. So a group of near copies costs its size, not its square.
+4. Verification in two rounds. First, classes that have the same smallest hash under one of two seeds, as near copies
+   mostly do, are compared in tiles of bounded size; a tile returns a spanning edge per class. Then only keys whose
+   classes are still in several components matter; all other pairs are connected already. Classes chained by such keys
+   are compared in pairs of tiles where they share many keys, and else pair by pair (``open_links``); either way every
+   pair across components that shares a key is compared.
 
 Shingles are told apart by 64-bit hashes at first and by 40 bits and their bucket after that. ``docs`` must give the same
 rows in the same order when read again, as a written table does; a batch whose replies don't find it is an error.
@@ -38,7 +40,7 @@ from pyspark.sql import types as T
 
 from blotter.llm import cells
 from blotter.llm.common import materialize, partitions_for, ship
-from blotter.llm.graph import components
+from blotter.llm.graph import components, smallest_reachable
 
 WORDS = 5
 MANY = 0xFFFF  # in a cell, instead of a document's number: several documents of the batch
@@ -246,13 +248,63 @@ def index_keys(classes: DataFrame, width: int, rare: int, pair_sets: int) -> Dat
     return classes.mapInArrow(run, "key long, id long, n long")
 
 
-def linked(pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+def smallest_hashes(classes: DataFrame, width: int, rounds: int) -> DataFrame:
+    """key, id: per class and seed, the smallest hash of its shingles."""
+
+    def run(batches):
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for cls, ids in zip(*(batch[c].to_pylist() for c in ("id", "ids"))):
+                own = cells.from_planes(memoryview(ids), len(ids) // width, width)
+                out += [(int(cells.mix(own ^ FACTORS[r]).min()) >> 1, cls) for r in range(rounds)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["key", "id"])
+
+    return classes.mapInArrow(run, "key long, id long")
+
+
+def similar_pairs(sets: list[np.ndarray], n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
+    """Pairs (i of left, j of right, i <> j) that link; intersections come from products over 4096 shingles at a time."""
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    often = np.bincount(token) > 1
+    number = np.cumsum(often) - 1
+    row, token = row[often[token]], number[token[often[token]]]
+    order = np.argsort(token, kind="stable")
+    row, token = row[order], token[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(often.sum()), 4096):
+        lo, hi = np.searchsorted(token, [start, start + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[row[lo:hi], token[lo:hi] - start] = 1
+        common += part[left] @ part[right].T
+    union = n[left][:, None] + n[right][None, :] - common
+    i, j = np.nonzero((100 * common >= percent * union) & (left[:, None] != right[None, :]))
+    return left[i], right[j]
+
+
+def tile_links(dealt: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Edges (a, b) that connect all classes that link within a pair of tiles (part, first, second) of ``dealt``."""
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("id", ignore_index=True)
+        tiles = frame["tile"].to_numpy()
+        left, right = np.flatnonzero(tiles == key[1]), np.flatnonzero(tiles == key[2])
+        ids = frame["id"].to_numpy()
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": ids[:0], "b": ids[:0]})
+        sets = [cells.from_planes(memoryview(x), len(x) // width, width) for x in frame["ids"]]
+        root = ids[smallest_reachable(len(frame), [similar_pairs(sets, frame["n"].to_numpy(), left, right, percent)])]
+        return pd.DataFrame({"a": root, "b": ids})[root != ids]
+
+    sent = dealt.join(classes.select("id", "n", "ids"), "id")
+    return sent.groupBy("part", "first", "second").applyInPandas(run, "a long, b long")
+
+
+def pair_links(pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     sets = classes.select("id", "n", "ids")
-    both = (
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("ids").alias("ids_a")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("ids").alias("ids_b")), "b")
-        .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("ids").alias("ids_a")), "a").join(
+        sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("ids").alias("ids_b")), "b"
     )
 
     def run(batches):
@@ -268,7 +320,52 @@ def linked(pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> Da
     return both.mapInArrow(run, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, rare: int = 200, pair_sets: int = 200, percent: int = 75) -> DataFrame:
+def open_links(index: DataFrame, links: DataFrame, classes: DataFrame, width: int, percent: int, tile_rows: int, tile_cost: float) -> DataFrame:
+    """Links between classes that share a key and that ``links`` leave in different components.
+
+    Classes chained by open keys form a cloud. A cloud whose keys have more pairs than its tiles have rows is compared
+    tile by tile; in the others each pair that shares a key is verified by itself.
+    """
+    known = components(links)
+    placed = index.join(known, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("component"))
+    open_keys = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("head"), F.count(F.lit(1)).alias("many"))
+        .filter("low < high")
+        .select("key", "head", "many")
+    )
+    rows = materialize(placed.join(open_keys, "key"))
+    clouds = components(rows.select(F.col("head").alias("a"), F.col("id").alias("b"))).withColumnRenamed("component_id", "part")
+    n_pairs = rows.select("key", F.col("head").alias("id"), "many").distinct().join(clouds, "id").groupBy("part").agg(F.sum(F.col("many") * (F.col("many") - 1) / 2).alias("pairs"))
+    sized = (
+        clouds.groupBy("part")
+        .agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"), F.count(F.lit(1)).alias("rows"))
+        .join(n_pairs, "part")
+        .withColumn("tiled", tile_cost * F.col("rows") * F.col("tiles") <= F.col("pairs"))
+        .select("part", "tiles", "tiled")
+    )
+    members = materialize(clouds.join(sized, "part"))
+    dealt = (
+        members.filter("tiled")
+        .withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("part", "id", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"))
+    )
+    single = rows.join(members.filter("NOT tiled").select("id"), "id")
+    left, right = (single.select("key", F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in "ab")
+    across = (
+        left.join(right, "key")
+        .filter(f"c_a < c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+        .select("a", "b")
+        .distinct()
+    )
+    return tile_links(dealt, classes, width, percent).unionByName(pair_links(across, classes, width, percent))
+
+
+def similar_documents(
+    docs: DataFrame, rare: int = 200, pair_sets: int = 200, percent: int = 75, rounds: int = 2,
+    tile_rows: int = 512, tile_cost: float = 1.0,
+) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     if percent < 75:
         raise ValueError("prefixes and size bounds are those of 75 % or more")
@@ -290,21 +387,12 @@ def similar_documents(docs: DataFrame, rare: int = 200, pair_sets: int = 200, pe
         .agg(F.min("doc_id").alias("id"), F.first("ids").alias("ids"), F.first("frequency").alias("frequency"))
     )
     index = materialize(index_keys(classes, width, rare, pair_sets))
-    heads = index.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("many")).filter("many > 1").select("key", "a")
-    near = index.select("key", F.col("id").alias("b")).join(heads, "key").filter("a <> b").select("a", "b").distinct()
-    links = materialize(linked(near, classes, width, percent))
-    known = components(links)
-    placed = index.join(known, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    open_rows = materialize(placed.join(open_keys, "key"))
-    left, right = (open_rows.select("key", F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in "ab")
-    across = (
-        left.join(right, "key")
-        .filter(f"c_a < c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select("a", "b")
-        .distinct()
-    )
-    links = links.unionByName(linked(across, classes, width, percent))
+    smallest = smallest_hashes(classes, width, rounds)
+    shared = smallest.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    tile = F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("many") / tile_rows)).cast("int")
+    blocks = smallest.join(shared, "key").select(F.col("key").alias("part"), "id", tile.alias("tile"))
+    links = materialize(tile_links(blocks.withColumns({"first": F.col("tile"), "second": F.col("tile")}), classes, width, percent))
+    links = links.unionByName(open_links(index, links, classes, width, percent, tile_rows, tile_cost))
     found = components(links)
     class_of = classes.select("n", "digest", "id").join(found, "id", "left").select(
         F.col("n"), "digest", F.coalesce("component_id", "id").alias("component_id")

@@ -60,7 +60,7 @@ def near_copies(seed=1, groups=10, singles=40):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"rare": 2}, {"rare": 0, "pair_sets": 40}, {"rare": 3, "pair_sets": 1}])
+@pytest.mark.parametrize("sizes", [{}, {"rare": 2}, {"rare": 0, "pair_sets": 40}, {"rare": 3, "pair_sets": 1}, {"rounds": 1, "tile_rows": 4}, {"rounds": 1, "tile_cost": 1e9, "rare": 3}])
 def test_equal_brute_force(spark, sizes):
     rows = near_copies(len(sizes))
     assert run(spark, rows, **sizes) == brute(rows)
