@@ -7,14 +7,16 @@ the same document further left). Only suffixes that can begin such a string are
    an anchor (the rightmost at a tie), so equal windows of ``length`` bytes have their anchor at the same place; each
    window belongs to one anchor. Prefix polynomial hashes give the hash of any stretch in constant time.
 2. Batches of documents send each anchor's hash, the hash of the stretch that its windows cover (its context) and its
-   first document, packed into one cell per hash bucket. The bucket replies with the anchors that occur again: with one
-   context only, all windows but those of the first occurrence are repeats; with several, the contexts themselves
-   are compared. What a batch holds many times it sends once.
-3. Suffix sort. The windows of an anchor's differing contexts are sorted as suffixes by a bottom-up mergesort. A
-   comparison finds the common extension by binary search over the prefix hashes, so it takes a logarithmic number of
-   steps; neighbours with a common extension of ``length`` bytes are one string. The bytes themselves are compared then:
-   a collision of hashes is an error, never a removal. Anchors with many contexts are split by salts; the distinct
-   strings of each salt meet by hash (of 128 bits) afterwards.
+   first document, packed into one cell per hash bucket. The bucket replies with the anchors that occur again: all
+   windows of a context but those of its first occurrence are repeats, and where an anchor has several contexts, their
+   first occurrences are compared. What a batch holds many times it sends once.
+3. Suffix sort. The suffixes at an anchor in its contexts are sorted by a bottom-up mergesort. A comparison finds the
+   common extension by binary search over the prefix hashes, so it takes a logarithmic number of steps. Neighbours'
+   common extensions give those of any two to the right, another binary search those to the left; together they are
+   the stretch that two contexts share. Where an anchor has more than ``SMALL`` contexts, all their windows are sorted
+   instead, and neighbours with a common extension of ``length`` bytes are one string. Then the bytes themselves are
+   compared: a collision of hashes is an error, never a removal. Anchors with very many contexts are split by salts; the
+   distinct strings of each salt meet by hash (of 128 bits) afterwards.
 4. The removed bytes of a document are the union of its repeated windows.
 
 A retry must find the documents as before, as with a written table; a batch whose replies don't find it is an error.
@@ -38,8 +40,9 @@ from pyspark.sql import functions as F
 from blotter.llm import cells
 from blotter.llm.common import materialize, partitions_for, ship
 
-MIXED = np.uint64(0)  # a batch's context of an anchor that has several there
-MANY = (1 << 32) - 1
+PLACE_BITS = np.uint64(21)
+PLACES = np.uint64((1 << 21) - 1)
+SMALL = 32  # contexts of an anchor that are compared by the suffix array of their anchors
 SECOND = cells.Rolling.VALUES[::-1].copy()
 
 
@@ -67,14 +70,14 @@ class Anchors:
         rolling, n = cells.Rolling(data), len(data) - length + 1
         start = np.arange(len(data) - grams + 1)
         keys = cells.mix(rolling.of(start, start + grams))
-        low, place = keys, start
+        # hash above, place below and reversed: one minimum finds the smallest hash, of equals the rightmost
+        low = (keys >> PLACE_BITS << PLACE_BITS) | (PLACES - start.astype(np.uint64))
         width, reach = length - grams + 1, 1
-        while reach < width:  # minima of runs of growing width; of equals the rightmost
+        while reach < width:  # minima of runs of growing width
             step = min(reach, width - reach)
-            a, b = low[:-step], low[step:]
-            right = b <= a
-            low, place = np.where(right, b, a), np.where(right, place[step:], place[:-step])
+            low = np.minimum(low[:-step], low[step:])
             reach += step
+        place = (PLACES - (low & PLACES)).astype(np.int64)
         first = np.flatnonzero(np.diff(place, prepend=-1) != 0)
         at, last = place[first], np.append(first[1:], n) - 1
         shape = (at - first).astype(np.uint64) * np.uint64(1 << 20) + (last - first).astype(np.uint64)
@@ -101,24 +104,27 @@ class Batch:
         )
         hashes = hashes.astype(np.uint64)
         ids = (cells.bucket_of(hashes, buckets).astype(np.uint64) << np.uint64(cells.KEY_BITS)) | (hashes & cells.KEY_MASK)
-        by_id = np.argsort(ids, kind="stable")
+        by_id = np.lexsort((self.contexts, ids))  # documents and places stay in order within an (anchor, context)
         self.ids = ids[by_id]
         for name in ("document", "at", "first", "last", "contexts"):
             setattr(self, name, getattr(self, name)[by_id])
-        self.start = np.flatnonzero(np.diff(self.ids, prepend=np.uint64(2**64 - 1)) != 0) if len(ids) else np.empty(0, np.int64)
+        new = np.ones(len(ids), bool)
+        new[1:] = (np.diff(self.ids) != 0) | (np.diff(self.contexts) != 0)
+        self.start = np.flatnonzero(new)
         self.count = np.diff(np.append(self.start, len(ids)))
 
+    def buckets(self) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets present and the bounds of their entries (anchor, context)."""
+        present, starts = np.unique((self.ids[self.start] >> np.uint64(cells.KEY_BITS)).astype(np.int64), return_index=True)
+        return present, np.append(starts, len(self.start))
+
     def cells(self):
-        if not len(self.ids):
-            return
-        same = np.minimum.reduceat(self.contexts, self.start) == np.maximum.reduceat(self.contexts, self.start)
-        ids, contexts = self.ids[self.start], np.where(same, self.contexts[self.start], MIXED)
-        documents = self.doc_ids[self.document[self.start]]
-        keys, buckets = ids & cells.KEY_MASK, (ids >> np.uint64(cells.KEY_BITS)).astype(np.int64)
-        present, starts = np.unique(buckets, return_index=True)
-        for b, lo, hi in zip(present, starts, np.append(starts[1:], len(ids))):
+        keys, contexts = self.ids[self.start] & cells.KEY_MASK, self.contexts[self.start]
+        documents = self.doc_ids[self.document[self.start]].view(np.uint64)
+        present, bounds = self.buckets()
+        for b, lo, hi in zip(present, bounds, bounds[1:]):
             yield int(b), cells.pack(
-                keys[lo:hi], [(contexts[lo:hi], 8), (documents[lo:hi].view(np.uint64), 8), (np.minimum(self.count[lo:hi], MANY), 4)]
+                keys[lo:hi], [(contexts[lo:hi], 8), (documents[lo:hi], 8), (np.minimum(self.count[lo:hi], 255), 1)]
             )
 
 
@@ -162,27 +168,28 @@ def send_documents(docs: DataFrame) -> DataFrame:
 
 
 def reply(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    """To each batch, the bucket's anchors that occur again: occurrences (0 if all contexts are equal), first document."""
-    parts = [cells.unpack(d, [8, 8, 4]) for d in frame["data"]]
+    """To each batch, its entries whose anchor occurs again: the anchor's contexts, the context's first document."""
+    parts = [cells.unpack(d, [8, 8, 1]) for d in frame["data"]]
     keys, contexts, documents, counts = (np.concatenate(c) for c in zip(*parts))
-    documents, counts = documents.view(np.int64), counts.astype(np.int64)
-    source = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    start = np.flatnonzero(np.diff(ordered, prepend=ordered[0] + np.uint64(1)) != 0)
-    low, high = np.minimum.reduceat(contexts[order], start), np.maximum.reduceat(contexts[order], start)
-    total, first = np.add.reduceat(counts[order], start), np.minimum.reduceat(documents[order], start)
-    mixed = (low != high) | (low == MIXED)
-    spread = np.empty(len(keys), np.int64)
-    spread[order] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(keys))))
-    out = []
-    bounds = np.searchsorted(source, np.arange(len(parts) + 1))
-    for i, batch in enumerate(frame["batch"]):
-        own, at = slice(bounds[i], bounds[i + 1]), spread[bounds[i] : bounds[i + 1]]
-        hit = total[at] > 1
-        if hit.any():
-            told = np.where(mixed[at], np.minimum(total[at], MANY), 0)[hit]
-            out.append((batch, key[0], cells.pack(keys[own][hit], [(told, 4), (first[at][hit].view(np.uint64), 8)])))
+    documents = documents.view(np.int64)
+    order = np.lexsort((contexts, keys))
+    k, c = keys[order], contexts[order]
+    new_key, new = np.ones(len(k), bool), np.ones(len(k), bool)
+    new_key[1:] = np.diff(k) != 0
+    new[1:] = new_key[1:] | (np.diff(c) != 0)
+    of_key, of_context = np.cumsum(new_key) - 1, np.cumsum(new) - 1
+    occurrences = np.bincount(of_key, weights=counts[order])
+    n_contexts = np.bincount(of_key[new])
+    first = np.minimum.reduceat(documents[order], np.flatnonzero(new))
+    again, told, earliest = (np.empty(len(k), t) for t in (bool, np.int64, np.int64))
+    again[order], told[order], earliest[order] = (occurrences > 1)[of_key], n_contexts[of_key], first[of_context]
+    out, at = [], 0
+    for batch, part in zip(frame["batch"], parts):
+        entry = np.flatnonzero(again[at : at + len(part[0])])
+        if len(entry):
+            own = at + entry
+            out.append((batch, key[0], cells.pack(entry.astype(np.uint64), [(told[own], 4), (earliest[own].view(np.uint64), 8)])))
+        at += len(part[0])
     return pd.DataFrame(out, columns=["batch", "bucket", "data"])
 
 
@@ -197,42 +204,37 @@ def settle(length: int, grams: int, buckets: int, parts: int, per_salt: int):
             raise RuntimeError("the documents read differently the second time; write them to a table first")
         frame = frame.sort_values("place", ignore_index=True)
         batch = Batch(frame["doc_id"].tolist(), frame["text"].tolist(), length, grams, buckets)
-        ids, occurrences, first = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        present, bounds = batch.buckets()
+        base = dict(zip(present.tolist(), bounds.tolist()))
+        n_contexts, first = np.zeros(len(batch.start), np.int64), np.zeros(len(batch.start), np.int64)
         for bucket, data in zip(told["bucket"], told["data"]):
-            k, n, f = cells.unpack(data, [4, 8])
-            ids.append((np.uint64(bucket) << np.uint64(cells.KEY_BITS)) | k)
-            occurrences.append(n)
-            first.append(f.view(np.int64))
-        ids, occurrences, first = (np.concatenate(x) for x in (ids, occurrences, first))
-        order = np.argsort(ids)
-        ids, occurrences, first = ids[order], occurrences[order].astype(np.int64), first[order]
-        at = np.minimum(np.searchsorted(ids, batch.ids), max(0, len(ids) - 1))
-        again = ids[at] == batch.ids if len(ids) else np.zeros(len(batch.ids), bool)
-        at, own = at[again], np.flatnonzero(again)
-        documents = batch.document[own]
-        earliest = np.zeros(len(batch.ids), bool)
-        earliest[batch.start] = True  # the batch's first occurrence, by document and place
-        mixed = occurrences[at] > 0
-        repeat = ~mixed & ~((batch.doc_ids[documents] == first[at]) & earliest[own])
-        # rows that repeat a document start where it starts: none of its places is earlier in one than in the other
-        if len(np.unique(batch.doc_ids)) < len(batch.doc_ids):
-            mine = batch.doc_ids[documents] == first[at]
-            begin = np.repeat(batch.at[batch.start], batch.count)[own]
-            repeat = ~mixed & ~(mine & (batch.at[own] == begin))
-        place = np.array(batch.rows, np.int64)[documents] if len(documents) else np.empty(0, np.int64)
+            entry, n, f = cells.unpack(data, [4, 8])
+            entry = entry.astype(np.int64) + base[bucket]
+            n_contexts[entry], first[entry] = n, f.view(np.int64)
+        entry = np.repeat(np.arange(len(batch.start)), batch.count)
+        own = np.flatnonzero(n_contexts[entry] > 0)  # anchors that occur again
+        entry = entry[own]
+        documents, head = batch.document[own], batch.start[entry]
+        # the context's first occurrence; rows that repeat its document start where it starts
+        kept = (batch.doc_ids[documents] == first[entry]) & (documents == batch.document[head]) & (batch.at[own] == batch.at[head])
+        kept |= (batch.doc_ids[documents] == first[entry]) & (batch.doc_ids[batch.document[head]] == first[entry]) & (batch.at[own] == batch.at[head])
+        place = np.array(batch.rows, np.int64)[documents]
+        a, b = place[~kept], batch.first[own[~kept]]
+        spans = touching(a, b, batch.last[own[~kept]] + length)
         sure = pd.DataFrame({
-            "kind": 0, "batch": key[0], "place": place[repeat], "doc_id": batch.doc_ids[documents[repeat]],
-            "start": batch.first[own[repeat]], "stop": batch.last[own[repeat]] + length, "part": 0, "text": None, "before": 0,
+            "kind": 0, "batch": key[0], "place": spans[0], "doc_id": frame["doc_id"].to_numpy()[spans[0]], "start": spans[1], "stop": spans[2],
+            "part": 0, "text": None, "before": 0,
         })
-        salts = -(-occurrences[at] // per_salt)
-        salt = np.where(salts > 1, cells.mix(batch.doc_ids[documents].astype(np.uint64)) % np.maximum(salts, 1).astype(np.uint64) + np.uint64(1), 0)
-        part = (cells.mix(ids[at] ^ cells.mix(salt.astype(np.uint64) + np.uint64(7))) % np.uint64(parts)).astype(np.int64)
-        some = np.flatnonzero(mixed)
-        rows = own[some]
+        some = kept & (n_contexts[entry] > 1)
+        rows, entry, documents = own[some], entry[some], documents[some]
+        salts = -(-n_contexts[entry] // per_salt)
+        salt = cells.mix(batch.doc_ids[documents].view(np.uint64)) % salts.astype(np.uint64)
+        salt = np.where(salts > 1, salt + np.uint64(1), np.uint64(0))
+        part = (cells.mix(batch.ids[rows] ^ cells.mix(salt + np.uint64(7))) % np.uint64(parts)).astype(np.int64)
         unsure = pd.DataFrame({
-            "kind": np.where(salts[some] > 1, 2, 1), "batch": key[0], "place": place[some], "doc_id": batch.doc_ids[documents[some]],
-            "start": batch.first[rows], "stop": batch.last[rows] + length, "part": part[some],
-            "text": [batch.data[d][a:b].tobytes() for d, a, b in zip(documents[some], batch.first[rows], batch.last[rows] + length)],
+            "kind": np.where(salts > 1, 2, 1), "batch": key[0], "place": place[some], "doc_id": batch.doc_ids[documents],
+            "start": batch.first[rows], "stop": batch.last[rows] + length, "part": part,
+            "text": [batch.data[d][a:b].tobytes() for d, a, b in zip(documents, batch.first[rows], batch.last[rows] + length)],
             "before": batch.at[rows] - batch.first[rows],
         })
         return pd.concat([sure, unsure], ignore_index=True)
@@ -240,6 +242,19 @@ def settle(length: int, grams: int, buckets: int, parts: int, per_salt: int):
     return run
 
 
+def touching(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans (owner, start, stop) with those of an owner that touch or overlap made one."""
+    order = np.lexsort((start, owner))
+    owner, start, stop = owner[order], start[order], stop[order]
+    if not len(owner):
+        return owner, start, stop
+    # an owner's spans lie above those of the owner before
+    lift = owner * np.int64(1 << 40)
+    reach = np.maximum.accumulate(stop + lift)
+    edge = np.flatnonzero(np.append(True, (start + lift)[1:] > reach[:-1]))
+    return owner[edge], start[edge], (reach - lift)[np.append(edge[1:], len(owner)) - 1]
+
+
 class Suffixes:
     """Suffixes of a byte string, compared on their first ``limit`` bytes."""
 
@@ -256,6 +271,15 @@ class Suffixes:
             low, high = np.where(open_ & same, mid, low), np.where(open_ & ~same, mid - 1, high)
         return low
 
+    def common_before(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Common bytes just before two places, ``most`` at most."""
+        low, high = np.zeros(len(a), np.int64), most.copy()
+        while (open_ := low < high).any():
+            mid = (low + high + 1) // 2
+            same = self.rolling.of(a - mid, a) == self.rolling.of(b - mid, b)
+            low, high = np.where(open_ & same, mid, low), np.where(open_ & ~same, mid - 1, high)
+        return low
+
     def precedes(self, a: np.ndarray, b: np.ndarray, at_tie: np.ndarray) -> np.ndarray:
         n = self.common(a, b)
         last = len(self.data) - 1
@@ -314,55 +338,106 @@ def compare(length: int, grams: int):
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "start", "batch", "place"], ignore_index=True)
-        data, start, row, offset = windows(frame, length)
-        suffixes = Suffixes(data, length)
-        anchor = suffixes.rolling.of(start + offset, start + offset + grams)
-        order = np.lexsort((np.arange(len(row)), offset, anchor))
-        start, row, offset, anchor = start[order], row[order], offset[order], anchor[order]
-        segment = np.cumsum(np.append(False, (np.diff(anchor) != 0) | (np.diff(offset) != 0)))
-        order = suffixes.sort(start, segment)
-        start, row, segment = start[order], row[order], segment[order]
-        same = np.zeros(len(start), bool)
-        same[1:] = segment[1:] == segment[:-1]
-        twin = np.flatnonzero(same)
-        same[twin] = suffixes.common(start[twin], start[twin - 1]) >= length
-        twin = np.flatnonzero(same)
-        reach = np.arange(length)
-        for c in range(0, len(twin), 1 << 16):
-            k = twin[c : c + (1 << 16)]
-            if (data[start[k][:, None] + reach] != data[start[k - 1][:, None] + reach]).any():
-                raise RuntimeError("two different strings have the same hash")
-        head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-        base = np.cumsum([0, *map(len, frame["text"])])[:-1]
-        doc_id, begin = frame["doc_id"].to_numpy()[row], frame["start"].to_numpy()[row] + start - base[row]
-        # within a string's suffixes the sort keeps the order of documents and places
-        repeat = same & ((doc_id != doc_id[head]) | (begin != begin[head]))
-        salted = frame["kind"].to_numpy()[row] == 2
-        out = [span_rows(frame, row[repeat], begin[repeat], length)]
-        distinct = ~repeat & salted
-        if distinct.any():
-            own = span_rows(frame, row[distinct], begin[distinct], 1, merged=False)
-            second = cells.Rolling(data, SECOND).of(start[distinct], start[distinct] + length)
-            told = np.stack([suffixes.rolling.of(start[distinct], start[distinct] + length), second], axis=1)
-            out.append(own.assign(kind=3, stop=own["start"] + length, text=[x.tobytes() for x in told]))
+        sizes = np.array([len(t) for t in frame["text"]], np.int64)
+        data = np.frombuffer(b"".join(frame["text"]), np.uint8)
+        at = np.cumsum(sizes) - sizes + frame["before"].to_numpy()
+        anchor = cells.Rolling(data).of(at, at + grams)
+        _, group, members = np.unique(anchor, return_inverse=True, return_counts=True)
+        small = (members[group] <= SMALL) & (frame["kind"].to_numpy() == 1)
+        out = []
+        if small.any():
+            out.append(extended(frame[small].reset_index(drop=True), group[small], length))
+        if not small.all():
+            out += sorted_windows(frame[~small].reset_index(drop=True), length, grams)
         return pd.concat(out, ignore_index=True)
 
     return run
 
 
-def span_rows(frame: pd.DataFrame, row: np.ndarray, begin: np.ndarray, length: int, merged: bool = True) -> pd.DataFrame:
-    """Windows as kind 0 rows; neighbouring ones of a context as one."""
-    order = np.lexsort((begin, row)) if merged else np.arange(len(row))
-    row, begin = row[order], begin[order]
-    new = np.ones(len(row), bool)
-    if merged and len(row):
-        new[1:] = (np.diff(row) != 0) | (np.diff(begin) != 1)
-    edge = np.flatnonzero(new)
-    last = np.append(edge[1:], len(row)) - 1 if len(row) else edge
-    own = frame.iloc[row[edge]]
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, at_once: int = 1 << 16) -> None:
+    """Verifies that the stretches found equal by hash are equal."""
+    for c in range(0, len(a), at_once):
+        n = sizes[c : c + at_once]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if (data[np.repeat(a[c : c + at_once], n) + within] != data[np.repeat(b[c : c + at_once], n) + within]).any():
+            raise RuntimeError("two different strings have the same hash")
+
+
+def extended(frame: pd.DataFrame, group: np.ndarray, length: int) -> pd.DataFrame:
+    """Repeated stretches among few contexts of an anchor.
+
+    The suffixes at the anchors are sorted; two of them agree to the right as far as the least common extension of
+    neighbours between them, and to the left as far as a binary search over the prefix hashes tells.
+    """
+    sizes = np.array([len(t) for t in frame["text"]], np.int64)
+    data = np.concatenate([np.frombuffer(b"".join(frame["text"]), np.uint8), np.zeros(length, np.uint8)])
+    left = frame["before"].to_numpy()
+    base = np.cumsum(sizes) - sizes
+    order = np.lexsort((np.arange(len(frame)), group))
+    suffixes = Suffixes(data, length)
+    order = order[suffixes.sort((base + left)[order], group[order])]
+    group, at, left, right = group[order], (base + left)[order], left[order], (sizes - left)[order]
+    doc_id, begin = frame["doc_id"].to_numpy()[order], frame["start"].to_numpy()[order] + left
+    reach = np.full(len(order), length, np.int64)  # common extension of i and i + step to the right
+    neighbour = np.append(suffixes.common(at[:-1], at[1:]), 0)
+    row, start, stop = [], [], []
+    for step in range(1, SMALL):
+        i = np.flatnonzero(group[: len(group) - step] == group[step:])
+        if not len(i):
+            break
+        reach[i] = np.minimum(reach[i], neighbour[i + step - 1])
+        j = i + step
+        ahead = np.minimum(reach[i], np.minimum(right[i], right[j]))
+        most = np.minimum(left[i], left[j])
+        may = (ahead + most >= length) & ((doc_id[i] != doc_id[j]) | (begin[i] != begin[j]))
+        i, j, ahead, most = i[may], j[may], ahead[may], most[may]
+        back = suffixes.common_before(at[i], at[j], most)
+        hit = back + ahead >= length
+        i, j, ahead, back = i[hit], j[hit], ahead[hit], back[hit]
+        same_bytes(data, at[i] - back, at[j] - back, back + ahead)
+        later = np.where((doc_id[i] > doc_id[j]) | ((doc_id[i] == doc_id[j]) & (begin[i] > begin[j])), i, j)
+        row.append(order[later])
+        start.append(begin[later] - back)
+        stop.append(begin[later] + ahead)
+    row, start, stop = (np.concatenate([np.empty(0, np.int64), *x]) for x in (row, start, stop))
+    return span_rows(frame, *touching(row, start, stop))
+
+
+def sorted_windows(frame: pd.DataFrame, length: int, grams: int) -> list[pd.DataFrame]:
+    """Repeated windows among many contexts of an anchor: all their windows are sorted as suffixes."""
+    data, start, row, offset = windows(frame, length)
+    suffixes = Suffixes(data, length)
+    anchor = suffixes.rolling.of(start + offset, start + offset + grams)
+    order = np.lexsort((np.arange(len(row)), offset, anchor))
+    start, row, offset, anchor = start[order], row[order], offset[order], anchor[order]
+    segment = np.cumsum(np.append(False, (np.diff(anchor) != 0) | (np.diff(offset) != 0)))
+    order = suffixes.sort(start, segment)
+    start, row, segment = start[order], row[order], segment[order]
+    same = np.zeros(len(start), bool)
+    same[1:] = segment[1:] == segment[:-1]
+    twin = np.flatnonzero(same)
+    same[twin] = suffixes.common(start[twin], start[twin - 1]) >= length
+    twin = np.flatnonzero(same)
+    same_bytes(data, start[twin], start[twin - 1], np.full(len(twin), length))
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+    base = np.cumsum([0, *map(len, frame["text"])])[:-1]
+    doc_id, begin = frame["doc_id"].to_numpy()[row], frame["start"].to_numpy()[row] + start - base[row]
+    # within a string's suffixes the sort keeps the order of documents and places
+    repeat = same & ((doc_id != doc_id[head]) | (begin != begin[head]))
+    out = [span_rows(frame, *touching(row[repeat], begin[repeat], begin[repeat] + length))]
+    distinct = ~repeat & (frame["kind"].to_numpy()[row] == 2)
+    if distinct.any():
+        own = span_rows(frame, row[distinct], begin[distinct], begin[distinct] + length)
+        first, second = (cells.Rolling(data, v).of(start[distinct], start[distinct] + length) for v in (None, SECOND))
+        out.append(own.assign(kind=3, text=[x.tobytes() for x in np.stack([first, second], axis=1)]))
+    return out
+
+
+def span_rows(frame: pd.DataFrame, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pd.DataFrame:
+    own = frame.iloc[row]
     return pd.DataFrame({
         "kind": 0, "batch": own["batch"].to_numpy(), "place": own["place"].to_numpy(), "doc_id": own["doc_id"].to_numpy(),
-        "start": begin[edge], "stop": begin[last] + length, "part": 0, "text": None, "before": 0,
+        "start": start, "stop": stop, "part": 0, "text": None, "before": 0,
     })
 
 

@@ -101,18 +101,37 @@ def test_anchors_are_equal_for_equal_windows():
         assert x == y
 
 
-def test_long_texts_in_chunks(spark, monkeypatch):
-    rows = corpus(9, 30)
-    whole = suffixes.Anchors.__init__
-    monkeypatch.setattr(suffixes.Anchors, "__init__", lambda self, data, length, grams: whole(self, data, length, grams, 37))
-    data = suffixes.document_bytes(rows[3][1])
-    small, window = suffixes.Anchors(data, 100, 24), np.arange(len(data) - 99)
-    monkeypatch.undo()
-    large = suffixes.Anchors(data, 100, 24)
+def test_long_texts_in_chunks():
+    data = suffixes.document_bytes(max((t for _, t in corpus(9, 30)), key=len))
+    window = np.arange(len(data) - 99)
+    large, small = suffixes.Anchors(data, 100, 24), suffixes.Anchors(data, 100, 24, chunk=37)
     owner = [t.at[np.searchsorted(t.first, window, side="right") - 1] for t in (small, large)]
     assert np.array_equal(*owner) and len(small.at) > len(large.at)
 
 
+@pytest.mark.parametrize("small", [0, 3, 32])
+def test_few_and_many_contexts_agree(monkeypatch, small):
+    """The same steps without Spark, in two batches."""
+    import pandas as pd
+
+    monkeypatch.setattr(suffixes, "SMALL", small)
+    rows = sorted(corpus(12, 60))
+    frames = [pd.DataFrame(x, columns=["doc_id", "text"]).assign(place=range(len(x))) for x in (rows[::2], rows[1::2])]
+    sent = [(i, b, c) for i, f in enumerate(frames) for b, c in suffixes.Batch(f["doc_id"].tolist(), f["text"].tolist(), 100, 24, 3).cells()]
+    told = pd.concat([suffixes.reply((b,), pd.DataFrame([(i, c) for i, x, c in sent if x == b], columns=["batch", "data"])) for b in range(3)])
+    settled = [suffixes.settle(100, 24, 3, 1, 10**6)((i,), f, told[told["batch"] == i]) for i, f in enumerate(frames)]
+    spans = pd.concat(settled)
+    spans = pd.concat([spans[spans["kind"] == 0], suffixes.compare(100, 24)(spans[spans["kind"] > 0])])
+    got = []
+    for i, f in enumerate(frames):
+        for place, (doc_id, text) in enumerate(zip(f["doc_id"], f["text"])):
+            own = spans[(spans["batch"] == i) & (spans["place"] == place)]
+            runs = suffixes.merged_spans(own["start"].to_numpy(), own["stop"].to_numpy())
+            data = text.encode()
+            got.append((doc_id, len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(suffixes.kept_bytes(data, runs)).hexdigest()))
+    assert sorted(got, key=str) == brute(rows)
+
+
 def test_collisions_are_errors_not_removals(monkeypatch):
     import pandas as pd
 
