@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blotter.llm import cells
 from blotter.llm.common import materialize, partitions_for, ship
@@ -147,11 +148,11 @@ def send_anchors(docs: DataFrame, length: int, grams: int, buckets: int) -> Data
                     schema=CELL_SCHEMA,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, CELL)
+    return docs.mapInArrow(run, CELL)
 
 
 def send_documents(docs: DataFrame) -> DataFrame:
-    """batch, place, doc_id, text: the documents under the same batch names."""
+    """batch, place and the documents' columns, under the same batch names (so all columns go both times)."""
 
     def run(batches):
         partition, number = TaskContext.get().partitionId(), 0
@@ -159,12 +160,11 @@ def send_documents(docs: DataFrame) -> DataFrame:
             for part in cells.slices(arrow, BATCH_ROWS, BATCH_BYTES):
                 name = cells.batch_name(partition, number, part["doc_id"].to_pylist())
                 number += 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), name)), pa.array(np.arange(len(part), dtype=np.int32)), part["doc_id"], part["text"]],
-                    names=["batch", "place", "doc_id", "text"],
-                )
+                marks = [pa.array(np.full(len(part), name)), pa.array(np.arange(len(part), dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays([*marks, *part.columns], names=["__batch", "__place", *part.schema.names])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "batch long, place int, doc_id long, text string")
+    schema = T.StructType([T.StructField("__batch", T.LongType()), T.StructField("__place", T.IntegerType()), *docs.schema.fields])
+    return docs.mapInArrow(run, schema)
 
 
 def reply(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -449,6 +449,7 @@ def spans_of(docs: DataFrame, length: int, grams: int, per_salt: int) -> DataFra
     replies = send_anchors(docs, length, grams, buckets).groupBy("bucket").applyInPandas(reply, CELL)
     settled = materialize(
         send_documents(docs)
+        .select(F.col("__batch").alias("batch"), F.col("__place").alias("place"), "doc_id", "text")
         .groupBy("batch")
         .cogroup(replies.groupBy("batch"))
         .applyInPandas(settle(length, grams, buckets, parts, per_salt), SPANS)
@@ -467,10 +468,10 @@ def spans_of(docs: DataFrame, length: int, grams: int, per_salt: int) -> DataFra
 SPAN_COLUMNS = ("batch", "place", "start", "stop")
 
 
-def merged_spans(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal runs covered by the spans."""
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal runs covered by the spans (start, stop)."""
     out: list[tuple[int, int]] = []
-    for a, b in sorted(zip(start.tolist(), stop.tolist())):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
@@ -478,24 +479,19 @@ def merged_spans(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def per_document(docs: DataFrame, length: int, grams: int, per_salt: int, result, schema: str) -> DataFrame:
-    """``result(doc_id, bytes, removed spans)`` of every document with an id."""
+def per_document(docs: DataFrame, length: int, grams: int, per_salt: int, result, schema: T.StructType) -> DataFrame:
+    """``result(table, removed spans per row)`` of every batch of documents, a table of ``schema``."""
     spans = spans_of(docs, length, grams, per_salt)
     packed = spans.groupBy("batch", "place").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # of one document
 
-    def run(frame: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        if not len(frame):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
             raise RuntimeError("the documents read differently the second time; write them to a table first")
-        removed = dict(zip(told["place"], told["spans"]))
-        rows = []
-        for place, doc_id, text in zip(frame["place"], frame["doc_id"], frame["text"]):
-            own = removed.get(place, ())
-            runs = merged_spans(np.array([s["start"] for s in own]), np.array([s["stop"] for s in own]))
-            rows.append((doc_id, *result((text or "").encode(), runs)))
-        return pd.DataFrame(rows, columns=["doc_id", *result_names])
+        told = dict(zip(right["place"].to_pylist(), right["spans"].to_pylist()))
+        own = [told.get(p, ()) for p in left["__place"].to_pylist()]
+        return result(left, [merged_spans([(s["start"], s["stop"]) for s in x]) for x in own])
 
-    result_names = [c.split()[0] for c in schema.split(", ")][1:]
-    return send_documents(docs).groupBy("batch").cogroup(packed.groupBy("batch")).applyInPandas(run, schema)
+    return send_documents(docs).groupBy("__batch").cogroup(packed.groupBy("batch")).applyInArrow(run, schema)
 
 
 def kept_bytes(data: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -508,10 +504,16 @@ def removal_digests(docs: DataFrame, length: int = 100, grams: int = 24, per_sal
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     ship(docs.sparkSession)
 
-    def result(data: bytes, runs: list[tuple[int, int]]):
-        return len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept_bytes(data, runs)).hexdigest()
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    def result(documents: pa.Table, removed: list) -> pa.Table:
+        rows = []
+        for doc_id, text, runs in zip(documents["doc_id"].to_pylist(), documents["text"].to_pylist(), removed):
+            data = (text or "").encode()
+            told = hashlib.sha256(kept_bytes(data, runs)).hexdigest()
+            rows.append((doc_id, len(data), sum(b - a for a, b in runs), len(runs), told))
+        return pa.table(dict(zip(names, zip(*rows))))
+
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in names[:4]] + [T.StructField(names[4], T.StringType())])
     named = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     text = F.coalesce(F.col("text"), F.lit(""))
     nameless = docs.filter("doc_id IS NULL").select(
@@ -519,3 +521,21 @@ def removal_digests(docs: DataFrame, length: int = 100, grams: int = 24, per_sal
         F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"),
     )
     return per_document(named, length, grams, per_salt, result, schema).unionByName(nameless)
+
+
+def remove_repeats(docs: DataFrame, length: int = 100, grams: int = 24, per_salt: int = 4096) -> DataFrame:
+    """The rows with all their columns, ``text`` without the repeated bytes.
+
+    A character of which bytes were removed goes as a whole; a text of which nothing was removed stays as it is.
+    """
+    ship(docs.sparkSession)
+
+    def result(documents: pa.Table, removed: list) -> pa.Table:
+        texts = [
+            kept_bytes(t.encode(), runs).decode("utf-8", "ignore") if runs else t for t, runs in zip(documents["text"].to_pylist(), removed)
+        ]
+        own = documents.set_column(documents.schema.get_field_index("text"), "text", pa.array(texts, documents.schema.field("text").type))
+        return own.drop_columns(["__batch", "__place"])
+
+    named = docs.filter("doc_id IS NOT NULL")
+    return per_document(named, length, grams, per_salt, result, named.schema).unionByName(docs.filter("doc_id IS NULL"))

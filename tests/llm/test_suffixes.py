@@ -68,6 +68,15 @@ def test_odd_rows(spark):
     assert run(spark, [], parts=1) == []
 
 
+def test_remove_repeats_keeps_columns_and_whole_characters(spark):
+    p = "".join(chr(0x100 + i) for i in range(60))
+    rows = [(1, p, None, 1.5), (2, "a" + p + "b" * 10, "x", None), (3, None, "y", 0.0), (None, p, "z", 2.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, part double")
+    out = suffixes.remove_repeats(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], (2, "a" + "b" * 10, "x", None), rows[2], rows[3]], key=str)
+
+
 def test_short_strings_and_other_lengths(spark):
     r = random.Random(7)
     rows = [(i, "".join(r.choices("ab", k=r.randint(0, 60)))) for i in range(60)]
@@ -126,7 +135,7 @@ def test_few_and_many_contexts_agree(monkeypatch, small):
     for i, f in enumerate(frames):
         for place, (doc_id, text) in enumerate(zip(f["doc_id"], f["text"])):
             own = spans[(spans["batch"] == i) & (spans["place"] == place)]
-            runs = suffixes.merged_spans(own["start"].to_numpy(), own["stop"].to_numpy())
+            runs = suffixes.merged_spans(list(zip(own["start"].tolist(), own["stop"].tolist())))
             data = text.encode()
             got.append((doc_id, len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(suffixes.kept_bytes(data, runs)).hexdigest()))
     assert sorted(got, key=str) == brute(rows)
