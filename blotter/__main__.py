@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from blotter.operators.joins import STRATEGIES
 from blotter.plans import descent, ingest, months, part_of_day, stations
 from blotter.sources.csv import read_incidents, read_income, read_revgeo, read_stations
-from blotter.sources.periods import union_periods
+from blotter.sources.periods import union_all, union_periods
 
 
 def _incidents(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -39,7 +39,8 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return ingest.incidents_schema_report([read_incidents(spark, p) for p in args.incidents])
     inc = _incidents(spark, args.incidents)
     if q == "top-months":
-        return (months.top_months_per_year_sql if args.api == "sql" else months.top_months_per_year)(inc, args.k)
+        fn = months.top_months_per_year_sql if args.api == "sql" else months.top_months_per_year
+        return fn(inc, args.k, args.date_column)
     if q == "part-of-day":
         fn = {"dataframe": part_of_day.street_by_part_of_day, "sql": part_of_day.street_by_part_of_day_sql,
               "rdd": part_of_day.street_by_part_of_day_rdd}[args.api]
@@ -60,7 +61,9 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             fn = stations.nearest_by_year_sql if args.api == "sql" else stations.nearest_by_year
         else:
             fn = stations.nearest_by_division_sql if args.api == "sql" else stations.nearest_by_division
-        return fn(inc, st)
+        # every coordinate, without the whole-row distinct: occupied cells come from two columns of the raw files
+        cover = union_all([read_incidents(spark, p, columns=["LAT", "LON"]) for p in args.incidents])
+        return fn(inc, st, cover)
     raise ValueError(f"unknown question {q!r}")
 
 
@@ -76,6 +79,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--strategy", choices=STRATEGIES, default="auto")
     p.add_argument("--by", choices=["year", "division"], default="year")
     p.add_argument("--k", type=int, default=3)
+    p.add_argument("--date-column", default=months.REPORTED, help="date whose months top-months counts")
     p.add_argument("--year", type=int, default=2015)
     p.add_argument("--exclude", type=int, nargs="*", default=[91046, 91210])
     p.add_argument("--premise", default="STREET")

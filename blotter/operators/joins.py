@@ -1,151 +1,96 @@
 """Joins with a selectable physical strategy, and dimension-restricted facts.
 
-The reference compares four strategies (broadcast hash, sort-merge, shuffled
-hash, shuffle-and-replicate nested loop) on the same query. Here a strategy is
-a Spark join hint placed on the *build* side (the right argument by
-convention), behind checks that keep each strategy safe at any scale:
-
-* ``broadcast`` only when the build side is proven small by a bounded row
-  count (``limit(n+1).count()`` stops after n+1 rows); otherwise it falls back
-  to a sort-merge join, which spills rather than holding a large build side in
-  memory. Statistics estimates are never trusted for this.
-* ``shuffle_replicate_nl`` evaluates every pair, so it is honoured only when
-  the pair count is proven below ``max_nl_pairs`` by bounded counts of both
-  sides; otherwise it falls back to a sort-merge join. It is applied to
-  inner joins only (Spark ignores it for semi joins).
+The reference compares physical strategies on the same query. Here a strategy
+is a Spark join hint placed on the *build* side (the right argument by
+convention). A named strategy is done as named or raises; none is swapped for
+another by size:
+
+* ``broadcast`` writes the build side once into the checkpoint folder and
+  measures its bytes there; above ``max_broadcast_bytes`` it raises.
 * ``merge`` / ``shuffle_hash`` shuffle both sides on the key; AQE's skew-join
   handling splits a hot key's partition on the streamed side.
-* ``auto`` broadcasts a proven-small side, otherwise leaves the choice to AQE,
-  which re-plans from the *measured* size of the shuffled build side.
+* ``auto`` carries no hint: AQE re-plans from the *measured* size of the
+  shuffled build side.
+
+The nested loop, which evaluates every pair, is not offered.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-log = logging.getLogger(__name__)
+from ..session import materialize, materialize_counted
 
-STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
+STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
-# Row bound for a broadcast build side. A few million narrow rows stay well
-# under the default 8 GiB broadcast limit; callers with wide rows pass less.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-# Above this estimated size a side is treated as large without counting it.
-DEFAULT_OBVIOUSLY_LARGE_BYTES = 256 * 1024 ** 3
-# Pair bound for nested-loop strategies (every pair is evaluated).
-DEFAULT_MAX_NL_PAIRS = 50_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 ** 2
 
 
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Row count of ``df`` capped at ``bound + 1`` (stops reading once exceeded)."""
-    return df.limit(bound + 1).count()
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: text and binary by their length, nested values by their JSON text, 16 per column besides."""
+    total = F.lit(16)
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        total = total + 16
+    return total.cast("bigint")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (an estimate, never used as a proof of smallness)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written once into the checkpoint folder, and its bytes, gathered by the same job."""
+    out, seen = materialize_counted(df, bytes=F.sum(row_bytes(df)))
+    return out, int(seen["bytes"] or 0)
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-             obviously_large_bytes: int = DEFAULT_OBVIOUSLY_LARGE_BYTES) -> bool:
-    """Proof that ``df`` has at most ``max_rows`` rows.
-
-    The proof is a bounded count. When Catalyst already estimates the input in
-    the hundreds of GiB the answer is "not small" without counting, so the
-    check never turns into a full scan of a big table; that shortcut can only
-    err toward a shuffle join, which is always correct.
-    """
-    if estimated_bytes(df) > obviously_large_bytes:
-        return False
-    return bounded_count(df, max_rows) <= max_rows
+def broadcast_side(df: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` hinted for broadcast, once its measured bytes are within the bound; else an error."""
+    out, size = measured(df)
+    if size > max_broadcast_bytes:
+        raise ValueError(f"the build side has {size} bytes, above the {max_broadcast_bytes} that may be broadcast")
+    return F.broadcast(out)
 
 
-def resolve_strategy(left: DataFrame, right: DataFrame, strategy: str, how: str = "inner",
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS, right_max_rows: int | None = None) -> str:
-    """The strategy actually used after the safety checks.
-
-    ``right_max_rows`` is a bound the caller holds by construction (e.g. the
-    output of ordered limits); it stands in for the bounded count.
-    """
+def hinted(df: DataFrame, strategy: str, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` as the build side of ``strategy``."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; choose from {STRATEGIES}")
-    if strategy in ("broadcast", "auto"):
-        proven = right_max_rows is not None and right_max_rows <= max_broadcast_rows
-        if proven or is_small(right, max_broadcast_rows):
-            return "broadcast"
-        if strategy == "broadcast":
-            log.warning("build side exceeds %d rows; using merge instead of broadcast", max_broadcast_rows)
-            return "merge"
-        return "auto"
-    if strategy == "shuffle_replicate_nl":
-        if how != "inner":
-            raise ValueError("shuffle_replicate_nl applies to inner joins only")
-        if max(estimated_bytes(left), estimated_bytes(right)) > DEFAULT_OBVIOUSLY_LARGE_BYTES:
-            log.warning("inputs estimated too large for a nested loop; using merge")
-            return "merge"
-        n_right = bounded_count(right, max_nl_pairs)
-        if n_right == 0:
-            return strategy
-        n_left = bounded_count(left, max_nl_pairs // n_right if n_right <= max_nl_pairs else 0)
-        if n_right <= max_nl_pairs and n_left * n_right <= max_nl_pairs:
-            return strategy
-        log.warning("pair count above %d; using merge instead of a nested loop", max_nl_pairs)
-        return "merge"
-    return strategy
-
-
-def sql_hint(df: DataFrame, alias: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> str:
-    """A SQL join hint for relation ``alias``: BROADCAST when ``df`` is proven small, else MERGE."""
-    return f"/*+ {'BROADCAST' if is_small(df, max_rows) else 'MERGE'}({alias}) */"
-
-
-def hinted(df: DataFrame, strategy: str) -> DataFrame:
-    """``df`` with the join hint for ``strategy`` (``auto``: none)."""
+    if strategy == "broadcast":
+        return broadcast_side(df, max_broadcast_bytes)
     return df if strategy == "auto" else df.hint(strategy)
 
 
 def join_with_strategy(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column,
                        how: str = "inner", strategy: str = "auto",
-                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS, right_max_rows: int | None = None) -> DataFrame:
+                       max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``left.join(right, on, how)`` with ``right`` as the hinted build side."""
-    used = resolve_strategy(left, right, strategy, how, max_broadcast_rows, max_nl_pairs, right_max_rows)
-    return left.join(hinted(right, used), on, how)
+    return left.join(hinted(right, strategy, max_broadcast_bytes), on, how)
 
 
 def restrict_by_dimension(facts: DataFrame, lookup: DataFrame, dims: DataFrame,
                           lookup_dim_key: str, dim_key: str, fact_keys: Sequence[str],
                           strategy: str = "auto",
-                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                          max_nl_pairs: int = DEFAULT_MAX_NL_PAIRS, dims_max_rows: int | None = None) -> DataFrame:
+                          max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Facts whose ``fact_keys`` appear in ``lookup`` rows that point at ``dims``.
 
     Three steps: ``lookup`` joined to the selected ``dims`` (inner, on
     ``lookup_dim_key == dim_key``) -> distinct ``fact_keys`` -> facts restricted
     to those keys. Because the keys are distinct, the last step is a semi join
-    (rows of ``facts`` are never duplicated); under the nested-loop strategy it
-    is written as the equivalent inner join, which that strategy requires.
+    (rows of ``facts`` are never duplicated).
 
-    The restricted key set is checkpointed: it is size-checked and then reused
-    by the final join, and a lost executor does not recompute it.
-    ``dims_max_rows`` passes a size bound of ``dims`` known by construction.
+    The restricted key set is checkpointed, so a lost executor does not
+    recompute it.
     """
-    from ..session import materialize_counted
-
     dim_keys = dims.select(F.col(dim_key).alias("__dim_key")).distinct()
     joined = join_with_strategy(lookup, dim_keys, F.col(lookup_dim_key) == F.col("__dim_key"),
-                                "inner", strategy, max_broadcast_rows, max_nl_pairs, dims_max_rows)
-    keys, seen = materialize_counted(joined.select(*fact_keys).distinct())
-    if strategy == "shuffle_replicate_nl":
-        used = resolve_strategy(facts, keys, strategy, "inner", max_broadcast_rows, max_nl_pairs)
-        if used == "shuffle_replicate_nl":
-            return facts.join(hinted(keys, used), list(fact_keys), "inner")
-        strategy = used
-    return join_with_strategy(facts, keys, list(fact_keys), "left_semi", strategy,
-                              max_broadcast_rows, max_nl_pairs, right_max_rows=seen["rows"])
+                                "inner", strategy, max_broadcast_bytes)
+    keys = joined.select(*fact_keys).distinct()
+    if strategy != "broadcast":  # a broadcast side is written by its size check
+        keys = materialize(keys)
+    return join_with_strategy(facts, keys, list(fact_keys), "left_semi", strategy, max_broadcast_bytes)

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import EARTH_RADIUS_KM, haversine_km, is_valid_coordinate
 from ..session import materialize_counted
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, hinted, is_small
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, measured, row_bytes
 
 # Slack (km) on every bound comparison; far above haversine rounding error.
 _EPS_KM = 1e-7
@@ -180,18 +180,16 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
     d0 = 360.0 / (2 ** exponent)
     clat = (F.col("__y0") + 0.5) * F.lit(d0) - 90.0  # fine-cell centre
     clon = (F.col("__x0") + 0.5) * F.lit(d0) - 180.0
-    # Site blocks are 9 rows per site: broadcast them only under a proven bound
-    # (the exact count from choosing the grid, else a bounded count).
-    bound = DEFAULT_MAX_BROADCAST_ROWS // 9
-    small = site_count <= bound if site_count is not None else is_small(sites, bound)
-    block_strategy = "broadcast" if small else "merge"
+    # Site blocks are 9 rows per site: broadcast them only under a measured bound.
+    sites, site_bytes = measured(sites)
+    block_hint = "broadcast" if 9 * (site_bytes + 32) <= DEFAULT_MAX_BROADCAST_BYTES else "merge"
     site_struct = F.struct(F.col("__slat"), F.col("__slon"), *[F.col(f"`{c}`") for c in carry])
     cell = ["__x0", "__y0"]
 
     top = exponent - 1  # level whose cells are 180 degrees: the block is the globe
     pending = cells  # computed inside the first level job; later levels read checkpoints
     resolved_parts: list[DataFrame] = []
-    resolved_rows = 0
+    resolved_bytes = 0
     first = min(start_level, top)
     batch_start = first
     while batch_start <= top:
@@ -221,7 +219,7 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
                 units
                 .withColumn("__bx", F.shiftright(ux, lag))
                 .withColumn("__by", F.shiftright(uy, lag))
-                .join(hinted(_site_blocks(sites, d0 * (2 ** level)), block_strategy), ["__bx", "__by"],
+                .join(_site_blocks(sites, d0 * (2 ** level)).hint(block_hint), ["__bx", "__by"],
                       "left" if identity else "inner")
                 .withColumn("__rc", _cell_radius(F.col(uy), du))
                 .withColumn("__dc", haversine_km(ulat, ulon, F.col("__slat"), F.col("__slon")))
@@ -259,16 +257,17 @@ def candidate_cells(cells: DataFrame, sites: DataFrame, exponent: int, carry: Se
             resolved = (fine_rows.filter(F.col("__dc") - F.col("__rc") <= F.col("__min_ub") + _EPS_KM)
                         .groupBy(*cell).agg(F.collect_list(site_struct).alias("__cands")))
             per_cell = pending.join(resolved, cell, "left")
-        result, seen = materialize_counted(per_cell, unresolved=F.count_if(F.col("__cands").isNull()))
+        result, seen = materialize_counted(per_cell, unresolved=F.count_if(F.col("__cands").isNull()),
+                                           bytes=F.sum(F.when(F.col("__cands").isNotNull(), row_bytes(per_cell))))
         resolved_parts.append(result.filter(F.col("__cands").isNotNull()))
-        resolved_rows += seen["rows"] - seen["unresolved"]
+        resolved_bytes += int(seen["bytes"] or 0)
         if seen["unresolved"] == 0:
             break
         pending = result.filter(F.col("__cands").isNull()).select(*cell)
     out = resolved_parts[0]
     for p in resolved_parts[1:]:
         out = out.unionByName(p)
-    return out, resolved_rows
+    return out, resolved_bytes
 
 
 @dataclass
@@ -310,23 +309,23 @@ class SiteGrid:
         return df.withColumns({"__x0": F.when(ok, x0), "__y0": F.when(ok, y0)})
 
     def candidate_table(self, cover: DataFrame, lat: str, lon: str) -> tuple[DataFrame, int]:
-        """Checkpointed candidate table for the cells that ``cover``'s coordinates occupy, and its row count."""
+        """Checkpointed candidate table for the cells that ``cover``'s coordinates occupy, and its bytes."""
         cells = (self.assign_cells(cover.select(lat, lon), lat, lon)
                  .filter(F.col("__x0").isNotNull()).select("__x0", "__y0").distinct())
         return candidate_cells(cells, self.sites, self.exponent, self.carry, site_count=self.site_count)
 
     def candidates(self, cover: DataFrame, lat: str, lon: str,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-        """Candidate table, hinted broadcast only when its counted size proves it small."""
-        cands, rows = self.candidate_table(cover, lat, lon)
-        return F.broadcast(cands) if rows <= max_broadcast_rows else cands.hint("merge")
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+        """Candidate table, hinted broadcast only when its measured bytes are within the bound."""
+        cands, size = self.candidate_table(cover, lat, lon)
+        return F.broadcast(cands) if size <= max_broadcast_bytes else cands.hint("merge")
 
 
 def nearest_site(points: DataFrame, sites: DataFrame, *, point_lat: str = "LAT", point_lon: str = "LON",
                  site_lat: str = "Y", site_lon: str = "X", site_cols: Sequence[str] = ("DIVISION",),
                  tie_break: Sequence[str] | None = None, distance_col: str = "distance",
                  cell_deg: float | None = None, cover: DataFrame | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, when_no_sites: str = "null") -> DataFrame:
+                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, when_no_sites: str = "null") -> DataFrame:
     """``points`` plus the nearest site's ``site_cols`` and the distance in km.
 
     When no site has usable coordinates, ``when_no_sites="null"`` keeps every
@@ -352,7 +351,7 @@ def nearest_site(points: DataFrame, sites: DataFrame, *, point_lat: str = "LAT",
         return out.filter(F.lit(False)) if when_no_sites == "drop" else out
 
     keyed = grid.assign_cells(points, point_lat, point_lon)
-    cands = grid.candidates(cover if cover is not None else points, point_lat, point_lon, max_broadcast_rows)
+    cands = grid.candidates(cover if cover is not None else points, point_lat, point_lon, max_broadcast_bytes)
     joined = keyed.join(cands, ["__x0", "__y0"], "left")
 
     plat, plon = F.col(f"`{point_lat}`"), F.col(f"`{point_lon}`")

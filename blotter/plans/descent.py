@@ -7,8 +7,8 @@ coordinate pairs -> facts of the year restricted to those pairs (semi join)
 -> count per descent label.
 
 The year filter is a range on the raw timestamp so Parquet row groups are
-skipped; the income dimension is tiny after top/bottom-k (2k rows) and the
-restricted pair set is checkpointed and size-checked before any broadcast.
+skipped; the income dimension is 2k rows after top/bottom-k, and the
+restricted pair set is checkpointed.
 """
 
 from __future__ import annotations
@@ -47,9 +47,8 @@ def dim_restricted_counts(facts: DataFrame, revgeo: DataFrame, income: DataFrame
     year_facts = facts.filter(F.col(f"`{code_col}`").isNotNull()
                               & year_equals(F.col(f"`{date_col}`"), year, date_type))
     zips = income_extremes(income, k, exclude_zips).select(ZIP)
-    # Two ordered limits of k rows: at most 2k ZIPs by construction.
     restricted = restrict_by_dimension(year_facts, revgeo, zips, lookup_dim_key="ZIPcode", dim_key=ZIP,
-                                       fact_keys=["LAT", "LON"], strategy=strategy, dims_max_rows=2 * k)
+                                       fact_keys=["LAT", "LON"], strategy=strategy)
     return (restricted.groupBy(code_label(F.col(f"`{code_col}`"), labels).alias("descent"))
             .agg(F.count(F.lit(1)).alias("victim_count"))
             .orderBy(F.desc("victim_count"), F.asc("descent")))

@@ -3,24 +3,34 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.filters import drop_missing, exclude_keys, in_range
-from ..operators.profile import row_counts, schema_report
+from ..operators.profile import schema_report
 from ..session import ensure_checkpoint_dir
-from ..sources.csv import csv_file_roundtrip, csv_text_roundtrip, typed_column, typed_select
+from ..sources.csv import csv_file_roundtrip, csv_text_roundtrip, read_incidents, typed_column, typed_select
 from ..sources.periods import tag_and_union, union_periods
 
 
 def profile_counts(periods: Sequence[DataFrame]) -> DataFrame:
-    """Row count of each period table and of their de-duplicated union."""
-    named = [(f"period_{i + 1}", p) for i, p in enumerate(periods)]
-    return row_counts([*named, ("incidents", union_periods(periods))])
+    """Row count of each period table and of their de-duplicated union, in one pass over each.
+
+    Rows are grouped once with a count per period; the counts' sums are the periods' rows, the groups the distinct ones.
+    """
+    tag = "__period"
+    tagged = tag_and_union([(str(i), p) for i, p in enumerate(periods)], tag)
+    columns = [F.col(f"`{c}`") for c in tagged.columns if c != tag]
+    rows = tagged.groupBy(*columns).agg(*[F.count_if(F.col(tag) == str(i)).alias(f"__n{i}") for i in range(len(periods))])
+    totals = rows.agg(*[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).alias(f"__n{i}") for i in range(len(periods))],
+                      F.count(F.lit(1)).alias("__distinct"))
+    named = [(f"period_{i + 1}", f"__n{i}") for i in range(len(periods))] + [("incidents", "__distinct")]
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("table"), F.col(c).alias("row_count")) for name, c in named])))
 
 
 def incidents_schema_report(periods: Sequence[DataFrame]) -> DataFrame:
@@ -73,3 +83,34 @@ def income_without(income: DataFrame, zips: Sequence[int]) -> DataFrame:
     kept = exclude_keys(income, "Zip Code", zips)
     return kept.select(F.col("`Zip Code`").alias("zip_code"),
                        F.col("`Estimated Median Income`").alias("income"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def incident_files(periods: Sequence[DataFrame]) -> DataFrame:
+    """Period tables written as 28-column incident files, read by ``read_incidents`` and united.
+
+    As in the real files, the first one's header has a blank after AREA.
+    """
+    spark = periods[0].sparkSession
+    folder, read = _scratch(spark, "incident-files"), []
+    for i, period in enumerate(periods):
+        text = [
+            (F.date_format(F.col(f"`{f.name}`"), schemas.TIMESTAMP_PATTERNS[f.name]) if f.name in schemas.TIMESTAMP_PATTERNS
+             else F.col(f"`{f.name}`").cast("string")) if f.name in period.columns else F.lit(None).cast("string")
+            for f in schemas.INCIDENT
+        ]
+        named = [c.alias("AREA " if i == 0 and f.name == "AREA" else f.name) for c, f in zip(text, schemas.INCIDENT)]
+        period.select(*named).write.option("header", "true").csv(f"{folder}/{i}")
+        read.append(read_incidents(spark, f"{folder}/{i}"))
+    dates = {c: F.col(f"`{c}`").cast("timestamp_ntz") for c in schemas.TIMESTAMP_PATTERNS}
+    return union_periods(read).withColumns(dates).select(*[F.col(f"`{c}`") for c in periods[0].columns])
+
+
+def dimension_file(df: DataFrame, reader: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """``df`` written as a CSV file with a header and read by its reader."""
+    folder = _scratch(df.sparkSession, "dimension-file")
+    df.write.option("header", "true").csv(folder)
+    return reader(df.sparkSession, folder)

@@ -8,13 +8,20 @@ definition the Spark operator must reproduce.
 
 from __future__ import annotations
 
-from ..functions.scalars import EARTH_RADIUS_KM
-from ..sources import tables as tb
-from .catalog import DESCENT_YEAR, EXCLUDED_ZIPS, EXTREME_K, STRATEGIES, STREET, TOP_MONTHS
+# --- the mapping's values, spelled out again: nothing is taken from the code under test ---
+STRATEGIES = ("broadcast", "merge", "shuffle_hash")
+EXCLUDED_ZIPS = (3, 7)
+FACT_CODES = ["A", "B", "C", "D", "F", "G", "H", "I", "J", "K", "L", "O", "P", "S", "U", "V", "W", "X", "Z", "Q"]
+LABELS = {
+    "A": "Other Asian", "B": "Black", "C": "Chinese", "D": "Cambodian", "F": "Filipino", "G": "Guamanian",
+    "H": "Hispanic/Latin/Mexican", "I": "American Indian/Alaskan Native", "J": "Japanese", "K": "Korean",
+    "L": "Laotian", "O": "Other", "P": "Pacific Islander", "S": "Samoan", "U": "Hawaiian", "V": "Vietnamese",
+    "W": "White", "X": "Unknown", "Z": "Asian Indian",
+}
+# -------------------------------------------------------------------------------------------
 
 
-def _scaled(key: str, spec: tuple[float, int, int, float]) -> str:
-    base, mult, mod, div = spec
+def _scaled(key: str, base: float, mult: int, mod: int, div: float) -> str:
     return f"({base}::DOUBLE + ({key} * {mult} % {mod}) / {div}::DOUBLE)"
 
 
@@ -22,30 +29,33 @@ def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     a = (f"pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
          f" * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)")
     return (f"(2 * asin(CASE WHEN sqrt({a}) > 1 THEN 1.0::DOUBLE ELSE sqrt({a}) END)"
-            f" * {EARTH_RADIUS_KM}::DOUBLE)")
+            f" * 6371::DOUBLE)")
 
 
 INCIDENTS = f"""
 inc_all AS (
-    SELECT o_orderkey AS "DR_NO", o_orderdate AS "DATE OCC",
-           CAST(o_custkey % {tb.AREA_MODULUS} AS INTEGER) AS "AREA",
-           CAST(o_orderkey % {tb.WEAPON_MODULUS} AS FLOAT) AS "Weapon Used Cd",
-           {_scaled('o_orderkey', tb.INCIDENT_LAT)} AS "LAT",
-           {_scaled('o_orderkey', tb.INCIDENT_LON)} AS "LON",
+    SELECT o_orderkey - CASE WHEN o_orderkey % 7 = 0 AND o_orderkey > 0 THEN 1 ELSE 0 END AS "DR_NO",
+           CASE WHEN o_orderkey % 53 <> 0 THEN o_orderdate + to_days(CAST(o_orderkey % 45 AS INTEGER)) END AS "Date Rptd",
+           CASE WHEN o_orderkey % 101 <> 0 THEN o_orderdate END AS "DATE OCC",
+           CAST(o_custkey % 27 AS INTEGER) AS "AREA",
+           CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderkey % 400 AS FLOAT) END AS "Weapon Used Cd",
+           CASE WHEN o_orderkey % 97 <> 0 THEN {_scaled('o_orderkey', 33.7, 7919, 6000, 10000.0)} END AS "LAT",
+           {_scaled('o_orderkey', -118.7, 104729, 6000, 10000.0)} AS "LON",
            o_orderstatus AS "Status", o_orderpriority AS "Crm Cd Desc"
     FROM orders
 ), p1 AS (
-    SELECT * FROM inc_all WHERE "DATE OCC" < TIMESTAMP '{tb.PERIOD_A_BEFORE}'
+    SELECT * FROM inc_all WHERE "DATE OCC" IS NULL OR "DATE OCC" < TIMESTAMP '1999-01-01'
 ), p2 AS (
-    SELECT * FROM inc_all WHERE "DATE OCC" >= TIMESTAMP '{tb.PERIOD_B_FROM}'
+    SELECT * FROM inc_all WHERE "DATE OCC" >= TIMESTAMP '1998-01-01'
 ), inc AS (
     SELECT * FROM p1 UNION SELECT * FROM p2
 )"""
 
 STATIONS = f"""
 st AS (
-    SELECT {_scaled('n_nationkey', tb.STATION_X)} AS "X", {_scaled('n_nationkey', tb.STATION_Y)} AS "Y",
-           n_nationkey AS "FID", n_name AS "DIVISION", CAST(n_nationkey AS BIGINT) AS "PREC"
+    SELECT {_scaled('n_nationkey', -118.7, 2311, 600, 1000.0)} AS "X", {_scaled('n_nationkey', 33.7, 1237, 600, 1000.0)} AS "Y",
+           CAST(n_nationkey AS INTEGER) AS "FID", n_name AS "DIVISION", n_nationkey || ' Station St' AS "LOCATION",
+           CAST(n_nationkey AS BIGINT) AS "PREC"
     FROM nation
 )"""
 
@@ -62,9 +72,9 @@ EXTREMES = f"""
 kept AS (
     SELECT * FROM income WHERE income IS NOT NULL AND NOT ({_excl})
 ), extremes AS (
-    (SELECT zip, income FROM kept ORDER BY income DESC, zip LIMIT {EXTREME_K})
+    (SELECT zip, income FROM kept ORDER BY income DESC, zip LIMIT 3)
     UNION ALL
-    (SELECT zip, income FROM kept ORDER BY income ASC, zip LIMIT {EXTREME_K})
+    (SELECT zip, income FROM kept ORDER BY income ASC, zip LIMIT 3)
 )"""
 
 
@@ -73,6 +83,8 @@ def _label(code: str, labels: dict[str, str]) -> str:
     return f"CASE WHEN {code} IS NOT NULL THEN COALESCE(CASE {code} {arms} END, {code}) END"
 
 
+CODE = f"({FACT_CODES})[CAST(l_partkey % 21 + 1 AS INTEGER)]"
+
 CLOCK_BUCKET = """CASE WHEN clock BETWEEN 500 AND 1159 THEN 'Morning'
      WHEN clock BETWEEN 1200 AND 1659 THEN 'Afternoon'
      WHEN clock BETWEEN 1700 AND 2059 THEN 'Evening'
@@ -80,7 +92,7 @@ CLOCK_BUCKET = """CASE WHEN clock BETWEEN 500 AND 1159 THEN 'Morning'
 
 TS_FMT = "%m/%d/%Y %I:%M:%S %p"
 
-_schema_cols = [("DR_NO", "bigint"), ("DATE OCC", "timestamp_ntz"), ("AREA", "int"),
+_schema_cols = [("DR_NO", "bigint"), ("Date Rptd", "timestamp_ntz"), ("DATE OCC", "timestamp_ntz"), ("AREA", "int"),
                 ("Weapon Used Cd", "float"), ("LAT", "double"), ("LON", "double"),
                 ("Status", "string"), ("Crm Cd Desc", "string")]
 SCHEMA_REPORT = f"WITH {INCIDENTS}\n" + "\nUNION ALL\n".join(
@@ -91,32 +103,32 @@ SCHEMA_REPORT = f"WITH {INCIDENTS}\n" + "\nUNION ALL\n".join(
 PART_OF_DAY = f"""
 WITH e AS (SELECT CAST(hour(ts) * 100 + minute(ts) AS INTEGER) AS clock, event_type FROM events)
 SELECT {CLOCK_BUCKET} AS part_of_day, COUNT(*) AS crime_count
-FROM e WHERE event_type = '{STREET}' GROUP BY 1
+FROM e WHERE event_type = 'click' GROUP BY 1
 """
 
 TOP_MONTHS_SQL = f"""
 WITH {INCIDENTS}, monthly AS (
-    SELECT CAST(year("DATE OCC") AS INTEGER) AS year, CAST(month("DATE OCC") AS INTEGER) AS month,
+    SELECT CAST(year("Date Rptd") AS INTEGER) AS year, CAST(month("Date Rptd") AS INTEGER) AS month,
            COUNT(*) AS crime_total
-    FROM inc WHERE "DATE OCC" IS NOT NULL GROUP BY 1, 2
+    FROM inc WHERE "Date Rptd" IS NOT NULL AND "DATE OCC" IS NOT NULL GROUP BY 1, 2
 ), ranked AS (
     SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY crime_total DESC, month) AS INTEGER) AS "rank"
     FROM monthly
 )
-SELECT year, month, crime_total, "rank" FROM ranked WHERE "rank" <= {TOP_MONTHS}
+SELECT year, month, crime_total, "rank" FROM ranked WHERE "rank" <= 3
 """
 
 DESCENT = f"""
 WITH {INCOME}, {EXTREMES}, pairs AS (
     SELECT DISTINCT CAST(l_partkey AS DOUBLE) AS lat, CAST(l_suppkey AS DOUBLE) AS lon
-    FROM lineitem JOIN extremes ON l_suppkey = extremes.zip
+    FROM lineitem JOIN extremes ON (l_partkey + l_suppkey) % 97 + 1 = extremes.zip
 ), facts AS (
-    SELECT CAST(l_partkey AS DOUBLE) AS lat, CAST(l_suppkey AS DOUBLE) AS lon, l_returnflag AS code
+    SELECT CAST(l_partkey AS DOUBLE) AS lat, CAST(l_suppkey AS DOUBLE) AS lon, {CODE} AS code
     FROM lineitem
-    WHERE l_returnflag IS NOT NULL
-      AND l_shipdate >= TIMESTAMP '{DESCENT_YEAR}-01-01' AND l_shipdate < TIMESTAMP '{DESCENT_YEAR + 1}-01-01'
+    WHERE {CODE} IS NOT NULL
+      AND l_shipdate >= TIMESTAMP '1998-01-01' AND l_shipdate < TIMESTAMP '1999-01-01'
 )
-SELECT {_label('code', tb.RETURNFLAG_LABELS)} AS descent, COUNT(*) AS victim_count
+SELECT {_label('code', LABELS)} AS descent, COUNT(*) AS victim_count
 FROM facts f JOIN pairs p ON f.lat = p.lat AND f.lon = p.lon
 GROUP BY 1
 """
@@ -148,14 +160,14 @@ SELECT f."DR_NO" AS dr_no, p."DIVISION" AS division,
 FROM inc f JOIN st p ON p."PREC" = CAST(f."AREA" AS BIGINT)
 """
 
-_USABLE = 'st."X" IS NOT NULL AND st."Y" IS NOT NULL AND NOT isnan(st."X") AND NOT isnan(st."Y")'
+_USABLE = 'st."X" IS NOT NULL AND st."Y" IS NOT NULL AND NOT isnan(st."X") AND NOT isnan(st."Y") AND f."LAT" IS NOT NULL AND f."LON" IS NOT NULL'
 
 NEAREST_BY_YEAR = f"""
 WITH {INCIDENTS}, {STATIONS}, pairs AS (
     SELECT f."DR_NO" AS k, year(f."DATE OCC") AS year,
            {_hav('f."LAT"', 'f."LON"', 'st."Y"', 'st."X"')} AS distance
-    FROM inc f CROSS JOIN st
-    WHERE f."Weapon Used Cd" BETWEEN 100 AND 199 AND {_USABLE}
+    FROM inc f LEFT JOIN st ON {_USABLE}
+    WHERE f."Weapon Used Cd" BETWEEN 100 AND 199
 ), per_key AS (
     SELECT k, min(distance) AS distance, min(year) AS year FROM pairs GROUP BY k
 )
@@ -167,8 +179,8 @@ NEAREST_BY_DIVISION = f"""
 WITH {INCIDENTS}, {STATIONS}, pairs AS (
     SELECT f."DR_NO" AS k, st."DIVISION" AS division,
            {_hav('f."LAT"', 'f."LON"', 'st."Y"', 'st."X"')} AS distance
-    FROM inc f CROSS JOIN st
-    WHERE f."Weapon Used Cd" IS NOT NULL AND {_USABLE}
+    FROM inc f LEFT JOIN st ON {_USABLE}
+    WHERE f."Weapon Used Cd" IS NOT NULL
 ), ranked AS (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY distance, division) AS rn FROM pairs
 )
@@ -185,11 +197,16 @@ ORACLE_SQL: dict[str, str] = {
     "schema_report": SCHEMA_REPORT,
     "csv_roundtrip": "SELECT * FROM part",
     "csv_file_roundtrip": "SELECT * FROM part",
+    "csv_incident_files": f"WITH {INCIDENTS} SELECT * FROM inc",
+    "csv_income_file": f"""WITH {INCOME} SELECT zip AS "Zip Code", s_name AS "Community", income AS "Estimated Median Income"
+        FROM income JOIN supplier ON zip = s_suppkey""",
+    "csv_revgeo_file": """SELECT CAST(l_partkey AS DOUBLE) AS "LAT", CAST(l_suppkey AS DOUBLE) AS "LON",
+        (l_partkey + l_suppkey) % 97 + 1 AS "ZIPcode" FROM lineitem""",
+    "csv_station_file": f"WITH {STATIONS} SELECT * FROM st",
     "parse_timestamp": f"""
-        SELECT o_orderkey AS dr_no, strftime(o_orderdate, '{TS_FMT}') AS date_text,
-               strptime(strftime(o_orderdate, '{TS_FMT}'), '{TS_FMT}') AS occurred,
-               CAST(strptime(strftime(o_orderdate, '{TS_FMT}'), '{TS_FMT}') AS DATE) AS occurred_date
-        FROM orders""",
+        WITH {INCIDENTS}, staged AS (SELECT "DR_NO" AS dr_no, strftime("DATE OCC", '{TS_FMT}') AS date_text FROM inc_all)
+        SELECT *, strptime(date_text, '{TS_FMT}') AS occurred, CAST(strptime(date_text, '{TS_FMT}') AS DATE) AS occurred_date
+        FROM staged""",
     "parse_money": f"WITH {INCOME} SELECT zip AS zip_code, income FROM income",
     "union_distinct": f"WITH {INCIDENTS} SELECT * FROM inc",
     "union_all_topk_bottomk": f"WITH {INCOME}, {EXTREMES} SELECT zip AS zip_code, income FROM extremes",
@@ -197,8 +214,9 @@ ORACLE_SQL: dict[str, str] = {
         WITH {INCIDENTS}
         SELECT *, 'period_1' AS period FROM p1 UNION ALL SELECT *, 'period_2' AS period FROM p2""",
     "filter_not_null_range": f"""
-        WITH {INCIDENTS}
-        SELECT "DR_NO", "Weapon Used Cd", "LAT", "LON" FROM inc
+        WITH {INCIDENTS}, marred AS (
+            SELECT * REPLACE (CASE WHEN "DR_NO" % 89 <> 0 THEN "LON" ELSE 'nan'::DOUBLE END AS "LON") FROM inc)
+        SELECT "DR_NO", "Weapon Used Cd", "LAT", "LON" FROM marred
         WHERE "Weapon Used Cd" BETWEEN 100 AND 199
           AND "LAT" IS NOT NULL AND "LON" IS NOT NULL AND NOT isnan("LAT") AND NOT isnan("LON")""",
     "filter_exclude_set": f"""
@@ -212,7 +230,7 @@ ORACLE_SQL: dict[str, str] = {
     "top_months_per_year": TOP_MONTHS_SQL,
     "top_months_per_year_sql": TOP_MONTHS_SQL,
     "code_label_counts": f"""
-        SELECT {_label('l_returnflag', tb.RETURNFLAG_LABELS)} AS descent, COUNT(*) AS victim_count
+        SELECT {_label(CODE, LABELS)} AS descent, COUNT(*) AS victim_count
         FROM lineitem GROUP BY 1""",
     "dim_restricted_counts": DESCENT,
     **{f"dim_restricted_counts_{s}": DESCENT for s in STRATEGIES},

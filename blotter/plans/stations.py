@@ -6,8 +6,7 @@
   nearest division (any weapon). One result row per incident key: the
   reference groups the candidate pairs by incident number.
 
-The station table is a small dimension: it is broadcast only after a bounded
-count proves it small (``join_with_strategy``), otherwise shuffled. Nearest
+The station join carries the caller's strategy; ``auto`` leaves it to AQE. Nearest
 uses the grid-candidate operator (no cross join), then a per-key step whose
 ``row_number() = 1`` filter is pre-limited per map task (``WindowGroupLimit``),
 so a key holding a third of all rows never lands whole in one task.
@@ -15,16 +14,15 @@ so a key holding a third of all rows never lands whole in one task.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import haversine_km
-from ..functions.sql import register_sql_functions
+from ..functions.sql import HAVERSINE, drop_sql_functions, haversine_expr, register_sql_functions
 from ..operators.filters import drop_missing, in_range
-from ..operators.joins import join_with_strategy, sql_hint
+from ..operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_with_strategy
 from ..operators.nearest import SiteGrid, candidate_rows, nearest_site
 from ..operators.rank import top_k_per_group
 
@@ -79,58 +77,45 @@ def responsible_distances(incidents: DataFrame, stations: DataFrame) -> DataFram
                          F.round("distance", DIGITS).alias("distance"))
 
 
-def _sql_views(**frames: DataFrame) -> dict[str, str]:
-    names = {}
-    for name, df in frames.items():
-        view = f"{name}_{uuid.uuid4().hex[:12]}"
-        df.createOrReplaceTempView(view)
-        names[name] = view
-    return names
-
-
 def responsible_by_year_sql(incidents: DataFrame, stations: DataFrame) -> DataFrame:
-    spark = incidents.sparkSession
-    register_sql_functions(spark)
-    v = _sql_views(crimes=incidents, stations=stations)
-    return spark.sql(f"""
+    return incidents.sparkSession.sql(f"""
         WITH filtered AS (
-            SELECT * FROM {v['crimes']} WHERE `{WEAPON}` BETWEEN :lo AND :hi
+            SELECT * FROM {{crimes}} WHERE `{WEAPON}` BETWEEN :lo AND :hi
         ), joined AS (
-            SELECT {sql_hint(stations, 'p')} year(f.`{DATE}`) AS year,
-                   haversine_km(f.LAT, f.LON, p.Y, p.X) AS distance
-            FROM {v['stations']} p JOIN filtered f ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
+            SELECT year(f.`{DATE}`) AS year,
+                   {haversine_expr('f.LAT', 'f.LON', 'p.Y', 'p.X')} AS distance
+            FROM {{stations}} p JOIN filtered f ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
         )
         SELECT year, ROUND(AVG(distance), {DIGITS}) AS mean_distance, COUNT(year) AS crime_count
         FROM joined GROUP BY year ORDER BY year
-    """, args={"lo": FIREARM[0], "hi": FIREARM[1]})
+    """, args={"lo": FIREARM[0], "hi": FIREARM[1]}, crimes=incidents, stations=stations)
 
 
 def responsible_by_division_sql(incidents: DataFrame, stations: DataFrame) -> DataFrame:
-    spark = incidents.sparkSession
-    register_sql_functions(spark)
-    v = _sql_views(crimes=incidents, stations=stations)
-    return spark.sql(f"""
+    return incidents.sparkSession.sql(f"""
         WITH filtered AS (
-            SELECT * FROM {v['crimes']} WHERE `{WEAPON}` IS NOT NULL
+            SELECT * FROM {{crimes}} WHERE `{WEAPON}` IS NOT NULL
         ), joined AS (
-            SELECT {sql_hint(stations, 'p')} p.DIVISION AS division,
-                   haversine_km(f.LAT, f.LON, p.Y, p.X) AS distance
-            FROM {v['stations']} p JOIN filtered f ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
+            SELECT p.DIVISION AS division,
+                   {haversine_expr('f.LAT', 'f.LON', 'p.Y', 'p.X')} AS distance
+            FROM {{stations}} p JOIN filtered f ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
         )
         SELECT division, ROUND(AVG(distance), {DIGITS}) AS mean_distance, COUNT(division) AS crime_count
         FROM joined GROUP BY division ORDER BY crime_count DESC, division
-    """)
+    """, crimes=incidents, stations=stations)
 
 
 def responsible_distances_sql(incidents: DataFrame, stations: DataFrame) -> DataFrame:
+    """Through the SQL function, which is dropped again once the plan holds its expression."""
     spark = incidents.sparkSession
     register_sql_functions(spark)
-    v = _sql_views(crimes=incidents, stations=stations)
-    return spark.sql(f"""
-        SELECT {sql_hint(stations, 'p')} f.{KEY} AS dr_no, p.DIVISION AS division,
-               ROUND(haversine_km(f.LAT, f.LON, p.Y, p.X), {DIGITS}) AS distance
-        FROM {v['crimes']} f JOIN {v['stations']} p ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
-    """)
+    out = spark.sql(f"""
+        SELECT f.{KEY} AS dr_no, p.DIVISION AS division,
+               ROUND({HAVERSINE}(f.LAT, f.LON, p.Y, p.X), {DIGITS}) AS distance
+        FROM {{crimes}} f JOIN {{stations}} p ON p.PREC = CAST(f.`{AREA}` AS BIGINT)
+    """, crimes=incidents, stations=stations)
+    drop_sql_functions(spark)
+    return out
 
 
 # --- nearest station ------------------------------------------------------------------
@@ -178,47 +163,43 @@ def nearest_by_division(incidents: DataFrame, stations: DataFrame, cover: DataFr
 
 
 def _nearest_sql_inputs(incidents: DataFrame, stations: DataFrame, cover: DataFrame | None,
-                        cols: Sequence[str]) -> tuple[dict[str, str], str]:
+                        cols: Sequence[str]) -> tuple[dict[str, DataFrame], str]:
     grid = SiteGrid.build(_usable_stations(stations), "Y", "X", ["DIVISION"])
     if grid.exponent is None:
         empty = stations.sparkSession.createDataFrame([], "__x0 bigint, __y0 bigint, __slat double, "
                                                           "__slon double, DIVISION string")
         pts = incidents.select(*cols).withColumns({"__x0": F.lit(None).cast("bigint"),
                                                     "__y0": F.lit(None).cast("bigint")}).filter(F.lit(False))
-        return _sql_views(points=pts, cands=empty), ""
+        return {"points": pts, "cands": empty}, ""
     pts = grid.assign_cells(incidents.select(*cols), "LAT", "LON")
-    table, _ = grid.candidate_table(cover if cover is not None else incidents, "LAT", "LON")
-    cands = candidate_rows(table)  # one row per (cell, candidate): proven by a count of its own
-    return _sql_views(points=pts, cands=cands), sql_hint(cands, "c")
+    table, size = grid.candidate_table(cover if cover is not None else incidents, "LAT", "LON")
+    hint = "BROADCAST" if size <= DEFAULT_MAX_BROADCAST_BYTES else "MERGE"
+    return {"points": pts, "cands": candidate_rows(table)}, f"/*+ {hint}(c) */"
 
 
 def nearest_by_year_sql(incidents: DataFrame, stations: DataFrame, cover: DataFrame | None = None) -> DataFrame:
-    spark = incidents.sparkSession
-    register_sql_functions(spark)
-    v, hint = _nearest_sql_inputs(firearm(incidents), stations, cover, [KEY, DATE, "LAT", "LON"])
-    return spark.sql(f"""
+    frames, hint = _nearest_sql_inputs(firearm(incidents), stations, cover, [KEY, DATE, "LAT", "LON"])
+    return incidents.sparkSession.sql(f"""
         WITH pairs AS (
             SELECT {hint} p.{KEY}, year(p.`{DATE}`) AS year,
-                   haversine_km(p.LAT, p.LON, c.__slat, c.__slon) AS distance
-            FROM {v['points']} p LEFT JOIN {v['cands']} c ON p.__x0 = c.__x0 AND p.__y0 = c.__y0
+                   {haversine_expr('p.LAT', 'p.LON', 'c.__slat', 'c.__slon')} AS distance
+            FROM {{points}} p LEFT JOIN {{cands}} c ON p.__x0 = c.__x0 AND p.__y0 = c.__y0
         ), per_key AS (
             SELECT {KEY}, MIN(distance) AS min_distance, MIN(year) AS year FROM pairs GROUP BY {KEY}
         )
         SELECT year, ROUND(AVG(min_distance), {DIGITS}) AS mean_distance, COUNT(year) AS crime_count
         FROM per_key GROUP BY year ORDER BY year
-    """)
+    """, **frames)
 
 
 def nearest_by_division_sql(incidents: DataFrame, stations: DataFrame,
                             cover: DataFrame | None = None) -> DataFrame:
-    spark = incidents.sparkSession
-    register_sql_functions(spark)
-    v, hint = _nearest_sql_inputs(any_weapon(incidents), stations, cover, [KEY, "LAT", "LON"])
-    return spark.sql(f"""
+    frames, hint = _nearest_sql_inputs(any_weapon(incidents), stations, cover, [KEY, "LAT", "LON"])
+    return incidents.sparkSession.sql(f"""
         WITH pairs AS (
             SELECT {hint} p.{KEY}, c.DIVISION AS division,
-                   haversine_km(p.LAT, p.LON, c.__slat, c.__slon) AS distance
-            FROM {v['points']} p LEFT JOIN {v['cands']} c ON p.__x0 = c.__x0 AND p.__y0 = c.__y0
+                   {haversine_expr('p.LAT', 'p.LON', 'c.__slat', 'c.__slon')} AS distance
+            FROM {{points}} p LEFT JOIN {{cands}} c ON p.__x0 = c.__x0 AND p.__y0 = c.__y0
         ), ranked AS (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY {KEY}
                                          ORDER BY distance ASC NULLS LAST, division ASC NULLS LAST) AS row_num
@@ -226,4 +207,4 @@ def nearest_by_division_sql(incidents: DataFrame, stations: DataFrame,
         )
         SELECT division, ROUND(AVG(distance), {DIGITS}) AS mean_distance, COUNT(division) AS crime_count
         FROM ranked WHERE row_num = 1 GROUP BY division ORDER BY crime_count DESC, division
-    """)
+    """, **frames)

@@ -11,7 +11,7 @@ from blotter.operators.rank import top_and_bottom_k, top_k_per_group
 from blotter.plans import months, part_of_day, stations
 from blotter.sources.periods import union_periods
 
-INCIDENTS = "DR_NO bigint, `DATE OCC` timestamp_ntz, `TIME OCC` int, `Premis Desc` string, AREA int, " \
+INCIDENTS = "DR_NO bigint, `Date Rptd` timestamp_ntz, `DATE OCC` timestamp_ntz, `TIME OCC` int, `Premis Desc` string, AREA int, " \
             "`Weapon Used Cd` float, LAT double, LON double"
 STATIONS = "X double, Y double, FID int, DIVISION string, LOCATION string, PREC bigint"
 
@@ -29,7 +29,7 @@ def test_empty_incidents_through_every_plan(spark):
 
 
 def test_empty_stations(spark):
-    inc = spark.createDataFrame([(1, None, 100, "STREET", 1, 150.0, 34.0, -118.0)], INCIDENTS)
+    inc = spark.createDataFrame([(1, None, None, 100, "STREET", 1, 150.0, 34.0, -118.0)], INCIDENTS)
     st = spark.createDataFrame([], STATIONS)
     assert stations.responsible_by_division(inc, st).count() == 0
     # no station at all: no incident is paired, as with every-incident-by-every-station pairing
@@ -69,9 +69,9 @@ def test_null_coordinates_counted_but_not_averaged(spark):
     from .test_nearest import _hav
 
     inc = spark.createDataFrame([
-        (1, dt.datetime(2015, 1, 1), 100, "STREET", 1, 150.0, 34.0, -118.0),
-        (2, dt.datetime(2015, 2, 1), 100, "STREET", 1, 150.0, None, None),
-        (3, dt.datetime(2016, 1, 1), 100, "STREET", 2, 120.0, 34.1, -118.3),
+        (1, None, dt.datetime(2015, 1, 1), 100, "STREET", 1, 150.0, 34.0, -118.0),
+        (2, None, dt.datetime(2015, 2, 1), 100, "STREET", 1, 150.0, None, None),
+        (3, None, dt.datetime(2016, 1, 1), 100, "STREET", 2, 120.0, 34.1, -118.3),
     ], INCIDENTS)
     st = spark.createDataFrame([(-118.25, 34.05, 1, "ALPHA", "a", 1), (-118.3, 34.1, 2, "BRAVO", "b", 2)], STATIONS)
     d1 = min(_hav(34.0, -118.0, 34.05, -118.25), _hav(34.0, -118.0, 34.1, -118.3))

@@ -14,7 +14,6 @@ NODE = {
     "broadcast": "BroadcastHashJoin",
     "merge": "SortMergeJoin",
     "shuffle_hash": "ShuffledHashJoin",
-    "shuffle_replicate_nl": "CartesianProduct",
 }
 
 
@@ -36,21 +35,15 @@ def test_strategy_plans_and_results_agree(spark, facts, dim, strategy):
     assert sorted(out.collect()) == sorted(base.collect())
 
 
-def test_broadcast_falls_back_when_build_side_too_big(spark, facts, dim):
-    assert joins.resolve_strategy(facts, dim, "broadcast", max_broadcast_rows=10) == "merge"
-    assert joins.resolve_strategy(facts, dim, "broadcast", max_broadcast_rows=40) == "broadcast"
-    assert joins.resolve_strategy(facts, dim, "auto", max_broadcast_rows=10) == "auto"
-
-
-def test_nested_loop_only_under_pair_bound(spark, facts, dim):
-    assert joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", max_nl_pairs=100_000) == "shuffle_replicate_nl"
-    assert joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", max_nl_pairs=1_000) == "merge"
+def test_a_named_strategy_is_done_or_raises(spark, facts, dim):
+    on = F.col("k") == F.col("k2")
     with pytest.raises(ValueError):
-        joins.resolve_strategy(facts, dim, "shuffle_replicate_nl", how="left_semi")
-
-
-def test_bounded_count_stops_at_bound(spark):
-    assert joins.bounded_count(spark.range(10**9), 5) == 6
+        joins.join_with_strategy(facts, dim, on, strategy="broadcast", max_broadcast_bytes=100)
+    with pytest.raises(ValueError):
+        joins.join_with_strategy(facts, dim, on, strategy="shuffle_replicate_nl")
+    wide = dim.withColumn("s", F.repeat(F.lit("x"), 10_000)).withColumn("a", F.array("s"))
+    _, size = joins.measured(wide)
+    assert 40 * 20_000 < size < 40 * 21_000
 
 
 def test_restrict_by_dimension_semi_semantics(spark):
@@ -95,12 +88,6 @@ def test_profile_operators(spark):
     assert rep == [(1, "a", "int", True, 2), (2, "b c", "string", True, 1)]
 
 
-def test_is_small_skips_count_for_obviously_large_inputs(spark, dim):
-    assert joins.estimated_bytes(dim) > 0
-    assert joins.is_small(dim, 100)
-    assert not joins.is_small(dim, 100, obviously_large_bytes=1)
-
-
 def test_drop_null_island(spark):
     from blotter.operators.filters import drop_null_island
 

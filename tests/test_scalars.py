@@ -33,7 +33,7 @@ def test_part_of_day_python_twin_matches_every_clock(spark):
 def test_part_of_day_sql_function(spark):
     register_sql_functions(spark)
     got = {r.c: r.p for r in spark.sql(
-        "SELECT c, part_of_day(c) AS p FROM VALUES (359), (400), (500), (2100), (NULL) AS t(c)").collect()}
+        "SELECT c, blotter_part_of_day(c) AS p FROM VALUES (359), (400), (500), (2100), (NULL) AS t(c)").collect()}
     assert got == {359: "Night", 400: None, 500: "Morning", 2100: "Night", None: None}
 
 
@@ -91,6 +91,6 @@ def test_haversine_sql_matches_column_expression(spark):
     df = spark.createDataFrame([(34.05, -118.25, 34.10, -118.30), (1.0, 2.0, 3.0, 4.0)], "a double, b double, "
                                                                                           "c double, d double")
     df.createOrReplaceTempView("hav_points")
-    sql = spark.sql("SELECT haversine_km(a, b, c, d) AS x FROM hav_points").collect()
+    sql = spark.sql("SELECT blotter_haversine_km(a, b, c, d) AS x FROM hav_points").collect()
     col = df.select(haversine_km("a", "b", "c", "d").alias("x")).collect()
     assert [r.x for r in sql] == [r.x for r in col]
