@@ -74,6 +74,11 @@ def slices(batch: pa.RecordBatch, most_rows: int, most_bytes: int):
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Give memory of finished batches back to the machine; a worker lives through many tasks and stages."""
+    pa.default_memory_pool().release_unused()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from blotter.session import ensure_checkpoint_dir
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of whole texts that go to a Python worker at once; the default of 10,000 is meant for short rows.
+MOST_ROWS = 2048
 _shipped: set[str] = set()
 
 
@@ -19,7 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's sources to the Python workers, once per application."""
+    """Send this package's sources to the Python workers, once per application, and bound the batches they get."""
+    if int(spark.conf.get(ARROW_ROWS)) > MOST_ROWS:
+        spark.conf.set(ARROW_ROWS, MOST_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

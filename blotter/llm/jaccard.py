@@ -139,7 +139,7 @@ def n_shingles(texts: pd.Series) -> pd.Series:
     return pd.Series([len(shingles(t)) for t in texts], dtype="int64")
 
 
-BATCH_ROWS, BATCH_BYTES = 8192, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 CELL = "batch long, bucket int, data binary"
 CELL_SCHEMA = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
 
@@ -161,6 +161,7 @@ def send(docs: DataFrame, buckets: int, own: bool) -> DataFrame:
                     [pa.array([name] * len(rows), pa.int64()), pa.array([b for b, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())],
                     schema=CELL_SCHEMA,
                 )
+                cells.release()
 
     return docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, CELL)
 
@@ -184,6 +185,7 @@ def reply(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         if hit.any():
             common = np.minimum(frequency[own][hit], MANY)
             out.append((batch, key[0], cells.pack(keys[own][hit], [(documents[own][hit], 2), (common, 2)])))
+    cells.release()
     return pd.DataFrame(out, columns=["batch", "bucket", "data"])
 
 
@@ -218,6 +220,7 @@ def ordered_sets(width: int):
         for i, doc_id in enumerate(doc_ids):
             own = slice(ends[i] - shared[i], ends[i])
             rows.append((doc_id, sizes[i], digests[i], *((cells.planes(ids[own], width), frequency[own].astype(np.uint8).tobytes()) if may[i] else (None, None))))
+        cells.release()
         return pd.DataFrame(rows, columns=["doc_id", "n", "digest", "ids", "frequency"])
 
     return run
@@ -372,7 +375,7 @@ def similar_documents(
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = partitions_for(size / 6, 2e6, spark)
+    buckets = partitions_for(size / 6, 1e6, spark)
     width = id_width(buckets)
     replies = send(docs, buckets, own=False).groupBy("bucket").applyInPandas(reply, CELL)
     sets = materialize(

@@ -20,6 +20,8 @@ from __future__ import annotations
 import array
 import base64
 import bisect
+import functools
+import json
 import re
 import zlib
 
@@ -47,14 +49,20 @@ class Encoder:
 
     def __init__(self, path: str, ranks_path: str, pattern: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        with open(path, encoding="utf-8") as vocabulary:
+            special = {t["content"]: t["id"] for t in json.load(vocabulary)["added_tokens"]}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> bytes:
         if BEYOND_LATIN.search(text):
             return array.array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()

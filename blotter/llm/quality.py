@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.llm.cells import release
 from blotter.llm.common import materialize, ship
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -109,6 +110,7 @@ def measure(text: str | None) -> tuple[int, int, int, int, int, int]:
 
 @F.pandas_udf(MEASURES)
 def measures(texts: pd.Series) -> pd.DataFrame:
+    release()
     return pd.DataFrame([measure(t) for t in texts], columns=MEASURES.names, dtype="int64")
 
 

@@ -131,7 +131,7 @@ class Batch:
 
 CELL = "batch long, bucket int, data binary"
 CELL_SCHEMA = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("data", pa.binary())])
-BATCH_ROWS, BATCH_BYTES = 8192, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 
 
 def send_anchors(docs: DataFrame, length: int, grams: int, buckets: int) -> DataFrame:
@@ -147,6 +147,7 @@ def send_anchors(docs: DataFrame, length: int, grams: int, buckets: int) -> Data
                     [pa.array([name] * len(rows), pa.int64()), pa.array([b for b, _ in rows], pa.int32()), pa.array([d for _, d in rows], pa.binary())],
                     schema=CELL_SCHEMA,
                 )
+                cells.release()
 
     return docs.mapInArrow(run, CELL)
 
@@ -162,6 +163,7 @@ def send_documents(docs: DataFrame) -> DataFrame:
                 number += 1
                 marks = [pa.array(np.full(len(part), name)), pa.array(np.arange(len(part), dtype=np.int32))]
                 yield pa.RecordBatch.from_arrays([*marks, *part.columns], names=["__batch", "__place", *part.schema.names])
+            cells.release()
 
     schema = T.StructType([T.StructField("__batch", T.LongType()), T.StructField("__place", T.IntegerType()), *docs.schema.fields])
     return docs.mapInArrow(run, schema)
@@ -237,6 +239,7 @@ def settle(length: int, grams: int, buckets: int, parts: int, per_salt: int):
             "text": [batch.data[d][a:b].tobytes() for d, a, b in zip(documents, batch.first[rows], batch.last[rows] + length)],
             "before": batch.at[rows] - batch.first[rows],
         })
+        cells.release()
         return pd.concat([sure, unsure], ignore_index=True)
 
     return run
@@ -445,7 +448,7 @@ def spans_of(docs: DataFrame, length: int, grams: int, per_salt: int) -> DataFra
     """batch, place, start, stop of all repeated windows (they may overlap)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets, parts = partitions_for(size / 35, 1e6, spark), partitions_for(size, 16e6, spark)
+    buckets, parts = partitions_for(size / 35, 1e6, spark), partitions_for(size, 8e6, spark)
     replies = send_anchors(docs, length, grams, buckets).groupBy("bucket").applyInPandas(reply, CELL)
     settled = materialize(
         send_documents(docs)
@@ -489,6 +492,7 @@ def per_document(docs: DataFrame, length: int, grams: int, per_salt: int, result
             raise RuntimeError("the documents read differently the second time; write them to a table first")
         told = dict(zip(right["place"].to_pylist(), right["spans"].to_pylist()))
         own = [told.get(p, ()) for p in left["__place"].to_pylist()]
+        cells.release()
         return result(left, [merged_spans([(s["start"], s["stop"]) for s in x]) for x in own])
 
     return send_documents(docs).groupBy("__batch").cogroup(packed.groupBy("batch")).applyInArrow(run, schema)
