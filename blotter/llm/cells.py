@@ -6,6 +6,7 @@ byte planes (high planes are nearly all zero, which the shuffle's compression re
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 
 import numpy as np
@@ -74,9 +75,17 @@ def slices(batch: pa.RecordBatch, most_rows: int, most_bytes: int):
         yield batch.slice(start)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def release() -> None:
-    """Give memory of finished batches back to the machine; a worker lives through many tasks and stages."""
+    """Give memory of finished batches back to the machine; a worker lives through many tasks and stages.
+
+    Arrow's pool and, where the C library can (glibc), the free pages of its heap, which holds texts and arrays.
+    """
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.llm.cells import release
 from blotter.llm.common import materialize, ship
 
 #: Beyond these letters the two libraries' tables of character classes may be of different Unicode versions.
@@ -92,6 +93,7 @@ def pieces(docs: DataFrame, vocabulary: tuple[str, str, str], end_id: int, capac
                     for column, x in zip(out, (doc_id, k, start, length, told)):
                         column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types)], schema=schema)
+            release()
 
     names = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(names)
