@@ -1,12 +1,16 @@
 """Quality rules whose cutoffs are chosen under a bound on false rejections (operator 3).
 
-A rule rejects a document when one of its ratios passes a cutoff. Cutoffs come from fixed grids; each (stratum, rule,
-cutoff) is one test on labelled documents that are good and pass the base rules: with ``k`` of ``n`` rejected, the exact
-(Clopper-Pearson) upper bound of the rejection probability must stay below ``alpha`` divided by the number of rules.
-Each bound holds with probability ``1 - delta / tests`` (Bonferroni over all tests), so with probability ``1 - delta`` all
-accepted cutoffs hold together, and a stratum loses at most ``alpha`` of its good documents. Of the accepted cutoffs of a
-rule the one that rejects most documents labelled bad is used, the loosest at a tie; a rule without one is off in that
-stratum, as is every rule in a stratum without labels.
+A rule rejects a document when one of its ratios passes a cutoff from a fixed grid. What is bounded is the joint rejection
+of all rules in use: with ``k`` of ``n`` labelled documents rejected that are good and pass the base rules, the exact
+(Clopper-Pearson) upper bound of the rejection probability must stay below ``alpha``. Settings of all rules together are
+tested along paths in a fixed order, each rule from loose to strict, up to the first that isn't proven, so a path needs its
+share of ``delta`` only once. A path starts with one of the rules that catch labelled bad documents; ``delta`` is split
+evenly over the strata that have paths, then over a stratum's paths. Paths are laid out by the bad documents alone, so for
+the good ones that test them they are fixed in advance. With probability ``1 - delta`` all accepted settings hold together,
+and a stratum loses at most ``alpha`` of its good documents. Of the accepted settings the one that rejects most documents
+labelled bad is used, that with fewest good ones rejected at a tie; a stratum without one, or without labels, has all rules
+off. With five rules and four strata 297 good labels in a stratum prove a setting that rejects none of them
+(``labels_needed``).
 
 Nulls, ties and odd rows: a null text has no words and fails the base rule; a null stratum is a stratum of its own; several
 labels of one document count as good only if all of them are; label rows without a document are ignored; every input row
@@ -31,6 +35,7 @@ from blotter.llm.common import materialize, ship
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+LEAD = 0.9  # of the bad documents that a path's first rule can catch, those it catches before other rules move
 MEASURES = T.StructType(
     [
         T.StructField(n, T.LongType())
@@ -118,55 +123,109 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
+def tail(k: int, n: int, p: float) -> float:
+    """The probability of ``k`` or fewer of ``n``."""
+    choose = (math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1))
+    return math.fsum(math.exp(c + i * math.log(p) + (n - i) * math.log1p(-p)) for i, c in enumerate(choose))
+
+
 def upper_bound(k: int, n: int, error: float) -> float:
     """Clopper-Pearson: the largest p under which ``k`` or fewer of ``n`` still have probability ``error``."""
     if n == 0 or k >= n:
         return 1.0
-    choose = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1)]
-
-    def tail(p: float) -> float:
-        return math.fsum(math.exp(c + i * math.log(p) + (n - i) * math.log1p(-p)) for i, c in enumerate(choose))
-
     low, high = k / n, 1.0
     for _ in range(60):
         mid = (low + high) / 2
-        low, high = (mid, high) if tail(mid) > error else (low, mid)
+        low, high = (mid, high) if tail(k, n, mid) > error else (low, mid)
     return high
 
 
+def most_rejected(n: int, alpha: float, error: float) -> int:
+    """The largest ``k`` whose ``upper_bound`` is at most ``alpha``; -1 if there is none."""
+    if not 0 < alpha < 1:
+        return n if alpha >= 1 else -1
+    low, high = -1, int(alpha * n) + 1
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if mid < n and tail(mid, n, alpha) <= error else (low, mid)
+    return low
+
+
+def labels_needed(alpha: float, error: float) -> int:
+    """Good labels from which a setting that rejects none of them is proven."""
+    return math.ceil(math.log(error) / math.log1p(-alpha))
+
+
+def path(levels: np.ndarray, bad: np.ndarray, sizes: list[int], lead: int) -> list[tuple[int, ...]]:
+    """Ever stricter settings (per rule the place of its cutoff, its number of cutoffs for off), from the bad documents only.
+
+    ``levels`` has per group of documents and rule the number of cutoffs that reject it, ``bad`` the bad documents of each
+    group. The rule ``lead`` moves first, until it catches ``LEAD`` of what it can; then, of the rules' next cutoffs that
+    catch more, the one that catches most.
+    """
+    at, left, out = list(sizes), bad.copy(), []
+    reachable = bad[levels[:, lead] > 0].sum()
+    while True:
+        uncaught = levels * (left > 0)[:, None]
+        top = uncaught.max(axis=0, initial=0)
+        gains = [int(left[uncaught[:, r] == t].sum()) if t else 0 for r, t in enumerate(top)]
+        if not any(gains):
+            return out
+        led = gains[lead] and bad[levels[:, lead] > at[lead]].sum() < LEAD * reachable
+        r = lead if led else int(np.argmax(gains))
+        at[r] = int(top[r]) - 1
+        left[levels[:, r] > at[r]] = 0
+        out.append(tuple(at))
+
+
+def rejected(levels: np.ndarray, counts: np.ndarray, setting: tuple[int, ...]) -> int:
+    return int(counts[(levels > np.array(setting)).any(axis=1)].sum())
+
+
 def select_cutoffs(
     measured: DataFrame, labels: DataFrame, stratum: str, rules=RULES, alpha: float = 0.02, delta: float = 0.05
 ) -> dict[str | None, dict[str, float]]:
-    """Per stratum and rule, of the proven cutoffs the one that rejects most labelled bad documents, the loosest at a tie.
+    """Per stratum the cutoffs of the proven setting that rejects most labelled bad documents.
 
-    The counts are one row per labelled stratum.
+    Collected is a row per labelled stratum and combination of the rules' levels that occurs in it: never more than the
+    product of the grids' sizes (140,400) a stratum, however many labels there are.
     """
     labelled = labels.groupBy("doc_id").agg(
-        F.min("quality").alias("quality"), ((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("good")
+        (F.min("quality") == 0).alias("bad"), ((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("good")
     )
-    tests = [(r, c, f"{r.name}_{i}") for r in rules for i, c in enumerate(r.cutoffs)]
+    levels = [sum((r.rejects(c).cast("int") for c in r.cutoffs), F.lit(0)).alias(f"level_{r.name}") for r in rules]
     counts = (
         measured.filter(~base_failed())
-        .select("doc_id", F.col(stratum).alias("stratum"), *MEASURES.names)
-        .join(labelled, "doc_id")
-        .groupBy("stratum")
-        .agg(
-            F.count_if("good").alias("n"),
-            *[F.count_if(F.col("good") & r.rejects(c)).alias(name) for r, c, name in tests],
-            *[F.count_if((F.col("quality") == 0) & r.rejects(c)).alias(f"bad_{name}") for r, c, name in tests],
-        )
+        .select("doc_id", F.col(stratum).alias("stratum"), *levels)
+        .join(labelled.filter("good OR bad"), "doc_id")
+        .groupBy("stratum", *[f"level_{r.name}" for r in rules])
+        .agg(F.count_if("good").alias("good"), F.count_if("bad").alias("bad"))
+        .orderBy("stratum", *[f"level_{r.name}" for r in rules])
         .collect()
     )
-    error = delta / max(1, len(tests) * len(counts))
-    share = alpha / len(rules)
-    chosen: dict[str | None, dict[str, float]] = {}
+    sizes = [len(r.cutoffs) for r in rules]
+    tables: dict[str | None, list] = {}
     for row in counts:
-        caught: dict[str, int] = {}
-        for r, c, name in tests:
-            proven = row[name] <= share * row["n"] and upper_bound(row[name], row["n"], error) <= share
-            if proven and 0 < row[f"bad_{name}"] >= caught.get(r.name, 0):
-                caught[r.name] = row[f"bad_{name}"]
-                chosen.setdefault(row["stratum"], {})[r.name] = c
+        tables.setdefault(row["stratum"], []).append([row[f"level_{r.name}"] for r in rules] + [row["good"], row["bad"]])
+    paths: dict[str | None, tuple[np.ndarray, np.ndarray, np.ndarray, list]] = {}
+    for at, rows in tables.items():
+        table = np.array(rows, np.int64)
+        of, good, bad = table[:, :-2], table[:, -2], table[:, -1]
+        leads = [i for i in range(len(rules)) if bad[of[:, i] > 0].any()] if good.any() else []
+        paths[at] = of, good, bad, [path(of, bad, sizes, i) for i in leads]
+    strata = sum(bool(told) for *_, told in paths.values())
+    chosen: dict[str | None, dict[str, float]] = {}
+    for at, (of, good, bad, told) in paths.items():
+        most = most_rejected(int(good.sum()), alpha, delta / max(1, strata * len(told)))
+        best = 0, 0, None
+        for settings in told:
+            for setting in settings:
+                k = rejected(of, good, setting)
+                if k > most:
+                    break
+                best = max(best, (rejected(of, bad, setting), -k, setting), key=lambda x: x[:2])
+        if best[2]:
+            chosen[at] = {r.name: r.cutoffs[i] for r, i in zip(rules, best[2]) if i < len(r.cutoffs)}
     return chosen
 
 

@@ -88,3 +88,55 @@ def test_generated_table_and_odd_rows(spark):
     out = quality.quality_rules(odd, labels).collect()
     assert len(out) == 3 and all(r["base_failed"] and not r["kept"] for r in out)
     assert quality.quality_rules(docs.limit(0), labels).count() == 0
+
+
+def test_production_risk_removes_bad_documents_and_bounds_the_joint_loss(spark):
+    docs, labels = corpus(spark)
+    out = quality.quality_rules(docs, labels).join(labels, "doc_id").filter("lang IS NULL OR lang <> 'rare'")
+    n = {tuple(r)[:3]: r["n"] for r in out.groupBy("lang", "quality", "kept").agg(F.count("*").alias("n")).collect()}
+    assert {k[0] for k in n} == {"en", "fr", None}
+    for lang in ("en", "fr", None):
+        assert n.get((lang, 0, True), 0) == 0 < n[lang, 0, False]
+        assert n.get((lang, 1, False), 0) <= 0.02 * n[lang, 1, True]
+
+
+def test_most_rejected_is_where_the_exact_bound_passes_alpha():
+    for n, alpha, error in ((0, 0.02, 0.01), (200, 0.02, 0.0025), (297, 0.02, 0.0025), (2000, 0.02, 0.0025), (500, 0.3, 0.01)):
+        k = quality.most_rejected(n, alpha, error)
+        assert k == -1 or quality.upper_bound(k, n, error) <= alpha
+        assert quality.upper_bound(k + 1, n, error) > alpha
+    assert quality.labels_needed(0.02, 0.05 / 20) == 297
+    assert quality.most_rejected(296, 0.02, 0.05 / 20) == -1 and quality.most_rejected(297, 0.02, 0.05 / 20) == 0
+
+
+def test_paths_grow_and_catch_every_bad_document_that_a_rule_can():
+    import numpy as np
+
+    r = random.Random(9)
+    for _ in range(30):
+        levels = np.array([[r.choice([0, 0, r.randint(0, s)]) for s in (3, 4, 2)] for _ in range(40)])
+        bad = np.array([r.randint(0, 3) for _ in levels])
+        for lead in range(3):
+            if bad[levels[:, lead] > 0].any():
+                told = quality.path(levels, bad, [3, 4, 2], lead)
+                assert told[0][lead] < (3, 4, 2)[lead] and len(set(told)) == len(told)
+                assert all(a >= b for x, y in zip(told, told[1:]) for a, b in zip(x, y))
+                assert quality.rejected(levels, bad, told[-1]) == bad[(levels > 0).any(axis=1)].sum()
+
+
+def test_rules_that_only_fail_together_are_not_used_together(spark):
+    """Each of two rules rejects 2 % of the good documents, other ones each: proven alone, not jointly."""
+    rows, labels = [], []
+    for i in range(4000):
+        bad, kind = i % 4 == 0, i % 3
+        m = [100, 600, 0, 10, 0, 0]
+        if (bad and kind == 0) or (not bad and i % 200 in (1, 2, 3)):
+            m[2] = 400
+        if (bad and kind == 1) or (not bad and i % 200 in (5, 6, 7)):
+            m[4] = 9
+        rows.append((i, "en", *m))
+        labels.append((i, 0 if bad else 1, 0))
+    measured = spark.createDataFrame(rows, "doc_id long, lang string, " + ", ".join(f"{n} long" for n in quality.MEASURES.names))
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert set(quality.select_cutoffs(measured, known, "lang", alpha=0.035)["en"]) in ({"symbols"}, {"dup_lines"})
+    assert set(quality.select_cutoffs(measured, known, "lang", alpha=0.06)["en"]) == {"symbols", "dup_lines"}
