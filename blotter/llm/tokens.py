@@ -47,9 +47,12 @@ def count_words(encoder, words: list[str], at_once: int = 256) -> list[int]:
 
 
 def core(piece: str) -> str:
-    """The piece without a comma or full stop that the split cuts off after letters; in lower case if that's ASCII."""
+    """The piece without a comma or full stop that the split cuts off after letters; in lower case if it's ASCII letters only.
+
+    Anything else stays as spelt: the library looks for special tokens before it lowers case.
+    """
     word = piece[:-1] if piece[-1:] in (",", ".") and piece[:-1].isalpha() else piece
-    return word.lower() if word.isascii() else word
+    return word.lower() if word.isascii() and word.isalpha() else word
 
 
 def learn(encoder, memo: dict[str, int], missing: set[str]) -> None:

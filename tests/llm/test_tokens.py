@@ -50,3 +50,11 @@ def test_generated_table_repeats_and_empty(spark):
     encoder = Tokenizer.from_file(PATH)
     assert all(r["n_tokens"] == len(encoder.encode(texts[r["doc_id"]], add_special_tokens=False)) for r in out)
     assert tokens.token_counts(docs.limit(0), PATH).count() == 0
+
+
+def test_special_tokens_count_only_as_spelt(spark):
+    texts = ["<|EndOfText|>", "x<|StartOfText|>y", "<|ENDOFTEXT|>,", "<|endoftext|> <|EndOfText|> EndOfText. IT'S It's", "<|endoftext|>"]
+    texts += [f"{a}<|{b}|>{c}" for a in ("", "A", "9") for b in ("Endoftext", "startoftexT") for c in ("", ".", "Z")]
+    got = counted(spark, texts)
+    assert {i: r["n_tokens"] for i, r in got.items()} == {i: library(t) for i, t in enumerate(texts)}
+    assert got[0]["n_tokens"] == 6 and got[1]["n_tokens"] == 9 and got[4]["n_tokens"] == 1
