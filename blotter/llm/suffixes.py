@@ -14,9 +14,13 @@ the same document further left). Only suffixes that can begin such a string are
    common extension by binary search over the prefix hashes, so it takes a logarithmic number of steps. Neighbours'
    common extensions give those of any two to the right, another binary search those to the left; together they are
    the stretch that two contexts share. Where an anchor has more than ``SMALL`` contexts, all their windows are sorted
-   instead, and neighbours with a common extension of ``length`` bytes are one string. Then the bytes themselves are
-   compared: a collision of hashes is an error, never a removal. Anchors with very many contexts are split by salts; the
-   distinct strings of each salt meet by hash (of 128 bits) afterwards.
+   instead, and neighbours with a common extension of ``length`` bytes are one string. Then the bytes of the contexts
+   compared here are compared themselves: among them a collision of hashes is an error, never a removal. Anchors with very
+   many contexts are split by salts; the distinct strings of each salt meet by hash (of 128 bits) afterwards.
+
+   Not verified by bytes are these strings of salted anchors, and later occurrences of a context (step 2; exact copies, most
+   of what is removed): they are taken as equal to the first by a 64-bit hash of the context under the anchor's bucket and
+   40-bit key. A collision there would remove bytes that aren't repeated.
 4. The removed bytes of a document are the union of its repeated windows.
 
 A retry must find the documents as before, as with a written table; a batch whose replies don't find it is an error.
