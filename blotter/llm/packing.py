@@ -8,8 +8,10 @@ as many as there are such gaps are placed, in the order of their ranks, which se
 and the rest looks again, opening new sequences where no gap is left. That is best-fit decreasing.
 
 Spark counts pieces per length, ranks them within their length (in two steps, over salts, so that no length meets in one
-task), and places each by its rank. Only counts per length reach the driver (at most ``capacity`` rows), and only the plan
-goes back: runs of ranks with their first sequence and offset, at most some tens of thousands at any input size.
+task), and places each by its rank. Counts per length and salt reach the driver (at most ``capacity`` x 1024 rows), where the
+match itself is a loop over the counts per length; back go the first rank of each length and salt and the plan: runs of
+ranks with their first sequence and offset. Salts end at 1024, so beyond some 200 million pieces a frequent length's window
+tasks grow with the input.
 
 Null and empty texts are a single piece with the end id; every input row is packed, repeated rows and rows with a null
 doc_id included; extra columns are ignored; an empty table gives no rows.
