@@ -266,7 +266,10 @@ def smallest_hashes(classes: DataFrame, width: int, rounds: int) -> DataFrame:
 
 
 def similar_pairs(sets: list[np.ndarray], n: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
-    """Pairs (i of left, j of right, i <> j) that link; intersections come from products over 4096 shingles at a time."""
+    """Pairs (i of left, j of right, i <> j) that link; intersections come from products over 4096 shingles at a time.
+
+    The products are exact in float32; their sums and the comparison are in integers.
+    """
     _, token = np.unique(np.concatenate(sets), return_inverse=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     often = np.bincount(token) > 1
@@ -274,14 +277,15 @@ def similar_pairs(sets: list[np.ndarray], n: np.ndarray, left: np.ndarray, right
     row, token = row[often[token]], number[token[often[token]]]
     order = np.argsort(token, kind="stable")
     row, token = row[order], token[order]
-    common = np.zeros((len(left), len(right)), np.float32)
+    common = np.zeros((len(left), len(right)), np.int64)
     for start in range(0, int(often.sum()), 4096):
         lo, hi = np.searchsorted(token, [start, start + 4096])
         part = np.zeros((len(sets), 4096), np.float32)
         part[row[lo:hi], token[lo:hi] - start] = 1
-        common += part[left] @ part[right].T
-    union = n[left][:, None] + n[right][None, :] - common
-    i, j = np.nonzero((100 * common >= percent * union) & (left[:, None] != right[None, :]))
+        common += (part[left] @ part[right].T).astype(np.int64)
+    common *= 100 + percent
+    least = percent * n.astype(np.int64)
+    i, j = np.nonzero((common >= least[left][:, None] + least[right][None, :]) & (left[:, None] != right[None, :]))
     return left[i], right[j]
 
 

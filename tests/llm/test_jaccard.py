@@ -36,6 +36,14 @@ def brute(rows):
     return sorted(out, key=str)
 
 
+def test_tiles_decide_very_long_sets_exactly():
+    common = 671_097  # 100 times this is no float32
+    for size, linked in ((common // 3 * 4, True), (common // 3 * 4 + 1, False)):
+        sets = [np.arange(common, dtype=np.uint64), np.arange(size, dtype=np.uint64)]
+        told = jaccard.similar_pairs(sets, np.array([common, size]), np.array([0]), np.array([1]), 75)
+        assert len(told[0]) == linked
+
+
 def run(spark, rows, parts=3, **sizes):
     df = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, n long, digest string").repartition(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     return sorted(map(tuple, jaccard.similar_documents(df, **sizes).collect()), key=str)
