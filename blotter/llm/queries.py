@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, embeddings, extraction, jaccard, mixing, packing, quality, suffixes, tokens, urls
+from blotter.llm import chat, codes, decontamination, embeddings, extraction, jaccard, mixing, negatives, packing, quality, suffixes, tokens, urls
 from blotter.llm.common import table
 from blotter.llm.sql import ORACLE_SQL  # noqa: F401
 
@@ -75,9 +75,23 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, seed=MIX_SEED)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.digests(found)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_html_text, op2_url_verdicts, op3_quality_rules, op4_suffix_dedup, op5_chat_format, op6_best_fit_packing, op7_ngram_jaccard,
               op8_token_counts,
-              op9_embedding_near_dups, op10_source_mix)
+              op9_embedding_near_dups, op10_source_mix, op11_decontamination, op12_hard_negatives, op13_vector_codes)
 }
