@@ -24,6 +24,7 @@ EXTREME_K = 3
 EXCLUDED_ZIPS = (3, 7)
 TOP_MONTHS = 3
 STREET = tb.STREET_EVENT
+NARROW = ("DR_NO", "Date Rptd", "DATE OCC", "AREA", "LAT")
 # -------------------------------------------------------------------------------------
 
 
@@ -85,6 +86,9 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": lambda s, d: ingest.csv_roundtrip(tb.table(s, d, "part")),
     "csv_file_roundtrip": lambda s, d: ingest.csv_file_roundtrip_report(tb.table(s, d, "part")),
     "csv_incident_files": lambda s, d: ingest.incident_files(tb.incident_periods(s, d)),
+    "csv_mixed_headers": lambda s, d: ingest.mixed_header_files(tb.incident_periods(s, d)),
+    "csv_narrow_read": lambda s, d: ingest.mixed_header_files(tb.incident_periods(s, d), NARROW),
+    "csv_rejects": lambda s, d: ingest.rejected_fields(tb.incident_periods(s, d)),
     "csv_income_file": lambda s, d: ingest.dimension_file(
         tb.income_text_from_supplier(tb.table(s, d, "supplier")), read_income),
     "csv_revgeo_file": lambda s, d: ingest.dimension_file(

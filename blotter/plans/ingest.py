@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,8 @@ from .. import schemas
 from ..operators.filters import drop_missing, exclude_keys, in_range
 from ..operators.profile import schema_report
 from ..session import ensure_checkpoint_dir
-from ..sources.csv import csv_file_roundtrip, csv_text_roundtrip, read_incidents, typed_column, typed_select
+from ..sources.csv import (csv_file_roundtrip, csv_text_roundtrip, read_incidents, read_incidents_with_rejects, typed_column,
+                           typed_select)
 from ..sources.periods import tag_and_union, union_periods
 
 
@@ -89,24 +90,63 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def incident_files(periods: Sequence[DataFrame]) -> DataFrame:
-    """Period tables written as 28-column incident files, read by ``read_incidents`` and united.
+def _as_text(period: DataFrame) -> list[Column]:
+    """The period's columns as the text of a 28-column incident file; columns it lacks are empty."""
+    text = []
+    for f in schemas.INCIDENT:
+        if f.name not in period.columns:
+            text.append(F.lit(None).cast("string").alias(f.name))
+        elif f.name in schemas.TIMESTAMP_PATTERNS:
+            text.append(F.date_format(F.col(f"`{f.name}`"), schemas.TIMESTAMP_PATTERNS[f.name]).alias(f.name))
+        else:
+            text.append(F.col(f"`{f.name}`").cast("string").alias(f.name))
+    return text
+
 
-    As in the real files, the first one's header has a blank after AREA.
+def _write_periods(periods: Sequence[DataFrame], mixed: bool = False, marred: str | None = None) -> list[str]:
+    """Each period as incident files in a folder of its own; the first one's header has a blank after AREA.
+
+    ``mixed`` writes the columns of every other period in reverse order;
+    ``marred`` names a column whose text is replaced by what is not its type
+    in rows whose key 13 divides.
     """
-    spark = periods[0].sparkSession
-    folder, read = _scratch(spark, "incident-files"), []
+    folder, out = _scratch(periods[0].sparkSession, "incident-files"), []
     for i, period in enumerate(periods):
-        text = [
-            (F.date_format(F.col(f"`{f.name}`"), schemas.TIMESTAMP_PATTERNS[f.name]) if f.name in schemas.TIMESTAMP_PATTERNS
-             else F.col(f"`{f.name}`").cast("string")) if f.name in period.columns else F.lit(None).cast("string")
-            for f in schemas.INCIDENT
-        ]
-        named = [c.alias("AREA " if i == 0 and f.name == "AREA" else f.name) for c, f in zip(text, schemas.INCIDENT)]
-        period.select(*named).write.option("header", "true").csv(f"{folder}/{i}")
-        read.append(read_incidents(spark, f"{folder}/{i}"))
-    dates = {c: F.col(f"`{c}`").cast("timestamp_ntz") for c in schemas.TIMESTAMP_PATTERNS}
-    return union_periods(read).withColumns(dates).select(*[F.col(f"`{c}`") for c in periods[0].columns])
+        rows = period.select(*_as_text(period))
+        if marred:
+            rows = rows.withColumn(marred, F.when(F.col("DR_NO") % 13 == 0, F.lit("n/a")).otherwise(F.col(f"`{marred}`")))
+        names = schemas.INCIDENT.names[::-1] if mixed and i % 2 else schemas.INCIDENT.names
+        named = [F.col(f"`{c}`").alias("AREA " if i == 0 and c == "AREA" else c) for c in names]
+        rows.select(*named).write.option("header", "true").csv(f"{folder}/{i}")
+        out.append(f"{folder}/{i}")
+    return out
+
+
+def _like(read: DataFrame, period: DataFrame) -> DataFrame:
+    dates = {c: F.col(f"`{c}`").cast("timestamp_ntz") for c in schemas.TIMESTAMP_PATTERNS if c in read.columns}
+    return read.withColumns(dates).select(*[F.col(f"`{c}`") for c in period.columns if c in read.columns])
+
+
+def incident_files(periods: Sequence[DataFrame]) -> DataFrame:
+    """Period tables written as 28-column incident files, each read by ``read_incidents``, and united."""
+    spark = periods[0].sparkSession
+    return _like(union_periods([read_incidents(spark, folder) for folder in _write_periods(periods)]), periods[0])
+
+
+def mixed_header_files(periods: Sequence[DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
+    """Files of different column order read by one ``read_incidents`` call over all their folders, duplicates removed."""
+    read = read_incidents(periods[0].sparkSession, _write_periods(periods, mixed=True), columns=columns)
+    return _like(union_periods([read]), periods[0])
+
+
+def rejected_fields(periods: Sequence[DataFrame], marred: str = "Weapon Used Cd") -> DataFrame:
+    """Rows, and rows with a rejected field, by the field's name and whether the row's other fields survived."""
+    read = read_incidents_with_rejects(periods[0].sparkSession, _write_periods(periods, mixed=True, marred=marred))
+    told = read.select(
+        F.explode_outer("rejected_fields").alias("field"),
+        (F.col("DR_NO").isNotNull() & F.col("LON").isNotNull()).alias("others_kept"),
+        F.col("_corrupt_record").isNotNull().alias("broken_line"))
+    return told.groupBy("field", "others_kept", "broken_line").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def dimension_file(df: DataFrame, reader: Callable[[SparkSession, str], DataFrame]) -> DataFrame:

@@ -198,6 +198,13 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "SELECT * FROM part",
     "csv_file_roundtrip": "SELECT * FROM part",
     "csv_incident_files": f"WITH {INCIDENTS} SELECT * FROM inc",
+    "csv_mixed_headers": f"WITH {INCIDENTS} SELECT * FROM inc",
+    "csv_narrow_read": f"""WITH {INCIDENTS}, both_periods AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2)
+        SELECT DISTINCT "DR_NO", "Date Rptd", "DATE OCC", "AREA", "LAT" FROM both_periods""",
+    "csv_rejects": f"""
+        WITH {INCIDENTS}, both_periods AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2)
+        SELECT CASE WHEN "DR_NO" % 13 = 0 THEN 'Weapon Used Cd' END AS field, TRUE AS others_kept, FALSE AS broken_line,
+               COUNT(*) AS row_count FROM both_periods GROUP BY 1""",
     "csv_income_file": f"""WITH {INCOME} SELECT zip AS "Zip Code", s_name AS "Community", income AS "Estimated Median Income"
         FROM income JOIN supplier ON zip = s_suppkey""",
     "csv_revgeo_file": """SELECT CAST(l_partkey AS DOUBLE) AS "LAT", CAST(l_suppkey AS DOUBLE) AS "LON",

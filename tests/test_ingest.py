@@ -14,6 +14,7 @@ from blotter.sources.csv import (csv_text_roundtrip, read_csv_strings, read_inci
                                  read_stations)
 from blotter.sources.periods import tag_and_union, union_all, union_periods
 
+from .conftest import formatted_plan
 from .fixtures import write_dimensions, write_incident_periods
 
 
@@ -201,3 +202,103 @@ def test_command_line_remaining_questions(spark, files):
     assert sum(r.crime_count for r in near.collect()) == 3  # firearm rows 1, 4 and 6
     schema = main(["schema", *inc], spark)
     assert schema.count() == 28
+
+
+# --- files with headers of their own -----------------------------------------------------
+
+def _rows_by_name(df):
+    return sorted(tuple((c, r[c]) for c in sorted(df.columns)) for r in df.collect())
+
+
+def test_files_of_different_column_order(spark, tmp_path):
+    """Each file binds by its own header: a list of paths equals the union of single reads."""
+    (tmp_path / "a.csv").write_text("Zip Code,Community,Estimated Median Income\n1,A,$10\n")
+    (tmp_path / "b.csv").write_text("Estimated Median Income,Community,Zip Code\n\"$1,020\",\"B, b\",2\n")
+    (tmp_path / "c.csv").write_text("Community , Zip Code,Estimated Median Income\nC,3,$30\n")
+    paths = [str(tmp_path / f"{n}.csv") for n in "abc"]
+    got = read_income(spark, paths)
+    assert sorted(map(tuple, got.collect())) == [(1, "A", 10), (2, "B, b", 1020), (3, "C", 30)]
+    assert _rows_by_name(got) == _rows_by_name(union_all([read_income(spark, p) for p in paths]))
+    assert _rows_by_name(read_income(spark, str(tmp_path))) == _rows_by_name(got)  # a folder
+    assert _rows_by_name(read_income(spark, f"{tmp_path}/*.csv")) == _rows_by_name(got)  # a glob
+
+
+def test_files_of_one_header_are_one_scan(spark, files, tmp_path):
+    for n in "abcd":
+        (tmp_path / f"{n}.csv").write_text("x,y\n1,2\n" if n < "c" else "y,x\n2,1\n")
+    df = read_csv_strings(spark, str(tmp_path))
+    assert [tuple(r) for r in df.collect()] == [("1", "2")] * 4
+    assert formatted_plan(df).count("Scan csv") == 4  # two scans, each in the tree and in its details
+    assert formatted_plan(read_csv_strings(spark, files["a"])).count("Scan csv") == 2
+
+
+def test_headers_of_odd_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header_only.csv").write_text("x,y\n")
+    (tmp_path / "blank_first.csv").write_text("\n\ny,x\n1,2\n")
+    (tmp_path / "with, comma [1].csv").write_text("y,x\n3,4\n")
+    (tmp_path / "crlf.csv").write_bytes(b"x,y\r\n5,6\r\n")
+    (tmp_path / "percent %20.csv").write_text("X,Y\n7,8\n")
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as f:
+        f.write("y,x\n9,0\n")
+    got = {(r["x"], r["y"]) for r in read_csv_strings(spark, str(tmp_path)).collect()}
+    assert got == {("2", "1"), ("4", "3"), ("5", "6"), ("7", "8"), ("0", "9")}
+
+
+def test_only_empty_files(spark, tmp_path):
+    for n in "ab":
+        (tmp_path / f"{n}.csv").write_text("")
+    assert read_csv_strings(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_that_some_files_lack(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y\n3\n")
+    with pytest.raises(ValueError, match="lacks columns"):
+        read_csv_strings(spark, str(tmp_path))
+    got = read_csv_strings(spark, str(tmp_path), missing="null")
+    assert sorted(((r.x, r.y) for r in got.collect()), key=str) == [("1", "2"), (None, "3")]
+    with pytest.raises(ValueError):
+        read_csv_strings(spark, str(tmp_path), missing="drop")
+
+
+def test_many_files_probe_in_bounded_jobs(spark, tmp_path, monkeypatch):
+    from blotter.sources import headers
+
+    monkeypatch.setattr(headers, "FILES_PER_JOB", 3)
+    for i in range(10):
+        (tmp_path / f"{i}.csv").write_text(f"x,y\n{i},0\n" if i % 2 else f"y,x\n0,{i}\n")
+    got = read_csv_strings(spark, str(tmp_path))
+    assert sorted((int(r.x), r.y) for r in got.collect()) == [(i, "0") for i in range(10)]
+
+
+def test_period_files_in_one_call(spark, files):
+    """The two period files of the reference in one call."""
+    both = read_incidents(spark, [files["a"], files["b"]])
+    one_by_one = union_all([read_incidents(spark, files["a"]), read_incidents(spark, files["b"])])
+    assert sorted(map(str, both.collect())) == sorted(map(str, one_by_one.collect()))
+    assert both.filter("AREA IS NULL").count() == 0
+
+
+def test_rejected_fields_and_broken_lines(spark, files, tmp_path):
+    from blotter.sources.csv import read_incidents_with_rejects, typed_with_rejects
+
+    got = {r.DR_NO: r for r in read_incidents_with_rejects(spark, [files["a"], files["b"]]).collect()}
+    assert got[5].rejected_fields == ["Date Rptd", "TIME OCC", "Weapon Used Cd"]
+    assert got[1].rejected_fields == [] and all(r._corrupt_record is None for r in got.values())
+    assert got[5]["DATE OCC"] == dt.datetime(2016, 3, 1)
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.DoubleType()), T.StructField("s", T.StringType())])
+    (tmp_path / "bad.csv").write_text("k,v,s\n1,1.5,a\n2,x,b\n3\n4,4.5,d,more\n5,  ,\n,,\n")
+    raw = read_csv_strings(spark, str(tmp_path / "bad.csv"), corrupt_column="_corrupt_record")
+    out = typed_with_rejects(raw, schema)
+    rows = {r.k: (r.v, r.s, r.rejected_fields, r._corrupt_record) for r in out.collect() if r.k is not None}
+    assert rows == {1: (1.5, "a", [], None), 2: (None, "b", ["v"], None), 3: (None, None, [], "3"),
+                    4: (4.5, "d", [], "4,4.5,d,more"), 5: (None, None, [], None)}
+    # The account is the same when only some columns are asked for.
+    assert sorted(r[0] for r in out.filter("_corrupt_record IS NOT NULL").select("k").collect()) == [3, 4]
+    assert [r[0] for r in out.filter("size(rejected_fields) > 0").select("k").collect()] == [2]
+    with pytest.raises(ValueError):
+        typed_with_rejects(raw, schema, rejects="k")
+    assert typed_with_rejects(raw.filter(F.lit(False)), schema).count() == 0
