@@ -23,6 +23,7 @@ DESCENT_YEAR = 1998
 EXTREME_K = 3
 EXCLUDED_ZIPS = (3, 7)
 TOP_MONTHS = 3
+NEAREST_K = 3
 STREET = tb.STREET_EVENT
 NARROW = ("DR_NO", "Date Rptd", "DATE OCC", "AREA", "LAT")
 # -------------------------------------------------------------------------------------
@@ -129,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "nearest_by_year": lambda s, d: stations.nearest_by_year(_incidents(s, d), _stations(s, d), _cover(s, d)),
     "nearest_by_year_sql": lambda s, d: stations.nearest_by_year_sql(_incidents(s, d), _stations(s, d), _cover(s, d)),
     "nearest_by_division": lambda s, d: stations.nearest_by_division(_incidents(s, d), _stations(s, d), _cover(s, d)),
+    "nearest_k_by_division": lambda s, d: stations.nearest_k_by_division(_incidents(s, d), _stations(s, d), NEAREST_K, _cover(s, d)),
     "nearest_by_division_sql": lambda s, d: stations.nearest_by_division_sql(
         _incidents(s, d), _stations(s, d), _cover(s, d)),
 }

@@ -188,6 +188,19 @@ SELECT division, round(avg(distance), 6) AS mean_distance, COUNT(division) AS cr
 FROM ranked WHERE rn = 1 GROUP BY 1
 """
 
+NEAREST_K = f"""
+WITH {INCIDENTS}, {STATIONS}, numbered AS (
+    SELECT *, row_number() OVER () AS n FROM inc WHERE "Weapon Used Cd" IS NOT NULL
+), ranked AS (
+    SELECT st."DIVISION" AS division, distance,
+           ROW_NUMBER() OVER (PARTITION BY n ORDER BY distance, st."DIVISION") AS "rank"
+    FROM (SELECT f.n, st."DIVISION", {_hav('f."LAT"', 'f."LON"', 'st."Y"', 'st."X"')} AS distance
+          FROM numbered f JOIN st ON {_USABLE}) st
+)
+SELECT division, CAST("rank" AS INTEGER) AS "rank", round(avg(distance), 6) AS mean_distance, COUNT(*) AS crime_count
+FROM ranked WHERE "rank" <= 3 GROUP BY 1, 2
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "profile_count": f"""
         WITH {INCIDENTS}
@@ -252,4 +265,5 @@ ORACLE_SQL: dict[str, str] = {
     "nearest_by_year_sql": NEAREST_BY_YEAR,
     "nearest_by_division": NEAREST_BY_DIVISION,
     "nearest_by_division_sql": NEAREST_BY_DIVISION,
+    "nearest_k_by_division": NEAREST_K,
 }

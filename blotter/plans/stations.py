@@ -23,7 +23,7 @@ from ..functions.scalars import haversine_km
 from ..functions.sql import HAVERSINE, drop_sql_functions, haversine_expr, register_sql_functions
 from ..operators.filters import drop_missing, in_range
 from ..operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_with_strategy
-from ..operators.nearest import SiteGrid, candidate_rows, nearest_site
+from ..operators.nearest import SiteGrid, candidate_rows, nearest_site, nearest_sites
 from ..operators.rank import top_k_per_group
 
 KEY, DATE, AREA, WEAPON = "DR_NO", "DATE OCC", "AREA", "Weapon Used Cd"
@@ -162,6 +162,18 @@ def nearest_by_division(incidents: DataFrame, stations: DataFrame, cover: DataFr
     return _mean_and_count(per_key, "division", "division").orderBy(F.desc("crime_count"), "division")
 
 
+def nearest_k_by_division(incidents: DataFrame, stations: DataFrame, k: int, cover: DataFrame | None = None) -> DataFrame:
+    """Of incidents with a weapon: per division and rank (1 to ``k``), how many have it as their rank-th nearest, and how far.
+
+    Incidents without usable coordinates have no nearest divisions and are left out.
+    """
+    near = nearest_sites(any_weapon(incidents).select("LAT", "LON"), _usable_stations(stations), k, cover=cover)
+    told = near.select(F.posexplode("nearest").alias("place", "site"))
+    return (told.groupBy(F.col("site.DIVISION").alias("division"), (F.col("place") + 1).alias("rank"))
+            .agg(F.round(F.avg("site.distance"), DIGITS).alias("mean_distance"), F.count(F.lit(1)).alias("crime_count"))
+            .orderBy("rank", F.desc("crime_count"), "division"))
+
+
 def _nearest_sql_inputs(incidents: DataFrame, stations: DataFrame, cover: DataFrame | None,
                         cols: Sequence[str]) -> tuple[dict[str, DataFrame], str]:
     grid = SiteGrid.build(_usable_stations(stations), "Y", "X", ["DIVISION"])
