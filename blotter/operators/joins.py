@@ -9,6 +9,11 @@ another by size:
   measures its bytes there; above ``max_broadcast_bytes`` it raises.
 * ``merge`` / ``shuffle_hash`` shuffle both sides on the key; AQE's skew-join
   handling splits a hot key's partition on the streamed side.
+* ``bloom`` (restrictions only) tests a Bloom filter of the keys in the fact
+  scan's stage, then merges (``operators.bloom``): for key sets too big to
+  broadcast.
+* ``salted`` (equi-joins by column names) spreads heavy hitters over many tasks
+  before a merge join (``operators.skew``), whatever AQE is set to.
 * ``auto`` carries no hint: AQE re-plans from the *measured* size of the
   shuffled build side.
 
@@ -24,8 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize, materialize_counted
+from .bloom import bloom_filtered
+from .skew import salted_join
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
+RESTRICTING = (*STRATEGIES, "bloom")
 
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 ** 2
 
@@ -70,6 +78,13 @@ def join_with_strategy(left: DataFrame, right: DataFrame, on: str | Sequence[str
                        how: str = "inner", strategy: str = "auto",
                        max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``left.join(right, on, how)`` with ``right`` as the hinted build side."""
+    if strategy == "salted":
+        if isinstance(on, Column):
+            raise ValueError("a salted join needs column names that both sides have")
+        names = [on] if isinstance(on, str) else list(on)
+        renamed = right.withColumnsRenamed({c: f"__right_{c}" for c in names})
+        joined = salted_join(left, renamed, [left[f"`{c}`"] for c in names], [renamed[f"`__right_{c}`"] for c in names], how)
+        return joined.drop(*[f"__right_{c}" for c in names])
     return left.join(hinted(right, strategy, max_broadcast_bytes), on, how)
 
 
@@ -85,12 +100,19 @@ def restrict_by_dimension(facts: DataFrame, lookup: DataFrame, dims: DataFrame,
     (rows of ``facts`` are never duplicated).
 
     The restricted key set is checkpointed, so a lost executor does not
-    recompute it.
+    recompute it. ``bloom`` also drops facts that certainly have no key before
+    they are shuffled; its steps before that join by merge.
     """
     dim_keys = dims.select(F.col(dim_key).alias("__dim_key")).distinct()
+    if strategy not in RESTRICTING:
+        raise ValueError(f"unknown strategy {strategy!r}; choose from {RESTRICTING}")
     joined = join_with_strategy(lookup, dim_keys, F.col(lookup_dim_key) == F.col("__dim_key"),
-                                "inner", strategy, max_broadcast_bytes)
+                                "inner", "merge" if strategy == "bloom" else strategy, max_broadcast_bytes)
     keys = joined.select(*fact_keys).distinct()
+    if strategy == "bloom":
+        keys, seen = materialize_counted(keys)
+        facts = bloom_filtered(facts, keys, list(fact_keys), seen["rows"])
+        return join_with_strategy(facts, keys, list(fact_keys), "left_semi", "merge")
     if strategy != "broadcast":  # a broadcast side is written by its size check
         keys = materialize(keys)
     return join_with_strategy(facts, keys, list(fact_keys), "left_semi", strategy, max_broadcast_bytes)

@@ -99,6 +99,7 @@ QUERIES: dict[str, Query] = {
         tb.incidents_from_orders(tb.table(s, d, "orders"))),
     "parse_money": lambda s, d: ingest.parse_money_report(tb.income_text_from_supplier(tb.table(s, d, "supplier"))),
     "union_distinct": _incidents,
+    "union_distinct_fingerprint": lambda s, d: union_periods(tb.incident_periods(s, d), by_fingerprint=True),
     "union_all_topk_bottomk": lambda s, d: descent.income_extremes(_income(s, d), EXTREME_K, EXCLUDED_ZIPS).select(
         F.col("`Zip Code`").alias("zip_code"), F.col("`Estimated Median Income`").alias("income")),
     "union_fold": lambda s, d: ingest.union_fold(tb.incident_periods(s, d)),
@@ -108,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "street_by_part_of_day": lambda s, d: part_of_day.street_by_part_of_day(_clocked(s, d), STREET),
     "street_by_part_of_day_sql": lambda s, d: part_of_day.street_by_part_of_day_sql(_clocked(s, d), STREET),
     "street_by_part_of_day_rdd": lambda s, d: part_of_day.street_by_part_of_day_rdd(_clocked(s, d), STREET),
+    "street_by_part_of_day_arrow": lambda s, d: part_of_day.street_by_part_of_day_arrow(_clocked(s, d), STREET),
     # Q1
     "top_months_per_year": lambda s, d: months.top_months_per_year(_incidents(s, d), TOP_MONTHS),
     "top_months_per_year_sql": lambda s, d: months.top_months_per_year_sql(_incidents(s, d), TOP_MONTHS),
@@ -115,14 +117,15 @@ QUERIES: dict[str, Query] = {
     "code_label_counts": lambda s, d: descent.code_label_counts(
         tb.coded_facts_from_lineitem(tb.table(s, d, "lineitem"))),
     "dim_restricted_counts": _descent("auto"),
-    **{f"dim_restricted_counts_{st}": _descent(st) for st in STRATEGIES},
+    **{f"dim_restricted_counts_{st}": _descent(st) for st in (*STRATEGIES, "bloom")},
     # Q4 distances
     "haversine_pairs": lambda s, d: stations.responsible_distances(_incidents(s, d), _stations(s, d)),
     "haversine_sql_function": lambda s, d: stations.responsible_distances_sql(_incidents(s, d), _stations(s, d)),
     # Q4-1a / 1b
     "responsible_by_year": _responsible_by_year("auto"),
     "responsible_by_year_sql": lambda s, d: stations.responsible_by_year_sql(_incidents(s, d), _stations(s, d)),
-    **{f"responsible_by_year_{st}": _responsible_by_year(st) for st in STRATEGIES},
+    **{f"responsible_by_year_{st}": _responsible_by_year(st) for st in (*STRATEGIES, "salted")},
+    "responsible_by_year_bucketed": lambda s, d: stations.responsible_by_year_bucketed(_incidents(s, d), _stations(s, d)),
     "responsible_by_division": lambda s, d: stations.responsible_by_division(_incidents(s, d), _stations(s, d)),
     "responsible_by_division_sql": lambda s, d: stations.responsible_by_division_sql(
         _incidents(s, d), _stations(s, d)),

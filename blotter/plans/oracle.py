@@ -229,6 +229,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM staged""",
     "parse_money": f"WITH {INCOME} SELECT zip AS zip_code, income FROM income",
     "union_distinct": f"WITH {INCIDENTS} SELECT * FROM inc",
+    "union_distinct_fingerprint": f"WITH {INCIDENTS} SELECT * FROM inc",
     "union_all_topk_bottomk": f"WITH {INCOME}, {EXTREMES} SELECT zip AS zip_code, income FROM extremes",
     "union_fold": f"""
         WITH {INCIDENTS}
@@ -247,18 +248,19 @@ ORACLE_SQL: dict[str, str] = {
     "street_by_part_of_day": PART_OF_DAY,
     "street_by_part_of_day_sql": PART_OF_DAY,
     "street_by_part_of_day_rdd": PART_OF_DAY,
+    "street_by_part_of_day_arrow": PART_OF_DAY,
     "top_months_per_year": TOP_MONTHS_SQL,
     "top_months_per_year_sql": TOP_MONTHS_SQL,
     "code_label_counts": f"""
         SELECT {_label(CODE, LABELS)} AS descent, COUNT(*) AS victim_count
         FROM lineitem GROUP BY 1""",
     "dim_restricted_counts": DESCENT,
-    **{f"dim_restricted_counts_{s}": DESCENT for s in STRATEGIES},
+    **{f"dim_restricted_counts_{s}": DESCENT for s in (*STRATEGIES, "bloom")},
     "haversine_pairs": RESPONSIBLE_DISTANCES,
     "haversine_sql_function": RESPONSIBLE_DISTANCES,
     "responsible_by_year": RESPONSIBLE_BY_YEAR,
     "responsible_by_year_sql": RESPONSIBLE_BY_YEAR,
-    **{f"responsible_by_year_{s}": RESPONSIBLE_BY_YEAR for s in STRATEGIES},
+    **{f"responsible_by_year_{s}": RESPONSIBLE_BY_YEAR for s in (*STRATEGIES, "salted", "bucketed")},
     "responsible_by_division": RESPONSIBLE_BY_DIVISION,
     "responsible_by_division_sql": RESPONSIBLE_BY_DIVISION,
     "nearest_by_year": NEAREST_BY_YEAR,

@@ -25,6 +25,8 @@ from ..operators.filters import drop_missing, in_range
 from ..operators.joins import DEFAULT_MAX_BROADCAST_BYTES, join_with_strategy
 from ..operators.nearest import SiteGrid, candidate_rows, nearest_site, nearest_sites
 from ..operators.rank import top_k_per_group
+from ..operators.skew import salted_join
+from ..sources.layout import bucketed
 
 KEY, DATE, AREA, WEAPON = "DR_NO", "DATE OCC", "AREA", "Weapon Used Cd"
 FIREARM = (100, 199)
@@ -49,8 +51,11 @@ def _station_side(stations: DataFrame) -> DataFrame:
 
 def with_responsible_station(incidents: DataFrame, stations: DataFrame, strategy: str = "auto") -> DataFrame:
     """Incidents joined to the station of their area, with the distance to it (km)."""
-    cond = F.col(_q(AREA)).cast("bigint") == F.col("PREC")
-    joined = join_with_strategy(incidents, _station_side(stations), cond, "inner", strategy)
+    area = F.col(_q(AREA)).cast("bigint")
+    if strategy == "salted":
+        joined = salted_join(incidents, _station_side(stations), [area], [F.col("PREC")])
+    else:
+        joined = join_with_strategy(incidents, _station_side(stations), area == F.col("PREC"), "inner", strategy)
     return joined.withColumn("distance", haversine_km(F.col("LAT"), F.col("LON"), F.col("Y"), F.col("X")))
 
 
@@ -64,6 +69,23 @@ def responsible_by_year(incidents: DataFrame, stations: DataFrame, strategy: str
     return _mean_and_count(joined.withColumn("year", F.year(_q(DATE))), "year", "year").orderBy("year")
 
 
+def responsible_by_year_bucketed(incidents: DataFrame, stations: DataFrame, buckets: int = 8) -> DataFrame:
+    """From tables laid out by area: the join reads both sides bucket by bucket, without an exchange.
+
+    The layout is written here; a caller with several questions writes it once
+    (``sources.layout.bucketed``) and asks them all of it.
+    """
+    laid = bucketed(firearm(incidents).select(DATE, F.col(_q(AREA)).cast("bigint").alias(AREA), "LAT", "LON"), [AREA], buckets)
+    at = bucketed(_station_side(stations), ["PREC"], buckets)
+    return responsible_by_year_of_layout(laid, at)
+
+
+def responsible_by_year_of_layout(laid: DataFrame, at: DataFrame) -> DataFrame:
+    joined = laid.join(at.hint("merge"), F.col(_q(AREA)) == F.col("PREC"))
+    far = joined.withColumn("distance", haversine_km(F.col("LAT"), F.col("LON"), F.col("Y"), F.col("X")))
+    return _mean_and_count(far.withColumn("year", F.year(_q(DATE))), "year", "year").orderBy("year")
+
+
 def responsible_by_division(incidents: DataFrame, stations: DataFrame, strategy: str = "auto") -> DataFrame:
     joined = with_responsible_station(any_weapon(incidents), stations, strategy)
     return (_mean_and_count(joined.withColumnRenamed("DIVISION", "division"), "division", "division")

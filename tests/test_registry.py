@@ -66,7 +66,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.endswith("_rdd")])
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.endswith(("_rdd", "_arrow"))])
 def test_no_python_in_dataframe_queries(spark, name):
     plan = plan_text(queries()[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
