@@ -1,4 +1,4 @@
-"""N-gram Jaccard join (operator 7) by token-combination prefixes, exact.
+"""N-gram Jaccard join (operator 7) by token-combination prefixes.
 
 A document is its set of distinct five-word shingles (words without case in A-Z; with fewer words the whole sequence is
 one shingle). Documents link when 100 * |intersection| >= 75 * |union|.
@@ -8,18 +8,25 @@ one shingle). Documents link when 100 * |intersection| >= 75 * |union|.
    batch. The buckets reply to each batch with the shingles that occur in two documents or more.
 2. Only documents at least 75 % of whose shingles are such can have a partner. They are kept with these shingles in the
    global order (frequency, hash); equal sets are merged into one class, named by its smallest doc_id.
-3. Token-combination prefixes. Two sets that link share a shingle among the first ``n - ceil(0.75 n) + 1`` of each, and two
-   among one more. Rare shingles of the prefix are index keys of their own. Frequent ones are indexed as pairs within the
-   extended prefix. That bounds a class's keys only while its set is small, so large sets index frequent shingles singly;
-   between ``pair_sets`` and 4/3 of it sets do both, and as linked sets differ in size by less, no pair falls between.
-4. Verification in two rounds. First, classes that have the same smallest hash under one of two seeds, as near copies
-   mostly do, are compared in tiles of bounded size; a tile returns a spanning edge per class. Then only keys whose
-   classes are still in several components matter; all other pairs are connected already. Classes chained by such keys
-   are compared in pairs of tiles where they share many keys, and else pair by pair (``open_links``); either way every
-   pair across components that shares a key is compared.
-
-Shingles are told apart by 64-bit hashes at first and by 40 bits and their bucket after that. ``docs`` must give the same
-rows in the same order when read again, as a written table does; a batch whose replies don't find it is an error.
+3. A first round of verification links classes that have the same smallest hash under one of two seeds, as near copies
+   mostly do: tiles of bounded size are compared, and a tile returns a spanning edge per class. All that follows is about
+   classes that are still in different components.
+4. Token-combination prefixes. Two sets that link share a shingle among the first ``n - ceil(0.75 n) + 1`` of each, and
+   ``g + 1`` of them among ``g`` more. Rare shingles of the prefix are index keys of their own. Frequent ones are indexed
+   as pairs within the prefix extended by ``g``: shingles are dealt to g hash groups, so of g + 1 shared ones two are in
+   one group, and only pairs within a group are indexed. With g in proportion to the set's size that is a few keys per
+   shingle, whatever the size; linked sets differ in size by 4/3 at most, so a set is indexed for its own and the next
+   step of that scale, and each link has a step in common. Pairs are made only of shingles that classes of different
+   components share.
+5. Verification of what is left. A key counts only while its classes are in several components; that is decided from one
+   row per key and component. Components chained by such keys form a cloud. Its classes that have such keys are compared
+   in pairs of tiles where they share many keys, and else pair by pair (``open_links``); either way every pair across
+   components that shares a key is compared.
+
+Shingles are told apart by 64-bit hashes, whose words are hashed by a random table of (position, byte), and by 40 bits and
+their bucket from the second step on; texts are not compared after that. With b buckets of some million shingles, a
+document's shingle is taken for another one's with probability below 1e-6. ``docs`` must give the same rows in the same
+order when read again, as a written table does; a batch whose replies don't find it is an error.
 
 Null and empty texts and texts without words have no shingles and link with nothing; a null doc_id links with nothing and
 has a null component; rows that repeat a doc_id each give an output row; extra columns are ignored.
@@ -28,6 +35,7 @@ has a null component; rows that repeat a doc_id each give an output row; extra c
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -48,13 +56,20 @@ CHUNK = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 NEXT_SPACE = re.compile(rb"[\x09-\x0d\x20]")
-LOWER = cells.Rolling.VALUES.copy()
-LOWER[65:91] = LOWER[97:123]
+POSITIONS = 64
+#: A random number for each byte at each of a word's first places; upper-case letters have those of lower-case ones.
+PLACED = np.random.default_rng(2024).integers(0, 2**64, (POSITIONS, 256), dtype=np.uint64)
+PLACED[:, 65:91] = PLACED[:, 97:123]
+PLACED = PLACED.reshape(-1)
 FACTORS = np.random.default_rng(5).integers(1, 2**63, 2 * WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """A hash per word, in order; long texts in chunks that end at white space."""
+    """A hash per word, in order; long texts in chunks that end at white space.
+
+    The sum over the word's bytes of a random number of (place, byte), with the length. Unlike a polynomial it has no
+    structure that some pair of words cancels.
+    """
     out, at = [], 0
     while at < len(text):
         m = NEXT_SPACE.search(text, at + CHUNK)
@@ -62,8 +77,18 @@ def word_hashes(text: bytes) -> np.ndarray:
         data = np.frombuffer(text, np.uint8, end - at, at)
         space = SPACE[data]
         edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
-        start, stop = edges[::2], edges[1::2]
-        out.append(cells.mix(cells.Rolling(data, LOWER).of(start, stop) + (stop - start).astype(np.uint64)))
+        start, size = edges[::2], edges[1::2] - edges[::2]
+        if len(start):
+            first = np.cumsum(size) - size
+            place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
+            kept = data[~space].astype(np.int64)
+            if size.max() <= POSITIONS:
+                numbers = PLACED[place * 256 + kept]
+            else:
+                low = np.where((kept >= 65) & (kept < 91), kept + 32, kept)
+                far = cells.mix((place * 256 + low).astype(np.uint64) * FACTORS[0] + FACTORS[1])
+                numbers = np.where(place < POSITIONS, PLACED[np.minimum(place, POSITIONS - 1) * 256 + kept], far)
+            out.append(cells.mix(np.add.reduceat(numbers, first) + size.astype(np.uint64) * FACTORS[2]))
         at = end
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -226,29 +251,64 @@ def ordered_sets(width: int):
     return run
 
 
-def index_keys(classes: DataFrame, width: int, rare: int, pair_sets: int) -> DataFrame:
-    """key, id, n: the classes' prefixes as single shingles and pairs of frequent ones."""
+def step_of(n: int) -> int:
+    """The set size's place on a scale of powers of 4/3."""
+    return int(math.log(n) / math.log(4 / 3))
+
+
+def groups_at(step: int, spread: int) -> int:
+    """Into how many hash groups frequent shingles are dealt."""
+    return max(1, int((4 / 3) ** step / spread))
+
 
-    def keys_of(n: int, ids: np.ndarray, frequency: np.ndarray) -> np.ndarray:
-        prefix = max(0, n - -(-3 * n // 4) + 1 - (n - len(ids)))  # shingles of one document come first and lead nowhere
-        often = frequency > rare
-        out = [ids[:prefix] if n >= pair_sets else ids[:prefix][~often[:prefix]]]
-        if n <= pair_sets * 4 // 3:
-            more = ids[: prefix + 1][often[: prefix + 1]] if prefix else ids[:0]
-            i, j = np.triu_indices(len(more), 1)
-            low, high = np.minimum(more[i], more[j]), np.maximum(more[i], more[j])
-            out.append(cells.mix(low * FACTORS[0] + cells.mix(high * FACTORS[1])) | np.uint64(1 << 63))
-        return np.unique(np.concatenate(out))
+def prefix_keys(classes: DataFrame, width: int, rare: int, spread: int) -> DataFrame:
+    """key, id, n, often: rare shingles of the classes' prefixes, and frequent ones of the extended prefixes."""
 
     def run(batches):
         for batch in batches:
             for cls, n, ids, frequency in zip(*(batch[c].to_pylist() for c in ("id", "n", "ids", "frequency"))):
-                own = keys_of(n, cells.from_planes(memoryview(ids), len(frequency), width), np.frombuffer(frequency, np.uint8)).view(np.int64)
+                own = cells.from_planes(memoryview(ids), len(frequency), width).view(np.int64)
+                often = np.frombuffer(frequency, np.uint8) > rare
+                prefix = n - -(-3 * n // 4) + 1 - (n - len(own))  # shingles of one document come first and lead nowhere
+                if prefix <= 0:
+                    continue
+                place = np.arange(len(own))
+                taken = (place < prefix) | (often & (place < prefix + groups_at(step_of(n) + 1, spread)))
+                k = int(taken.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(np.full(len(own), cls)), pa.array(np.full(len(own), n))], names=["key", "id", "n"]
+                    [pa.array(own[taken]), pa.array(np.full(k, cls)), pa.array(np.full(k, n)), pa.array(often[taken])], names=["key", "id", "n", "often"]
                 )
 
-    return classes.mapInArrow(run, "key long, id long, n long")
+    return classes.mapInArrow(run, "key long, id long, n long, often boolean")
+
+
+def pair_keys(shingles: DataFrame, spread: int) -> DataFrame:
+    """key, id, n, component from each class's frequent shingles (``keys``): pairs within a hash group, below zero."""
+
+    def of_step(own: np.ndarray, step: int) -> np.ndarray:
+        groups = np.uint64(groups_at(step, spread))
+        group = cells.mix(own * FACTORS[3] + np.uint64(step)) % groups
+        order = np.lexsort((own, group))
+        own, group = own[order], group[order]
+        out = []
+        for apart in range(1, len(own)):
+            low = np.flatnonzero(group[apart:] == group[:-apart])
+            if not len(low):
+                break
+            out.append(cells.mix(own[low] * FACTORS[0] + cells.mix(own[low + apart] * FACTORS[1] + np.uint64(step))) | np.uint64(1 << 63))
+        return np.concatenate([*out, np.empty(0, np.uint64)])
+
+    def run(batches):
+        for batch in batches:
+            for cls, n, component, keys in zip(*(batch[c].to_pylist() for c in ("id", "n", "component", "keys"))):
+                own = np.array(keys, np.int64).view(np.uint64)
+                found = np.unique(np.concatenate([of_step(own, step_of(n)), of_step(own, step_of(n) + 1)])).view(np.int64)
+                k = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), pa.array(np.full(k, cls)), pa.array(np.full(k, n)), pa.array(np.full(k, component))], names=["key", "id", "n", "component"]
+                )
+
+    return shingles.mapInArrow(run, "key long, id long, n long, component long")
 
 
 def smallest_hashes(classes: DataFrame, width: int, rounds: int) -> DataFrame:
@@ -327,55 +387,64 @@ def pair_links(pairs: DataFrame, classes: DataFrame, width: int, percent: int) -
     return both.mapInArrow(run, "a long, b long")
 
 
-def open_links(index: DataFrame, links: DataFrame, classes: DataFrame, width: int, percent: int, tile_rows: int, tile_cost: float) -> DataFrame:
+def still_open(rows: DataFrame) -> DataFrame:
+    """key, component, many (classes): of keys whose classes are in several components, a row per component."""
+    per_component = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("many"))
+    several = per_component.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return per_component.join(several, "key").select("key", "component", "many", "low")
+
+
+def open_links(prefixes: DataFrame, links: DataFrame, classes: DataFrame, width: int, percent: int, spread: int, tile_rows: int, tile_cost: float) -> DataFrame:
     """Links between classes that share a key and that ``links`` leave in different components.
 
-    Classes chained by open keys form a cloud. A cloud whose keys have more pairs than its tiles have rows is compared
+    Components chained by open keys form a cloud. A cloud whose keys have more pairs than its tiles have rows is compared
     tile by tile; in the others each pair that shares a key is verified by itself.
     """
-    known = components(links)
-    placed = index.join(known, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("component"))
-    open_keys = (
-        placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("id").alias("head"), F.count(F.lit(1)).alias("many"))
-        .filter("low < high")
-        .select("key", "head", "many")
-    )
-    rows = materialize(placed.join(open_keys, "key"))
-    clouds = components(rows.select(F.col("head").alias("a"), F.col("id").alias("b"))).withColumnRenamed("component_id", "part")
-    n_pairs = rows.select("key", F.col("head").alias("id"), "many").distinct().join(clouds, "id").groupBy("part").agg(F.sum(F.col("many") * (F.col("many") - 1) / 2).alias("pairs"))
+    placed = prefixes.join(components(links), "id", "left").select("key", "id", "n", "often", F.coalesce("component_id", "id").alias("component"))
+    open_shingles = still_open(placed).select("key").distinct()
+    rows = materialize(placed.join(open_shingles, "key"))
+    often = rows.filter("often").groupBy("id", "n", "component").agg(F.collect_list("key").alias("keys"))  # part of one set
+    index = materialize(rows.filter("NOT often").select("key", "id", "n", "component").unionByName(pair_keys(often, spread)))
+    held = materialize(still_open(index))
+    clouds = components(held.select(F.col("low").alias("a"), F.col("component").alias("b"))).select(F.col("id").alias("component"), F.col("component_id").alias("part"))
+    many = F.col("many")
+    n_pairs = (
+        held.groupBy("key", "low").agg(F.sum("many").alias("many"))
+        .join(clouds, F.col("low") == F.col("component")).groupBy("part").agg(F.sum(many * (many - 1) / 2).alias("pairs"))
+    )
+    placed_in = rows.select("id", "component").distinct().join(clouds, "component").select("id", "part")
     sized = (
-        clouds.groupBy("part")
+        placed_in.groupBy("part")
         .agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"), F.count(F.lit(1)).alias("rows"))
         .join(n_pairs, "part")
         .withColumn("tiled", tile_cost * F.col("rows") * F.col("tiles") <= F.col("pairs"))
         .select("part", "tiles", "tiled")
     )
-    members = materialize(clouds.join(sized, "part"))
+    members = materialize(placed_in.join(sized, "part"))
     dealt = (
         members.filter("tiled")
         .withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .select("part", "id", "tile", F.least("tile", "other").alias("first"), F.greatest("tile", "other").alias("second"))
     )
-    single = rows.join(members.filter("NOT tiled").select("id"), "id")
-    left, right = (single.select("key", F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in "ab")
-    across = (
-        left.join(right, "key")
-        .filter(f"c_a < c_b AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .select("a", "b")
-        .distinct()
+    single = index.join(members.filter("NOT tiled").select("id"), "id").join(held.select("key").distinct(), "key")
+    left, right = (
+        single.select(F.col("key").alias(f"key_{s}"), F.col("id").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in "ab"
     )
+    in_size = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    across = left.join(right, (F.col("key_a") == F.col("key_b")) & (F.col("c_a") < F.col("c_b")) & in_size).select("a", "b").distinct()
     return tile_links(dealt, classes, width, percent).unionByName(pair_links(across, classes, width, percent))
 
 
 def similar_documents(
-    docs: DataFrame, rare: int = 200, pair_sets: int = 200, percent: int = 75, rounds: int = 2,
+    docs: DataFrame, rare: int = 200, percent: int = 75, rounds: int = 2, spread: int = 8,
     tile_rows: int = 512, tile_cost: float = 1.0,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     if percent < 75:
         raise ValueError("prefixes and size bounds are those of 75 % or more")
+    if spread < 4:
+        raise ValueError("with more groups than a quarter of the set, linked sets need not share enough shingles")
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -393,13 +462,13 @@ def similar_documents(
         .groupBy("n", "digest")
         .agg(F.min("doc_id").alias("id"), F.first("ids").alias("ids"), F.first("frequency").alias("frequency"))
     )
-    index = materialize(index_keys(classes, width, rare, pair_sets))
     smallest = smallest_hashes(classes, width, rounds)
     shared = smallest.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
     tile = F.pmod(F.xxhash64("id", "key"), F.ceil(F.col("many") / tile_rows)).cast("int")
     blocks = smallest.join(shared, "key").select(F.col("key").alias("part"), "id", tile.alias("tile"))
     links = materialize(tile_links(blocks.withColumns({"first": F.col("tile"), "second": F.col("tile")}), classes, width, percent))
-    links = links.unionByName(open_links(index, links, classes, width, percent, tile_rows, tile_cost))
+    prefixes = prefix_keys(classes, width, rare, spread)
+    links = links.unionByName(open_links(prefixes, links, classes, width, percent, spread, tile_rows, tile_cost))
     found = components(links)
     class_of = classes.select("n", "digest", "id").join(found, "id", "left").select(
         F.col("n"), "digest", F.coalesce("component_id", "id").alias("component_id")

@@ -68,7 +68,7 @@ def near_copies(seed=1, groups=10, singles=40):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"rare": 2}, {"rare": 0, "pair_sets": 40}, {"rare": 3, "pair_sets": 1}, {"rounds": 1, "tile_rows": 4}, {"rounds": 1, "tile_cost": 1e9, "rare": 3}])
+@pytest.mark.parametrize("sizes", [{}, {"rare": 2}, {"rare": 0, "spread": 4}, {"rare": 3, "spread": 1000}, {"rare": 0, "spread": 8, "tile_cost": 1e9}, {"rounds": 1, "tile_rows": 4}, {"rounds": 1, "tile_cost": 1e9, "rare": 3}])
 def test_equal_brute_force(spark, sizes):
     rows = near_copies(len(sizes))
     assert run(spark, rows, **sizes) == brute(rows)
@@ -107,3 +107,76 @@ def test_cells_round_trip():
     a, b = r.integers(0, 480, 300), r.integers(0, 480, 300)
     same = np.array([data[x : x + 8].tobytes() == data[y : y + 8].tobytes() for x, y in zip(a, b)])
     assert np.array_equal(rolling.of(a, a + 8) == rolling.of(b, b + 8), same)
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_cancel_in_a_polynomial_are_told_apart(spark):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo a power of two, whatever the odd base."""
+    for n in (64, 128, 1024, 2048, 4096):
+        a = thue_morse(n)
+        b = a.translate(str.maketrans("ab", "ba"))
+        assert jaccard.word_hashes(a.encode())[0] != jaccard.word_hashes(b.encode())[0]
+        assert jaccard.word_hashes(f"{a} {b}".encode()).tolist() == [jaccard.word_hashes(x.encode())[0] for x in (a, b)]
+    rows = [(1, "p q r s " + thue_morse(1024)), (2, "p q r s " + thue_morse(1024).translate(str.maketrans("ab", "ba")))]
+    assert run(spark, rows) == brute(rows) == [(1, 1, 1), (2, 1, 2)]
+
+
+def test_word_hashes_depend_on_place_and_length():
+    words = ["a", "aa", "ab", "ba", "A" * 63, "a" * 64, "a" * 65, "a" * 66, "a" * 64 + "B", "é", "x" * 200 + "y", "x" * 199 + "yx"]
+    got = jaccard.word_hashes(" ".join(words).encode())
+    assert len(set(got.tolist())) == len(words)
+    assert got.tolist() == jaccard.word_hashes(" ".join(w.upper() if w.isascii() else w for w in words).encode()).tolist()
+
+
+def test_linked_sets_share_a_pair_at_every_size():
+    """Two random sets at or above the threshold share an index pair, whatever the order of the shingles."""
+    import random as rnd
+
+    r = rnd.Random(7)
+    for n in [2, 3, 4, 5, 8, 13, 30, 77, 200, 601]:
+        for _ in range(6):
+            common = -(-3 * n // 4)
+            rest = r.randint(0, max(0, (4 * common - 3 * n) // 3))
+            m = common + rest  # |A| = n, |A and B| = common, |union| = n + rest
+            if 100 * common < 75 * (n + rest):
+                continue
+            pool = r.sample(range(1, 1 << 50), n + rest)
+            a, b = sorted(pool[:n]), sorted(pool[:common] + pool[n:])
+            for spread in (4, 8, 50):
+                found = []
+                for own in (a, b):
+                    size = len(own)
+                    step = jaccard.step_of(size)
+                    take = size - -(-3 * size // 4) + 1 + jaccard.groups_at(step + 1, spread)
+                    found.append(pairs_of(own[:take], size, spread))
+                assert found[0] & found[1], (n, m, spread)
+
+
+def pairs_of(own, n, spread):
+    import pyarrow as pa
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([n]), pa.array([1]), pa.array([own], pa.list_(pa.int64()))], names=["id", "n", "component", "keys"])
+    return {k for b in jaccard.pair_keys(Frame(), spread)([batch]) for k in b.column(0).to_pylist()}
+
+
+@pytest.mark.parametrize("copies", [230])
+def test_a_large_group_of_near_copies(spark, copies):
+    """Frequent shingles (more than ``rare`` documents) at the default sizes, and texts that share a passage with the group but don't link."""
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for _ in range(copies):
+        own = list(base)
+        for _ in range(r.randint(0, 6)):
+            own[r.randrange(len(own))] = r.choice(["x", "y", "z"])
+        rows.append(" ".join(own))
+    rows += [" ".join(base[:60] + [f"t{k}_{i}" for i in range(40)]) for k in range(20) for _ in range(2)]
+    rows = list(enumerate(rows))
+    assert run(spark, rows) == brute(rows)
