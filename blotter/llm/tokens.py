@@ -46,20 +46,25 @@ def count_words(encoder, words: list[str], at_once: int = 256) -> list[int]:
     return out
 
 
+def one_word(piece: str) -> bool:
+    """Latin-1 letters stay one word under the normaliser and the split."""
+    return piece.isalpha() and (piece.isascii() or max(piece) <= "\u00ff")
+
+
 def core(piece: str) -> str:
-    """The piece without a comma or full stop that the split cuts off after letters; in lower case if it's ASCII letters only.
+    """The piece without a comma or full stop that the split cuts off after Latin-1 letters; in lower case if ASCII letters only.
 
-    Anything else stays as spelt: the library looks for special tokens before it lowers case.
+    Anything else stays as spelt: the library looks for special tokens before it lowers case, and its normaliser makes
+    marks of other letters (a capital I with a dot above), after which the split cuts elsewhere.
     """
-    word = piece[:-1] if piece[-1:] in (",", ".") and piece[:-1].isalpha() else piece
+    word = piece[:-1] if piece[-1:] in (",", ".") and one_word(piece[:-1]) else piece
     return word.lower() if word.isascii() and word.isalpha() else word
 
 
 def learn(encoder, memo: dict[str, int], missing: set[str]) -> None:
     cores = {w: core(w) for w in missing}
     new = set(cores.values()).difference(memo)
-    # words of Latin-1 letters stay one word each under the normaliser and the split
-    words = [w for w in new if w.isalpha() and (w.isascii() or max(w) <= "\u00ff")]
+    words = [w for w in new if one_word(w)]
     others = list(new.difference(words) | {",", "."})
     memo.update(zip(words, count_words(encoder, words)))
     memo.update(zip(others, map(len, encoder.encode_batch_fast(others, add_special_tokens=False))))

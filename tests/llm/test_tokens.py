@@ -58,3 +58,15 @@ def test_special_tokens_count_only_as_spelt(spark):
     got = counted(spark, texts)
     assert {i: r["n_tokens"] for i, r in got.items()} == {i: library(t) for i, t in enumerate(texts)}
     assert got[0]["n_tokens"] == 6 and got[1]["n_tokens"] == 9 and got[4]["n_tokens"] == 1
+
+
+def test_every_letter_before_commas_and_full_stops():
+    """All code points below U+3000, alone and inside words, counted as the library counts them."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PATH)
+    pieces = [x for c in map(chr, range(1, 0x3000)) if not 0xD800 <= ord(c) < 0xE000 for x in (c + ",", c + ".", f"a{c},", f"{c}b.", f"A{c}B.")]
+    want = [len(e.ids) for e in library.encode_batch(pieces, add_special_tokens=False)]
+    got = tokens.count_pieces(pieces, PATH)
+    wrong = [(p, g, w) for p, g, w in zip(pieces, got, want) if g != w]
+    assert not wrong, wrong[:20]
