@@ -49,13 +49,6 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(KEY_BITS)) % np.uint64(buckets)).astype(np.int64)
 
 
-def by_bucket(buckets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order by bucket and key, buckets present, their bounds in that order)."""
-    order = np.argsort((buckets.astype(np.uint64) << np.uint64(KEY_BITS)) | keys, kind="stable")
-    present, starts = np.unique(buckets[order], return_index=True)
-    return order, present, np.append(starts, len(order))
-
-
 def batch_name(partition: int, number: int, ids: list) -> int:
     """Names a batch by its place and its ids: a scan that runs again gives the same name only with the same rows."""
     told = hashlib.blake2b(repr((partition, number, ids)).encode(), digest_size=8).digest()
@@ -96,7 +89,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Prefix polynomial hashes modulo 2**64 over random byte values: the hash of any stretch in constant time."""
+    """Prefix polynomial hashes modulo 2**64 over random byte values: the hash of any stretch in constant time.
+
+    Long stretches of a doubling structure (Thue-Morse words and their complements, from about 1,000 bytes) have equal
+    hashes under every base; use it for short ones, and ``Blended`` for others.
+    """
 
     BASE = np.uint64(0x9E3779B97F4A7C15)
     INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -113,11 +110,38 @@ class Rolling:
                 steps[0] = 1
                 setattr(cls, name, np.multiply.accumulate(steps))
 
-    def __init__(self, data: np.ndarray, values: np.ndarray | None = None):
-        self._grow(len(data))
-        self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((self.VALUES if values is None else values)[data] * self._powers[: len(data)], out=self.prefix[1:])
+    def __init__(self, data: np.ndarray):
+        self._sum(self.VALUES[data])
+
+    def _sum(self, values: np.ndarray) -> None:
+        self._grow(len(values))
+        self.prefix = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * self._powers[: len(values)], out=self.prefix[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of [start, end), equal for equal bytes wherever they are."""
         return (self.prefix[end] - self.prefix[start]) * self._inverses[start]
+
+
+class Blended(Rolling):
+    """The same over mixed numbers of eight neighbouring bytes, for stretches of eight bytes or more.
+
+    The numbers of a word and of its complement differ in no pattern, so doubling structures don't cancel.
+    """
+
+    WIDTH = 8
+    SALT = np.uint64(0xD6E8FEB86659FD93)
+
+    def __init__(self, data: np.ndarray):
+        data = np.ascontiguousarray(data)
+        n = max(0, len(data) - self.WIDTH + 1)
+        eight = np.ndarray((n,), "<u8", buffer=data, strides=(1,)) if n else np.empty(0, np.uint64)
+        self._sum(mix(eight ^ self.SALT))
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return super().of(start, end - (self.WIDTH - 1))
+
+
+def of_long(data: np.ndarray, least: int) -> Rolling:
+    """Hashes of stretches of ``least`` bytes or more."""
+    return Blended(data) if least >= Blended.WIDTH else Rolling(data)

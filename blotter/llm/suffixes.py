@@ -19,8 +19,8 @@ the same document further left). Only suffixes that can begin such a string are
    many contexts are split by salts; the distinct strings of each salt meet by hash (of 128 bits) afterwards.
 
    Not verified by bytes are these strings of salted anchors, and later occurrences of a context (step 2; exact copies, most
-   of what is removed): they are taken as equal to the first by a 64-bit hash of the context under the anchor's bucket and
-   40-bit key. A collision there would remove bytes that aren't repeated.
+   of what is removed): they are taken as equal to the first by a 64-bit hash of the context, over mixed numbers of eight
+   bytes each, under the anchor's bucket and 40-bit key. A collision there would remove bytes that aren't repeated.
 4. The removed bytes of a document are the union of its repeated windows.
 
 A retry must find the documents as before, as with a written table; a batch whose replies don't find it is an error.
@@ -48,7 +48,6 @@ from blotter.llm.common import materialize, partitions_for, ship
 PLACE_BITS = np.uint64(21)
 PLACES = np.uint64((1 << 21) - 1)
 SMALL = 32  # contexts of an anchor that are compared by the suffix array of their anchors
-SECOND = cells.Rolling.VALUES[::-1].copy()
 
 
 class Anchors:
@@ -86,7 +85,7 @@ class Anchors:
         first = np.flatnonzero(np.diff(place, prepend=-1) != 0)
         at, last = place[first], np.append(first[1:], n) - 1
         shape = (at - first).astype(np.uint64) * np.uint64(1 << 20) + (last - first).astype(np.uint64)
-        contexts = cells.mix(rolling.of(first, last + length) + cells.mix(shape)) | np.uint64(1)
+        contexts = cells.mix(cells.of_long(data, length).of(first, last + length) + cells.mix(shape)) | np.uint64(1)
         return at + base, first + base, last + base, keys[at], contexts
 
 
@@ -435,7 +434,7 @@ def sorted_windows(frame: pd.DataFrame, length: int, grams: int) -> list[pd.Data
     distinct = ~repeat & (frame["kind"].to_numpy()[row] == 2)
     if distinct.any():
         own = span_rows(frame, row[distinct], begin[distinct], begin[distinct] + length)
-        first, second = (cells.Rolling(data, v).of(start[distinct], start[distinct] + length) for v in (None, SECOND))
+        first, second = (h.of(start[distinct], start[distinct] + length) for h in (cells.Rolling(data), cells.of_long(data, length)))
         out.append(own.assign(kind=3, text=[x.tobytes() for x in np.stack([first, second], axis=1)]))
     return out
 

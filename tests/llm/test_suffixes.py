@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from blotter.llm import suffixes
+from blotter.llm import cells, suffixes
 from tests.conftest import SF_SMALL
 
 
@@ -149,3 +149,29 @@ def test_collisions_are_errors_not_removals(monkeypatch):
     monkeypatch.setattr(suffixes.cells.Rolling, "of", lambda self, a, b: np.zeros(len(a), np.uint64))
     with pytest.raises(RuntimeError):
         suffixes.compare(10, 3)(frame)
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_blended_hashes_tell_doubling_words_apart():
+    for n in (128, 1024, 4096, 1 << 15):
+        a = thue_morse(n).encode()
+        b = a.translate(bytes.maketrans(b"ab", b"ba"))
+        data = np.frombuffer(a + b, np.uint8)
+        blended = cells.Blended(data)
+        assert blended.of(np.array([0]), np.array([n])) != blended.of(np.array([n]), np.array([2 * n]))
+    data = np.frombuffer(b"0123456789" * 30, np.uint8)
+    blended = cells.Blended(data)
+    at = np.arange(0, 100)
+    assert np.array_equal(blended.of(at, at + 60), blended.of(at + 10, at + 70))
+    assert len(np.unique(blended.of(at, at + 60))) == 10
+    assert len(cells.Blended(data[:5]).prefix) == 1
+
+
+def test_texts_of_doubling_words(spark):
+    a = thue_morse(4096)
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, "x" * 50 + a), (2, "y" * 50 + b), (3, a[:1500] + "z" + b[:1500])]
+    assert run(spark, rows) == brute(rows)
