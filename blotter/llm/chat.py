@@ -46,9 +46,11 @@ class Template:
         if any(not m for m in marks) or len({t.open for t in self.roles.values()}) < len(self.roles):
             raise ValueError("each mark must be non-empty and each role's opening mark its own")
 
+    def first_characters(self) -> set[str]:
+        return {m[0] for m in self.controls} | {self.escape}
+
     def escaped(self, text: str) -> str:
-        first = "".join({m[0] for m in self.controls} | {self.escape})
-        return re.sub(f"[{re.escape(first)}]", lambda m: self.escape + m[0], text)
+        return re.sub(f"[{re.escape(''.join(self.first_characters()))}]", lambda m: self.escape + m[0], text)
 
     def segments(self, role: str, text: str) -> list[tuple[str, bool]]:
         turn = self.roles.get(role)
@@ -59,9 +61,9 @@ class Template:
 
     def tokens(self, formatted: str) -> Iterator[tuple[bool, str]]:
         """(is control, string): control strings and the unescaped text between them."""
-        pattern = re.compile(
-            f"({'|'.join(map(re.escape, self.controls))})|{re.escape(self.escape)}(.)|([^{re.escape(self.escape)}])", re.S
-        )
+        mark = re.escape(self.escape)
+        plain = re.escape("".join(self.first_characters()))  # a run of others holds neither a control string nor an escape
+        pattern = re.compile(f"({'|'.join(map(re.escape, self.controls))})|{mark}(.)|([^{plain}]+|[^{mark}])", re.S)
         text: list[str] = []
         for m in pattern.finditer(formatted):
             if m[1] is not None:

@@ -57,12 +57,11 @@ def places(key: Column, bits: int, level: int) -> list[Column]:
 def filter_bits(keys: DataFrame, bits: int, level: int) -> bytes:
     """The filter's 64-bit words, big-endian; bits are or-ed per word in the cluster, the words meet in one row."""
     at = keys.select(F.explode(F.array(*places(F.col("key"), bits, level))).alias("bit"))
-    words = at.groupBy(F.floor(F.col("bit") / 64).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("mask")
-    )
-    found = words.agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("found"))
-    word = lambda i: F.coalesce(F.col("found")[i.cast("long")], F.lit(0).cast("long"))
-    hexed = F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda i: F.lpad(F.hex(word(i)), 16, "0"))
+    masks = at.select(F.floor(F.col("bit") / 64).alias("word"), F.expr("shiftleft(1L, cast(bit % 64 AS int))").alias("mask"))
+    blank = keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("mask"))  # no gaps
+    words = masks.unionByName(blank).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    found = words.agg(F.array_sort(F.collect_list(F.struct("word", "mask"))).alias("found"))
+    hexed = F.transform("found", lambda x: F.lpad(F.hex(x["mask"]), 16, "0"))
     return bytes(found.select(F.unhex(F.array_join(hexed, ""))).first()[0])
 
 
