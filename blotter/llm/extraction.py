@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable
 from html import unescape
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -108,46 +110,65 @@ def tokens(s: str):
             i = at + 1
 
 
-def build_tree(s: str) -> Node:
-    root = Node("#root", {})
-    open_: list[Node] = [root]
+class OpenElements:
+    """The stack of open elements, and where on it each tag stands, so that no step looks through the stack."""
 
-    def close(tags: frozenset[str], until: frozenset[str]) -> None:
-        for k in range(len(open_) - 1, 0, -1):
-            if open_[k].tag in until:
-                return
-            if open_[k].tag in tags:
-                # further outward ones of the same set end too: a row ends its cells and itself
-                while k - 1 > 0 and open_[k - 1].tag in tags:
-                    k -= 1
-                del open_[k:]
-                return
+    def __init__(self, root: Node):
+        self.stack: list[Node] = [root]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, k: int) -> None:
+        for node in self.stack[k:]:
+            self.places[node.tag].pop()
+        del self.stack[k:]
+
+    def nearest(self, tags: Iterable[str]) -> int:
+        """The innermost open element with one of the tags; 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
+    def close(self, tags: frozenset[str], until: frozenset[str]) -> None:
+        k = self.nearest(tags)
+        if k > self.nearest(until):
+            # further outward ones of the same set end too: a row ends its cells and itself
+            while k > 1 and self.stack[k - 1].tag in tags:
+                k -= 1
+            self.cut(k)
+
+
+IN_TABLE = frozenset("td th tr thead tbody tfoot caption".split())
+TABLE, PARAGRAPH = frozenset(["table"]), frozenset(["p"])
+
+
+def build_tree(s: str) -> Node:
+    """In time linear in the page: deep nesting and broken marks cost no more than others."""
+    root = Node("#root", {})
+    open_, nodes = OpenElements(root), [root]
     for kind, what, attributes in tokens(s):
         if kind == "text":
-            if open_[-1].children and isinstance(open_[-1].children[-1], str):
-                open_[-1].children[-1] += what
-            else:
-                open_[-1].children.append(what)
+            open_.stack[-1].children.append(what)
         elif kind == "start":
             if what in CLOSES_P:
-                close(frozenset(["p"]), SCOPE)
+                open_.close(PARAGRAPH, SCOPE)
             if what in IMPLIED:
-                close(*IMPLIED[what])
+                open_.close(*IMPLIED[what])
             node = Node(what, attributes)
-            open_[-1].children.append(node)
+            nodes.append(node)
+            open_.stack[-1].children.append(node)
             if what not in VOID:
-                open_.append(node)
+                open_.push(node)
         elif what == "br":
-            open_[-1].children.append(Node("br", {}))
+            open_.stack[-1].children.append(Node("br", {}))
         else:
-            bound = frozenset(["table"]) if what in ("td", "th", "tr", "thead", "tbody", "tfoot", "caption") else frozenset()
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag == what:
-                    del open_[k:]
-                    break
-                if open_[k].tag in bound or (what not in SCOPE and not bound and open_[k].tag in SCOPE):
-                    break
+            k, bound = open_.nearest([what]), TABLE if what in IN_TABLE else frozenset() if what in SCOPE else SCOPE
+            if k > open_.nearest(bound):
+                open_.cut(k)
+    for node in nodes:  # neighbouring texts are one
+        runs = groupby(node.children, key=lambda c: isinstance(c, str))
+        node.children = [c for is_text, run in runs for c in (["".join(run)] if is_text else run)]
     return root
 
 

@@ -65,3 +65,13 @@ def test_nulls_repeats_extra_columns_and_empty_table(spark):
     out = sorted(map(tuple, extraction.extract(df).collect()), key=str)
     assert out == sorted([(None, "a"), (1, ""), (1, ""), (2, "")], key=str)
     assert extraction.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<div>" * 200_000, "<" * 400_000, "<p><button>" + "<div>" * 100_000, "<b>" * 100_000 + "</i>" * 100_000,
+                                  "<table>" + "<tr><td>" * 50_000, "x<" * 200_000])
+def test_hostile_pages_take_time_in_proportion(page):
+    import time
+
+    began = time.process_time()
+    extraction.build_tree(page)
+    assert time.process_time() - began < 15
