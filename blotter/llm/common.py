@@ -53,3 +53,11 @@ def hash_unit(*parts: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of MD5 over the parts; the same in any SQL engine that has MD5."""
     digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+def fresh(columns: list[str], stem: str) -> str:
+    """A name that is in none of the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem

@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import materialize
+from blotter.llm.common import fresh, materialize
 from blotter.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, measured
 
 #: Blocks and windows together take at most so many times the windows' measured bytes: a window has up to (n + 2) / 2
@@ -202,11 +202,3 @@ def decontaminate(docs: DataFrame, items: DataFrame, drop: str = "spans", n: int
     cleaned = F.array_join(F.transform(rest, lambda i: F.element_at(cut, i)), "")
     joined = keyed.join(side, F.col(key) == F.col(own), "left").withColumn(split, F.when(F.col(hits).isNotNull(), pieces))
     return joined.select(*[F.when(F.col(hits).isNull(), text).otherwise(cleaned).alias("text") if c == "text" else f"`{c}`" for c in docs.columns])
-
-
-def fresh(columns: list[str], stem: str) -> str:
-    """A name that is in none of the columns, whatever their case."""
-    taken = {c.lower() for c in columns}
-    while stem in taken:
-        stem += "_"
-    return stem

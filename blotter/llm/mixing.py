@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import hash_unit
+from blotter.llm.common import fresh, hash_unit
 
 
 def poisson_steps(rate: float) -> tuple[int, list[float]]:
@@ -55,21 +55,26 @@ def copies(draw: Column, rates: Mapping[str, float], default_rate: float) -> Col
     return out
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float], seed: int = 0, default_rate: float = 1.0, size: int | None = None) -> DataFrame:
-    """The documents' columns with copy (from 0) and shuffle_key, in shuffled order."""
+def mix(
+    docs: DataFrame, weights: Mapping[str, float], seed: int = 0, default_rate: float = 1.0, size: int | None = None,
+    copy: str = "copy", shuffle_key: str = "shuffle_key",
+) -> DataFrame:
+    """The documents' columns with ``copy`` (from 0) and ``shuffle_key``, in shuffled order.
+
+    Columns of the documents that have one of these two names are replaced.
+    """
     rates = repetition_rates(docs, weights, size)
-    held = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    held = [c for c in docs.columns if c not in (copy, shuffle_key)]
+    drawn, times = fresh(held, "draw"), fresh(held, "times")
     identity = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    draw = hash_unit(F.lit(seed), identity)
-    n = copies(F.col("__draw"), rates, default_rate)
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), identity, F.col("copy").cast("string")))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), identity, F.col(copy).cast("string")))
     return (
         docs.select(*held)
-        .withColumn("__draw", draw)
-        .withColumn("__n", n)
-        .filter("__n > 0")
-        .select(*held, F.explode(F.sequence(F.lit(0), F.col("__n") - 1)).alias("copy"))
-        .withColumn("shuffle_key", key)
-        .repartition("shuffle_key")
-        .sortWithinPartitions("shuffle_key")
+        .withColumn(drawn, hash_unit(F.lit(seed), identity))
+        .withColumn(times, copies(F.col(drawn), rates, default_rate))
+        .filter(F.col(times) > 0)
+        .select(*held, F.explode(F.sequence(F.lit(0), F.col(times) - 1)).alias(copy))
+        .withColumn(shuffle_key, key)
+        .repartition(shuffle_key)
+        .sortWithinPartitions(shuffle_key)
     )

@@ -256,9 +256,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **risk:
     ship(docs.sparkSession)
     measured = docs.select("doc_id", stratum, measures("text").alias("m")).select("doc_id", stratum, "m.*")
     chosen = select_cutoffs(measured, labels, stratum, **risk)
-    names = {n: f"__{n}" for n in MEASURES.names}
-    held = docs.withColumn("__m", measures("text"))
-    for n, own in names.items():
-        held = held.withColumn(own, F.col(f"__m.{n}"))
-    inner = held.select(F.struct(*docs.columns).alias("row"), F.col(stratum), *[F.col(o).alias(n) for n, o in names.items()])
-    return inner.filter(verdict(chosen, stratum)).select("row.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # so that no column's name can clash
+    held = docs.select(row, F.col(stratum), measures("text").alias("m")).select("row", stratum, "m.*")
+    return held.filter(verdict(chosen, stratum)).select("row.*")

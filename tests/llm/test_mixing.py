@@ -50,3 +50,14 @@ def test_odd_rows(spark):
     assert mixing.mix(d, {"a": 0.0, "b": 1.0}, default_rate=0.0).count() == 0
     assert mixing.mix(d.limit(0), {"a": 1.0}).count() == 0
     assert "Python" not in mixing.mix(d, {"a": 1.0})._jdf.queryExecution().toString()
+
+
+def test_clashing_names_stay(spark):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(i, "src1", "t", 7, "a", 0.5, 3, "k") for i in range(40)], "doc_id long, source string, text string, copy int, DRAW string, draw_ double, times int, shuffle_key string")
+    out = mixing.mix(df, {"src1": 1.0}, seed=1, copy="number", shuffle_key="place")
+    assert out.columns == [*df.columns, "number", "place"]
+    assert {(r.copy, r.DRAW, r.draw_, r.times, r.shuffle_key) for r in out.collect()} == {(7, "a", 0.5, 3, "k")}
+    staged = corpus_pipeline.mixing_stage(spark, df, "")
+    assert staged.columns == df.columns and {(r.copy, r.shuffle_key) for r in staged.collect()} == {(7, "k")}

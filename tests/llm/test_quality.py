@@ -140,3 +140,13 @@ def test_rules_that_only_fail_together_are_not_used_together(spark):
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     assert set(quality.select_cutoffs(measured, known, "lang", alpha=0.035)["en"]) in ({"symbols"}, {"dup_lines"})
     assert set(quality.select_cutoffs(measured, known, "lang", alpha=0.06)["en"]) == {"symbols", "dup_lines"}
+
+
+def test_keep_good_leaves_columns_of_any_name(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    df = spark.createDataFrame([(1, "en", good, 5, "m", "r"), (2, "en", "short", 6, "m", "r"), (3, None, good, None, None, None)],
+                               "doc_id long, lang string, text string, __m int, m string, row string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    out = quality.keep_good(df, labels)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "en", good, 5, "m", "r"), (3, None, good, None, None, None)]
