@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm import jaccard, mixing, packing, quality, suffixes
-from blotter.llm.common import table
+from blotter.llm.common import fresh, table
 from blotter.llm.queries import MIX_SEED, PACK_VOCABULARY, SOURCE_WEIGHTS
 from blotter.session import ensure_checkpoint_dir
 
@@ -38,8 +38,9 @@ def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeat or go so that the sources get their weights."""
-    return mixing.mix(docs, SOURCE_WEIGHTS, seed=MIX_SEED).select(*docs.columns)
+    """Documents repeat or go so that the sources get their weights; all columns stay, whatever their names."""
+    names = {"copy": fresh(docs.columns, "copy"), "shuffle_key": fresh(docs.columns, "shuffle_key")}
+    return mixing.mix(docs, SOURCE_WEIGHTS, seed=MIX_SEED, **names).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
