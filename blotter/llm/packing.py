@@ -7,11 +7,10 @@ number of documents. In each superstep the longest pieces left look up their suc
 as many as there are such gaps are placed, in the order of their ranks, which settles who gets which gap; the gaps shrink,
 and the rest looks again, opening new sequences where no gap is left. That is best-fit decreasing.
 
-Spark counts pieces per length, ranks them within their length (in two steps, over salts, so that no length meets in one
-task), and places each by its rank. Counts per length and salt reach the driver (at most ``capacity`` x 1024 rows), where the
-match itself is a loop over the counts per length; back go the first rank of each length and salt and the plan: runs of
-ranks with their first sequence and offset. Salts end at 1024, so beyond some 200 million pieces a frequent length's window
-tasks grow with the input.
+Spark counts pieces per length, ranks them within their length (in two steps, over salts whose number grows with the
+pieces, so that no length meets in one task), and places each by its rank. Counts per length reach the driver (at most
+``capacity``), where the match itself is a loop over them; back goes the plan: runs of ranks with their first sequence and
+offset.
 
 Null and empty texts are a single piece with the end id; every input row is packed, repeated rows and rows with a null
 doc_id included; extra columns are ignored; an empty table gives no rows.
@@ -162,25 +161,18 @@ def plan(counts: dict[int, int], capacity: int) -> dict[int, tuple[np.ndarray, n
     return out
 
 
-def ranked(cut_pieces: DataFrame, per_salt: int = 200_000, salts: tuple[int, int] = (64, 1024)) -> tuple[DataFrame, dict[int, int]]:
+def ranked(cut_pieces: DataFrame, per_salt: int = 200_000, least_salts: int = 64) -> tuple[DataFrame, dict[int, int]]:
     """The pieces with their rank (from 0) within their length, and the number of pieces per length."""
-    n = cut_pieces.count()
-    n_salts = min(max(salts[0], n // per_salt + 1), salts[1])
+    n_salts = max(least_salts, cut_pieces.count() // per_salt + 1)
     salted = cut_pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_salts)))
-    per_salt_counts = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # capacity x salts at most
-    before: dict[int, dict[int, int]] = {}
-    counts: dict[int, int] = {}
-    for r in sorted(per_salt_counts):
-        before.setdefault(r["length"], {})[r["salt"]] = counts.get(r["length"], 0)
-        counts[r["length"]] = counts.get(r["length"], 0) + r["n"]
-
-    @F.pandas_udf(T.LongType())
-    def base(lengths: pd.Series, salt: pd.Series) -> pd.Series:
-        return pd.Series([before[a][b] for a, b in zip(lengths, salt)], dtype="int64")
-
+    per_salt_counts = materialize(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")))
+    counts = {r["length"]: r["n"] for r in per_salt_counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity at most
+    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    bases = per_salt_counts.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    rank = salted.withColumn("rank", F.row_number().over(order) - 1 + base("length", "salt"))
-    return rank.drop("salt"), counts
+    within = salted.withColumn("within", F.row_number().over(order) - 1)
+    joined = within.join(bases, ["length", "salt"])  # the pieces already lie by length and salt
+    return joined.withColumn("rank", F.col("base") + F.col("within")).drop("salt", "base", "within"), counts
 
 
 def pack(docs: DataFrame, vocabulary: tuple[str, str, str], end_id: int = 2, capacity: int = 1024) -> DataFrame:
