@@ -2,21 +2,24 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.llm import quality
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MEDIUM, SF_SMALL
 
 
 def brute(text):
     words = re.findall(r"[^ \t-\r]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^ \t-\r]", x)]
     windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
-    covered = {j for i, w in enumerate(windows) if windows.count(w) > 1 for j in range(i, i + 8)}
+    seen = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if seen[w] > 1 for j in range(i, i + 8)}
     return (
         len(words), len("".join(words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines),
-        sum(x in lines[:i] for i, x in enumerate(lines)), len(covered),
+        len(lines) - len(set(lines)), len(covered),
     )
 
 
@@ -150,3 +153,87 @@ def test_keep_good_leaves_columns_of_any_name(spark):
     out = quality.keep_good(df, labels)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect())) == [(1, "en", good, 5, "m", "r"), (3, None, good, None, None, None)]
+
+
+def proven(k, n, alpha, error):
+    """k of n at probability alpha have a lower tail of at most ``error``, in whole numbers."""
+    from fractions import Fraction
+    from math import comb
+
+    p = Fraction(alpha).limit_denominator(10**6)
+    return k < n and sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) <= Fraction(error)
+
+
+def brute_kept(rows, labels, alpha, delta=0.05):
+    """kept of every row (doc_id, text, lang), document by document, by the operator's definition."""
+    rules, sizes = quality.RULES, [len(r.cutoffs) for r in quality.RULES]
+    told = {}
+    for doc_id, good, toxic in labels:
+        told.setdefault(doc_id, []).append((good, toxic))
+    measured = [(i, lang, dict(zip(quality.MEASURES.names, brute(text)))) for i, text, lang in rows]
+    fails = lambda m: m["n_words"] < 20 or 100 * m["n_repeat_words"] > 30 * m["n_words"]
+
+    def caught(m, r, at):
+        if at >= sizes[r] or not m[rules[r].denominator]:
+            return False
+        value = m[rules[r].numerator] / m[rules[r].denominator]
+        return value > rules[r].cutoffs[at] if rules[r].above else value < rules[r].cutoffs[at]
+
+    gone = lambda m, setting: any(caught(m, r, at) for r, at in enumerate(setting))
+    strata, paths = {}, {}
+    for i, lang, m in measured:
+        if i in told and not fails(m):
+            good, bad = strata.setdefault(lang, ([], []))
+            if all(g == 1 for g, _ in told[i]) and all(t == 0 for _, t in told[i]):
+                good.append(m)
+            elif any(g == 0 for g, _ in told[i]):
+                bad.append(m)
+    for lang, (good, bad) in strata.items():
+        paths[lang] = []
+        for lead in range(len(rules)):
+            reach = sum(caught(m, lead, 0) for m in bad)
+            if not reach or not good:
+                continue
+            at, settings = list(sizes), []
+            while True:
+                left = [m for m in bad if not gone(m, at)]
+                # each rule's next cutoff that catches more: the loosest that catches any of those left
+                step = [max((k for k in range(sizes[r]) if any(caught(m, r, k) for m in left)), default=None) for r in range(len(rules))]
+                gains = [0 if k is None else sum(caught(m, r, k) for m in left) for r, k in enumerate(step)]
+                if not any(gains):
+                    break
+                led = gains[lead] and sum(caught(m, lead, at[lead]) for m in bad) < quality.LEAD * reach
+                r = lead if led else gains.index(max(gains))
+                at[r] = step[r]
+                settings.append(tuple(at))
+            paths[lang].append(settings)
+    n_strata = sum(bool(p) for p in paths.values())
+    chosen = {}
+    for lang, (good, bad) in strata.items():
+        best = (0, 0, tuple(sizes))
+        for settings in paths[lang]:
+            for setting in settings:
+                k = sum(gone(m, setting) for m in good)
+                if not proven(k, len(good), alpha, delta / max(1, n_strata * len(paths[lang]))):
+                    break
+                best = max(best, (sum(gone(m, setting) for m in bad), -k, setting), key=lambda x: x[:2])
+        chosen[lang] = best[2]
+    return sorted((i, not fails(m) and not gone(m, chosen.get(lang, tuple(sizes)))) for i, lang, m in measured)
+
+
+@pytest.mark.parametrize("alpha", [0.02, 0.1, 0.3])
+def test_choice_of_cutoffs_equals_brute_force(spark, alpha):
+    docs, labels = corpus(spark, 1500)
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    want = brute_kept(rows, list(map(tuple, labels.collect())), alpha)
+    assert sorted((r["doc_id"], r["kept"]) for r in quality.quality_rules(docs, labels, alpha=alpha).collect()) == want
+
+
+def test_choice_of_cutoffs_on_a_generated_table(spark):
+    docs, labels = (spark.read.parquet(f"{SF_MEDIUM}/{t}.parquet") for t in ("documents", "labels"))
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    known = list(map(tuple, labels.select("doc_id", "quality", "toxic").collect()))
+    for alpha in (0.02, 0.2):
+        want = brute_kept(rows, known, alpha)
+        assert sorted((r["doc_id"], r["kept"]) for r in quality.quality_rules(docs, labels, alpha=alpha).collect()) == want
+    assert sum(not k for _, k in want) > sum(not k for _, k in brute_kept(rows, known, 0.02))
