@@ -19,16 +19,18 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Absolute imports: the file also runs as a spark-submit script with blotter on --py-files.
-from blotter.operators.joins import STRATEGIES
+from blotter.operators.joins import RESTRICTING
 from blotter.plans import descent, ingest, months, part_of_day, stations
-from blotter.sources.csv import read_incidents, read_income, read_revgeo, read_stations
-from blotter.sources.periods import union_all, union_periods
+from blotter.sources.csv import CORRUPT, read_incidents, read_incidents_with_rejects, read_income, read_revgeo, read_stations
+from blotter.sources.periods import union_periods
 
 
 def _incidents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return union_periods([read_incidents(spark, p) for p in paths])
+    """All files in one read, each by its own header."""
+    return union_periods([read_incidents(spark, paths)])
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -37,13 +39,16 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return ingest.profile_counts([read_incidents(spark, p) for p in args.incidents])
     if q == "schema":
         return ingest.incidents_schema_report([read_incidents(spark, p) for p in args.incidents])
+    if q == "rejects":
+        read = read_incidents_with_rejects(spark, args.incidents)
+        return read.filter((F.size("rejected_fields") > 0) | F.col(CORRUPT).isNotNull())
     inc = _incidents(spark, args.incidents)
     if q == "top-months":
         fn = months.top_months_per_year_sql if args.api == "sql" else months.top_months_per_year
         return fn(inc, args.k, args.date_column)
     if q == "part-of-day":
         fn = {"dataframe": part_of_day.street_by_part_of_day, "sql": part_of_day.street_by_part_of_day_sql,
-              "rdd": part_of_day.street_by_part_of_day_rdd}[args.api]
+              "rdd": part_of_day.street_by_part_of_day_rdd, "arrow": part_of_day.street_by_part_of_day_arrow}[args.api]
         return fn(inc, args.premise)
     if q == "descent":
         return descent.dim_restricted_counts(inc, read_revgeo(spark, args.revgeo), read_income(spark, args.income),
@@ -57,27 +62,30 @@ def build(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         fn = stations.responsible_by_year if args.by == "year" else stations.responsible_by_division
         return fn(inc, st, args.strategy)
     if q == "nearest":
+        # every coordinate, without the whole-row distinct: occupied cells come from two columns of the raw files
+        cover = read_incidents(spark, args.incidents, columns=["LAT", "LON"])
+        if args.by == "rank":
+            return stations.nearest_k_by_division(inc, st, args.k, cover)
         if args.by == "year":
             fn = stations.nearest_by_year_sql if args.api == "sql" else stations.nearest_by_year
         else:
             fn = stations.nearest_by_division_sql if args.api == "sql" else stations.nearest_by_division
-        # every coordinate, without the whole-row distinct: occupied cells come from two columns of the raw files
-        cover = union_all([read_incidents(spark, p, columns=["LAT", "LON"]) for p in args.incidents])
         return fn(inc, st, cover)
     raise ValueError(f"unknown question {q!r}")
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m blotter", description=__doc__.split("\n")[0])
-    p.add_argument("question", choices=["profile", "schema", "top-months", "part-of-day", "descent",
+    p.add_argument("question", choices=["profile", "schema", "rejects", "top-months", "part-of-day", "descent",
                                         "responsible", "nearest"])
     p.add_argument("--incidents", nargs="+", required=True, help="period files (CSV with a header)")
     p.add_argument("--income")
     p.add_argument("--revgeo")
     p.add_argument("--stations")
-    p.add_argument("--api", choices=["dataframe", "sql", "rdd"], default="dataframe")
-    p.add_argument("--strategy", choices=STRATEGIES, default="auto")
-    p.add_argument("--by", choices=["year", "division"], default="year")
+    p.add_argument("--api", choices=["dataframe", "sql", "rdd", "arrow"], default="dataframe")
+    p.add_argument("--strategy", choices=[*RESTRICTING, "salted"], default="auto",
+                   help="bloom is for descent, salted for responsible")
+    p.add_argument("--by", choices=["year", "division", "rank"], default="year", help="rank: the k nearest divisions")
     p.add_argument("--k", type=int, default=3)
     p.add_argument("--date-column", default=months.REPORTED, help="date whose months top-months counts")
     p.add_argument("--year", type=int, default=2015)

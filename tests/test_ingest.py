@@ -302,3 +302,19 @@ def test_rejected_fields_and_broken_lines(spark, files, tmp_path):
     with pytest.raises(ValueError):
         typed_with_rejects(raw, schema, rejects="k")
     assert typed_with_rejects(raw.filter(F.lit(False)), schema).count() == 0
+
+
+def test_command_line_newer_routes(spark, files):
+    from blotter.__main__ import main
+
+    inc = ["--incidents", files["a"], files["b"]]
+    assert [r.DR_NO for r in main(["rejects", *inc], spark).collect()] == [5]
+    pod = {r.part_of_day: r.crime_count for r in main(["part-of-day", *inc, "--api", "arrow"], spark).collect()}
+    assert pod == {"Night": 2, None: 2, "Morning": 1}
+    near = main(["nearest", *inc, "--stations", files["stations"], "--by", "rank", "--k", "2"], spark).collect()
+    assert sorted({r["rank"] for r in near}) == [1, 2] and sum(r.crime_count for r in near) == 8
+    dims = ["--income", files["income"], "--revgeo", files["revgeo"]]
+    got = {r.descent: r.victim_count for r in main(["descent", *inc, *dims, "--strategy", "bloom"], spark).collect()}
+    assert got == {"Hispanic/Latin/Mexican": 1, "White": 1, "Q": 1}
+    by = [main(["responsible", *inc, "--stations", files["stations"], "--strategy", x], spark).collect() for x in ("salted", "merge")]
+    assert by[0] == by[1]
