@@ -88,6 +88,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def geometric(base: np.uint64, n: int) -> np.ndarray:
+    """The first ``n`` powers modulo 2**64."""
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 class Rolling:
     """Prefix polynomial hashes modulo 2**64 over random byte values: the hash of any stretch in constant time.
 
@@ -98,29 +105,45 @@ class Rolling:
     BASE = np.uint64(0x9E3779B97F4A7C15)
     INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
     VALUES = np.random.default_rng(2024).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    _powers = np.ones(1, np.uint64)
-    _inverses = np.ones(1, np.uint64)
+    #: A power is the product of one below ``NEAR`` and one of a multiple of it, so a worker keeps no table as long as its data.
+    NEAR_BITS = 12
+    NEAR = 1 << NEAR_BITS
+    AT_ONCE = 16 * NEAR
+    _near: dict[np.uint64, np.ndarray] = {}
+    _far: dict[np.uint64, np.ndarray] = {}
 
     @classmethod
     def _grow(cls, n: int) -> None:
-        if len(cls._powers) <= n:
-            size = max(n + 1, 2 * len(cls._powers))
-            for name, base in (("_powers", cls.BASE), ("_inverses", cls.INVERSE)):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(cls, name, np.multiply.accumulate(steps))
+        for base in (cls.BASE, cls.INVERSE):
+            if base not in cls._near:
+                cls._near[base] = geometric(base, cls.NEAR)
+            if base not in cls._far or len(cls._far[base]) <= n >> cls.NEAR_BITS:
+                far = np.uint64(pow(int(base), cls.NEAR, 1 << 64))
+                cls._far[base] = geometric(far, max(64, 2 * (n >> cls.NEAR_BITS) + 2))
 
     def __init__(self, data: np.ndarray):
-        self._sum(self.VALUES[data])
-
-    def _sum(self, values: np.ndarray) -> None:
-        self._grow(len(values))
-        self.prefix = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self._powers[: len(values)], out=self.prefix[1:])
+        self._sum(len(data), lambda a, b: self.VALUES[data[a:b]])
+
+    def _sum(self, n: int, values) -> None:
+        """Prefix sums of ``n`` values, of which ``values(a, b)`` gives a stretch."""
+        self._grow(n)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        near, far = self._near[self.BASE], self._far[self.BASE]
+        for a in range(0, n, self.AT_ONCE):
+            b = min(a + self.AT_ONCE, n)
+            of_far = far[a >> self.NEAR_BITS : ((b - 1) >> self.NEAR_BITS) + 1]
+            powers = near[: b - a] if b <= self.NEAR else (of_far[:, None] * near).ravel()[: b - a]
+            np.cumsum(values(a, b) * powers, out=self.prefix[a + 1 : b + 1])
+            self.prefix[a + 1 : b + 1] += self.prefix[a]
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of [start, end), equal for equal bytes wherever they are."""
-        return (self.prefix[end] - self.prefix[start]) * self._inverses[start]
+        out = self.prefix[end] - self.prefix[start]
+        if len(self.prefix) <= self.NEAR:
+            return out * self._near[self.INVERSE][start]
+        out *= self._near[self.INVERSE][start & (self.NEAR - 1)]
+        out *= self._far[self.INVERSE][start >> self.NEAR_BITS]
+        return out
 
 
 class Blended(Rolling):
@@ -136,7 +159,7 @@ class Blended(Rolling):
         data = np.ascontiguousarray(data)
         n = max(0, len(data) - self.WIDTH + 1)
         eight = np.ndarray((n,), "<u8", buffer=data, strides=(1,)) if n else np.empty(0, np.uint64)
-        self._sum(mix(eight ^ self.SALT))
+        self._sum(n, lambda a, b: mix(eight[a:b] ^ self.SALT))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return super().of(start, end - (self.WIDTH - 1))

@@ -48,6 +48,7 @@ from blotter.llm.common import materialize, partitions_for, ship
 PLACE_BITS = np.uint64(21)
 PLACES = np.uint64((1 << 21) - 1)
 SMALL = 32  # contexts of an anchor that are compared by the suffix array of their anchors
+AT_ONCE = 1 << 20  # bytes of contexts that are sorted together (more only where one anchor has more), or compared byte by byte
 
 
 class Anchors:
@@ -195,6 +196,7 @@ def reply(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
             own = at + entry
             out.append((batch, key[0], cells.pack(entry.astype(np.uint64), [(told[own], 4), (earliest[own].view(np.uint64), 8)])))
         at += len(part[0])
+    cells.release()
     return pd.DataFrame(out, columns=["batch", "bucket", "data"])
 
 
@@ -339,33 +341,59 @@ def windows(frame: pd.DataFrame, length: int) -> tuple[np.ndarray, np.ndarray, n
     return data, base[row] + within, row, frame["before"].to_numpy()[row] - within
 
 
+def stretches(sizes: np.ndarray, most: int, may_cut: np.ndarray | None = None):
+    """Bounds of consecutive stretches of about ``most`` bytes, cut only before items that may be cut off."""
+    reach, at = np.cumsum(sizes), 0
+    cuts = np.arange(len(sizes)) if may_cut is None else np.flatnonzero(may_cut)
+    while at < len(sizes):
+        full = np.searchsorted(reach, reach[at] - sizes[at] + most, side="right")  # the first item beyond
+        k = np.searchsorted(cuts, full, side="right") - 1
+        if k < 0 or cuts[k] <= at:
+            k = np.searchsorted(cuts, at, side="right")
+        end = len(sizes) if full >= len(sizes) or k >= len(cuts) else int(cuts[k])
+        yield at, end
+        at = end
+
+
+def anchor_hashes(texts: pd.Series, before: np.ndarray, sizes: np.ndarray, grams: int) -> np.ndarray:
+    out = [np.empty(0, np.uint64)]
+    for a, b in stretches(sizes, AT_ONCE):
+        at = np.cumsum(sizes[a:b]) - sizes[a:b] + before[a:b]
+        out.append(cells.Rolling(np.frombuffer(b"".join(texts[a:b]), np.uint8)).of(at, at + grams))
+    return np.concatenate(out)
+
+
 def compare(length: int, grams: int):
-    """The contexts of one part: repeated windows (kind 0); of salted anchors also the distinct strings (kind 3)."""
+    """The contexts of one part: repeated windows (kind 0); of salted anchors also the distinct strings (kind 3).
+
+    Anchors don't meet, so a part goes in stretches of whole anchors: the hashes and sorted windows of one are held at a time.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "start", "batch", "place"], ignore_index=True)
         sizes = np.array([len(t) for t in frame["text"]], np.int64)
-        data = np.frombuffer(b"".join(frame["text"]), np.uint8)
-        at = np.cumsum(sizes) - sizes + frame["before"].to_numpy()
-        anchor = cells.Rolling(data).of(at, at + grams)
+        anchor = anchor_hashes(frame["text"], frame["before"].to_numpy(), sizes, grams)
         _, group, members = np.unique(anchor, return_inverse=True, return_counts=True)
         small = (members[group] <= SMALL) & (frame["kind"].to_numpy() == 1)
         out = []
-        if small.any():
-            out.append(extended(frame[small].reset_index(drop=True), group[small], length))
-        if not small.all():
-            out += sorted_windows(frame[~small].reset_index(drop=True), length, grams)
+        for few in (True, False):
+            rows = np.flatnonzero(small == few)
+            rows = rows[np.argsort(group[rows], kind="stable")]  # within an anchor, documents and places stay in order
+            for a, b in stretches(sizes[rows], AT_ONCE, np.diff(group[rows], prepend=-1) != 0):
+                own = frame.iloc[rows[a:b]].reset_index(drop=True)
+                out += [extended(own, group[rows[a:b]], length)] if few else sorted_windows(own, length, grams)
+        cells.release()
         return pd.concat(out, ignore_index=True)
 
     return run
 
 
-def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, at_once: int = 1 << 16) -> None:
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> None:
     """Verifies that the stretches found equal by hash are equal."""
-    for c in range(0, len(a), at_once):
-        n = sizes[c : c + at_once]
+    for c, d in stretches(sizes, AT_ONCE):
+        n = sizes[c:d]
         within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        if (data[np.repeat(a[c : c + at_once], n) + within] != data[np.repeat(b[c : c + at_once], n) + within]).any():
+        if (data[np.repeat(a[c:d], n) + within] != data[np.repeat(b[c:d], n) + within]).any():
             raise RuntimeError("two different strings have the same hash")
 
 
@@ -440,10 +468,9 @@ def sorted_windows(frame: pd.DataFrame, length: int, grams: int) -> list[pd.Data
 
 
 def span_rows(frame: pd.DataFrame, row: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pd.DataFrame:
-    own = frame.iloc[row]
+    batch, place, doc_id = (frame[name].to_numpy()[row] for name in ("batch", "place", "doc_id"))
     return pd.DataFrame({
-        "kind": 0, "batch": own["batch"].to_numpy(), "place": own["place"].to_numpy(), "doc_id": own["doc_id"].to_numpy(),
-        "start": start, "stop": stop, "part": 0, "text": None, "before": 0,
+        "kind": 0, "batch": batch, "place": place, "doc_id": doc_id, "start": start, "stop": stop, "part": 0, "text": None, "before": 0,
     })
 
 

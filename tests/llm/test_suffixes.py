@@ -175,3 +175,79 @@ def test_texts_of_doubling_words(spark):
     b = a.translate(str.maketrans("ab", "ba"))
     rows = [(1, "x" * 50 + a), (2, "y" * 50 + b), (3, a[:1500] + "z" + b[:1500])]
     assert run(spark, rows) == brute(rows)
+
+
+def contexts_of(anchors, each, seed):
+    """A part of the comparison: ``each`` contexts of every anchor, of which the outer bytes differ."""
+    import pandas as pd
+
+    r = np.random.default_rng(seed)
+    texts = []
+    for _ in range(anchors):
+        whole = r.integers(97, 123, 176).astype(np.uint8)
+        for left, right in zip(r.integers(0, 60, each), r.integers(116, 176, each)):
+            own = whole.copy()
+            own[:left], own[right:] = r.integers(97, 123, left), r.integers(97, 123, 176 - right)
+            texts.append(own.tobytes())
+    n = len(texts)
+    start = r.integers(0, 50, n)
+    return pd.DataFrame({"kind": 1, "batch": r.integers(0, 4, n), "place": range(n), "doc_id": r.permutation(n), "start": start, "stop": start + 176,
+                         "part": 0, "text": texts, "before": 76})
+
+
+def test_memory_of_a_part_does_not_follow_its_size():
+    """Held at once, the hashes of this part with their tables took 67 times the bytes of its contexts."""
+    import tracemalloc
+
+    frame = contexts_of(4000, 8, 11)
+    suffixes.compare(100, 24)(frame[:100])
+    tracemalloc.start()
+    suffixes.compare(100, 24)(frame)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 9 * len(frame) * 176
+
+
+def test_hashes_keep_no_table_as_long_as_the_data():
+    import tracemalloc
+
+    tracemalloc.start()
+    for kind in (cells.Rolling, cells.Blended):
+        kind(np.zeros(1 << 24, np.uint8))
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 1 << 21
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+@pytest.mark.parametrize("each", [5, 40])
+def test_stretches_of_whole_anchors_agree(monkeypatch, kind, each):
+    frame = contexts_of(30, each, 12).assign(kind=kind)
+    columns = ["kind", "batch", "place", "doc_id", "start", "stop"]
+
+    def spans(at_once):
+        monkeypatch.setattr(suffixes, "AT_ONCE", at_once)
+        return suffixes.compare(100, 24)(frame.sample(frac=1, random_state=at_once))[columns].sort_values(columns).to_numpy()
+
+    want = spans(1 << 30)
+    assert len(want) and all(np.array_equal(spans(n), want) for n in (1, 3000, 20000))
+
+
+def test_stretches_cut_between_groups_only():
+    sizes = np.array([5, 1, 1, 30, 2, 2, 9, 1])
+    assert list(suffixes.stretches(sizes, 10)) == [(0, 3), (3, 4), (4, 6), (6, 8)]
+    assert list(suffixes.stretches(sizes, 10, np.array([1, 0, 1, 0, 0, 1, 0, 1], bool))) == [(0, 2), (2, 5), (5, 7), (7, 8)]
+    assert list(suffixes.stretches(sizes[:0], 10)) == []
+    assert list(suffixes.stretches(sizes, 1)) == [(i, i + 1) for i in range(8)]
+
+
+@pytest.mark.parametrize("n", [4095, 4096, 4097, 1 << 16, (1 << 16) + 1, 300_000])
+def test_hashes_are_the_polynomial_at_any_place(n):
+    r = np.random.default_rng(n)
+    data = r.integers(0, 256, n).astype(np.uint8)
+    start = np.append(np.clip(np.array([0, 4090, 65530, n - 9]), 0, n - 9), r.integers(0, n - 8, 50))
+    base = int(cells.Rolling.BASE)
+    want = [sum(int(cells.Rolling.VALUES[data[a + k]]) * pow(base, k, 1 << 64) for k in range(9)) % (1 << 64) for a in start]
+    assert cells.Rolling(data).of(start, start + 9).tolist() == want
+    twice = cells.Blended(np.concatenate([data, data]))
+    assert np.array_equal(twice.of(start, start + 9), twice.of(start + n, start + n + 9))
