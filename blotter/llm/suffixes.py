@@ -10,15 +10,19 @@ the same document further left). Only suffixes that can begin such a string are
    first document, packed into one cell per hash bucket. The bucket replies with the anchors that occur again: all
    windows of a context but those of its first occurrence are repeats, and where an anchor has several contexts, their
    first occurrences are compared. What a batch holds many times it sends once.
-3. Suffix sort. The suffixes at an anchor in its contexts are sorted by a bottom-up mergesort. A comparison finds the
+3. Suffix sort. Windows at neighbouring offsets to their anchor share their inner bytes, their core. Contexts of an anchor
+   that have no core in common with another have no window in common either, and most that meet by a short anchor have
+   none: a large corpus repeats any anchor by chance. The others' suffixes at the anchor are sorted by a bottom-up
+   mergesort. A comparison finds the
    common extension by binary search over the prefix hashes, so it takes a logarithmic number of steps. Neighbours'
    common extensions give those of any two to the right, another binary search those to the left; together they are
-   the stretch that two contexts share. Where an anchor has more than ``SMALL`` contexts, all their windows are sorted
-   instead, and neighbours with a common extension of ``length`` bytes are one string. Then the bytes of the contexts
-   compared here are compared themselves: among them a collision of hashes is an error, never a removal. Anchors with very
-   many contexts are split by salts; the distinct strings of each salt meet by hash (of 128 bits) afterwards.
+   the stretch that two contexts share. Where an anchor has more than ``SMALL`` such contexts, their windows around common
+   cores are sorted instead, and neighbours with a common extension of ``length`` bytes are one string. Then the bytes of
+   the contexts compared here are compared themselves: among them a collision of hashes is an error, never a removal.
+   The contexts of anchors with very many meet by anchor and core instead, each in ``HALVES`` parts; cores with very many
+   are split by salts, of which the distinct strings meet by hash (of 128 bits) afterwards.
 
-   Not verified by bytes are these strings of salted anchors, and later occurrences of a context (step 2; exact copies, most
+   Not verified by bytes are these strings of salted cores, and later occurrences of a context (step 2; exact copies, most
    of what is removed): they are taken as equal to the first by a 64-bit hash of the context, over mixed numbers of eight
    bytes each, under the anchor's bucket and 40-bit key. A collision there would remove bytes that aren't repeated.
 4. The removed bytes of a document are the union of its repeated windows.
@@ -48,6 +52,7 @@ from blotter.llm.common import materialize, partitions_for, ship
 PLACE_BITS = np.uint64(21)
 PLACES = np.uint64((1 << 21) - 1)
 SMALL = 32  # contexts of an anchor that are compared by the suffix array of their anchors
+CORES, HALVES = 9, 2  # cores by which contexts of an anchor are told apart, and by which those of very frequent anchors meet
 AT_ONCE = 1 << 20  # bytes of contexts that are sorted together (more only where one anchor has more), or compared byte by byte
 
 
@@ -234,22 +239,58 @@ def settle(length: int, grams: int, buckets: int, parts: int, per_salt: int):
         })
         some = kept & (n_contexts[entry] > 1)
         rows, entry, documents = own[some], entry[some], documents[some]
-        salts = -(-n_contexts[entry] // per_salt)
-        salt = cells.mix(batch.doc_ids[documents].view(np.uint64)) % salts.astype(np.uint64)
-        salt = np.where(salts > 1, salt + np.uint64(1), np.uint64(0))
-        part = (cells.mix(batch.ids[rows] ^ cells.mix(salt + np.uint64(7))) % np.uint64(parts)).astype(np.int64)
+        part = (cells.mix(batch.ids[rows]) % np.uint64(parts)).astype(np.int64)
         unsure = pd.DataFrame({
-            "kind": np.where(salts > 1, 2, 1), "batch": key[0], "place": place[some], "doc_id": batch.doc_ids[documents],
+            "kind": 1, "batch": key[0], "place": place[some], "doc_id": batch.doc_ids[documents],
             "start": batch.first[rows], "stop": batch.last[rows] + length, "part": part,
             "text": [batch.data[d][a:b].tobytes() for d, a, b in zip(documents, batch.first[rows], batch.last[rows] + length)],
             "before": batch.at[rows] - batch.first[rows],
         })
+        many = n_contexts[entry] > per_salt
+        cut = by_core(unsure[many], batch.ids[rows[many]], length, grams)
         cells.release()
-        return pd.concat([sure, unsure], ignore_index=True)
+        return pd.concat([sure, unsure[~many], *cut], ignore_index=True)
 
     return run
 
 
+def offsets(length: int, grams: int, cores: int) -> list[tuple[int, int]]:
+    """Ranges (least, most) of a window's offset to its anchor. The windows of a range share ``length`` bytes less its width."""
+    step = -(-(length - grams + 1) // cores)
+    return [(a, min(a + step - 1, length - grams)) for a in range(0, length - grams + 1, step)]
+
+
+class Cores:
+    """Hashes of the bytes that a context's windows of neighbouring offsets share; equal windows have equal ones."""
+
+    def __init__(self, texts: np.ndarray, before: np.ndarray, sizes: np.ndarray, length: int):
+        self.at, self.length = np.cumsum(sizes) - sizes + before, length
+        self.least, self.most = before - (sizes - length), before
+        self.rolling = cells.Rolling(np.frombuffer(b"".join(texts), np.uint8))
+
+    def of(self, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(contexts that have windows in the range of offsets, their hashes)."""
+        own = np.flatnonzero((self.least <= most) & (self.most >= least))
+        at = self.at[own]
+        return own, self.rolling.of(at - least, at - most + self.length)
+
+
+def by_core(frame: pd.DataFrame, ids: np.ndarray, length: int, grams: int):
+    """Contexts cut to the windows of each range of offsets (kind 2), dealt by anchor and core."""
+    sizes, before = (frame["stop"] - frame["start"]).to_numpy(), frame["before"].to_numpy()
+    cores = Cores(frame["text"].to_numpy(), before, sizes, length)
+    for least, most in offsets(length, grams, HALVES):
+        own, hashes = cores.of(least, most)
+        left = np.maximum(cores.most[own] - most, 0)
+        right = np.maximum(least - cores.least[own], 0)
+        cut = frame.iloc[own]
+        yield cut.assign(
+            kind=2, start=cut["start"] + left, stop=cut["stop"] - right, before=cut["before"] - left,
+            part=cells.mix(hashes + cells.mix(ids[own] + np.uint64(least))).view(np.int64),
+            text=[t[a:b] for t, a, b in zip(cut["text"], left, sizes[own] - right)],
+        )
+
+
 def touching(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans (owner, start, stop) with those of an owner that touch or overlap made one."""
     order = np.lexsort((start, owner))
@@ -363,25 +404,43 @@ def anchor_hashes(texts: pd.Series, before: np.ndarray, sizes: np.ndarray, grams
     return np.concatenate(out)
 
 
+def common_cores(texts: np.ndarray, before: np.ndarray, sizes: np.ndarray, group: np.ndarray, length: int, grams: int) -> np.ndarray:
+    """Per range of offsets and context, whether another context of its anchor has the same core; others have no equal windows."""
+    ranges = offsets(length, grams, CORES)
+    out = np.zeros((len(ranges), len(sizes)), bool)
+    rows = np.argsort(group, kind="stable")
+    for a, b in stretches(sizes[rows], AT_ONCE, np.diff(group[rows], prepend=-1) != 0):
+        rest = rows[a:b]
+        cores, anchor = Cores(texts[rest], before[rest], sizes[rest], length), cells.mix(group[rest].astype(np.uint64))
+        for k, (least, most) in enumerate(ranges):
+            own, hashes = cores.of(least, most)
+            hashes += anchor[own]
+            order = np.argsort(hashes)
+            twin = np.flatnonzero(np.diff(hashes[order]) == 0)
+            out[k, rest[own[order[twin]]]] = out[k, rest[own[order[twin + 1]]]] = True
+    return out
+
+
 def compare(length: int, grams: int):
-    """The contexts of one part: repeated windows (kind 0); of salted anchors also the distinct strings (kind 3).
+    """The contexts of one part: repeated windows (kind 0); of salted cores also the distinct strings (kind 3).
 
     Anchors don't meet, so a part goes in stretches of whole anchors: the hashes and sorted windows of one are held at a time.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "start", "batch", "place"], ignore_index=True)
-        sizes = np.array([len(t) for t in frame["text"]], np.int64)
-        anchor = anchor_hashes(frame["text"], frame["before"].to_numpy(), sizes, grams)
-        _, group, members = np.unique(anchor, return_inverse=True, return_counts=True)
-        small = (members[group] <= SMALL) & (frame["kind"].to_numpy() == 1)
-        out = []
+        sizes, before = np.array([len(t) for t in frame["text"]], np.int64), frame["before"].to_numpy()
+        _, group = np.unique(anchor_hashes(frame["text"], before, sizes, grams), return_inverse=True)
+        common = common_cores(frame["text"].to_numpy(), before, sizes, group, length, grams)
+        salted, some = frame["kind"].to_numpy() == 2, common.any(axis=0)
+        small = (np.bincount(group, weights=some)[group] <= SMALL) & ~salted
+        out = [span_rows(frame, *np.empty((3, 0), np.int64))]
         for few in (True, False):
-            rows = np.flatnonzero(small == few)
+            rows = np.flatnonzero((some | salted) & (small == few))
             rows = rows[np.argsort(group[rows], kind="stable")]  # within an anchor, documents and places stay in order
             for a, b in stretches(sizes[rows], AT_ONCE, np.diff(group[rows], prepend=-1) != 0):
                 own = frame.iloc[rows[a:b]].reset_index(drop=True)
-                out += [extended(own, group[rows[a:b]], length)] if few else sorted_windows(own, length, grams)
+                out += [extended(own, group[rows[a:b]], length)] if few else sorted_windows(own, common[:, rows[a:b]], length, grams)
         cells.release()
         return pd.concat(out, ignore_index=True)
 
@@ -437,10 +496,16 @@ def extended(frame: pd.DataFrame, group: np.ndarray, length: int) -> pd.DataFram
     return span_rows(frame, *touching(row, start, stop))
 
 
-def sorted_windows(frame: pd.DataFrame, length: int, grams: int) -> list[pd.DataFrame]:
-    """Repeated windows among many contexts of an anchor: all their windows are sorted as suffixes."""
+def sorted_windows(frame: pd.DataFrame, common: np.ndarray, length: int, grams: int) -> list[pd.DataFrame]:
+    """Repeated windows among many contexts of an anchor: all their windows around common cores are sorted as suffixes."""
     data, start, row, offset = windows(frame, length)
     suffixes = Suffixes(data, length)
+    base, salted = np.cumsum([0, *map(len, frame["text"])])[:-1], frame["kind"].to_numpy() == 2
+    range_of = np.repeat(np.arange(len(common)), [b - a + 1 for a, b in offsets(length, grams, CORES)])
+    may = common[range_of[offset], row]
+    alone = np.flatnonzero(~may & salted[row])  # distinct as they are
+    alone_start, alone_row = start[alone], row[alone]
+    start, row, offset = start[may], row[may], offset[may]
     anchor = suffixes.rolling.of(start + offset, start + offset + grams)
     order = np.lexsort((np.arange(len(row)), offset, anchor))
     start, row, offset, anchor = start[order], row[order], offset[order], anchor[order]
@@ -454,15 +519,16 @@ def sorted_windows(frame: pd.DataFrame, length: int, grams: int) -> list[pd.Data
     twin = np.flatnonzero(same)
     same_bytes(data, start[twin], start[twin - 1], np.full(len(twin), length))
     head = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-    base = np.cumsum([0, *map(len, frame["text"])])[:-1]
     doc_id, begin = frame["doc_id"].to_numpy()[row], frame["start"].to_numpy()[row] + start - base[row]
     # within a string's suffixes the sort keeps the order of documents and places
     repeat = same & ((doc_id != doc_id[head]) | (begin != begin[head]))
     out = [span_rows(frame, *touching(row[repeat], begin[repeat], begin[repeat] + length))]
-    distinct = ~repeat & (frame["kind"].to_numpy()[row] == 2)
-    if distinct.any():
-        own = span_rows(frame, row[distinct], begin[distinct], begin[distinct] + length)
-        first, second = (h.of(start[distinct], start[distinct] + length) for h in (cells.Rolling(data), cells.of_long(data, length)))
+    distinct = ~repeat & salted[row]
+    start, row = np.append(start[distinct], alone_start), np.append(row[distinct], alone_row)
+    if len(row):
+        begin = frame["start"].to_numpy()[row] + start - base[row]
+        own = span_rows(frame, row, begin, begin + length)
+        first, second = (h.of(start, start + length) for h in (suffixes.rolling, cells.of_long(data, length)))
         out.append(own.assign(kind=3, text=[x.tobytes() for x in np.stack([first, second], axis=1)]))
     return out
 
@@ -487,7 +553,7 @@ def spans_of(docs: DataFrame, length: int, grams: int, per_salt: int) -> DataFra
         .cogroup(replies.groupBy("batch"))
         .applyInPandas(settle(length, grams, buckets, parts, per_salt), SPANS)
     )
-    compared = materialize(settled.filter("kind > 0").groupBy("part").applyInPandas(compare(length, grams), SPANS))
+    compared = materialize(contexts_by_part(settled, parts, per_salt).groupBy("part").applyInPandas(compare(length, grams), SPANS))
     first = F.min(F.struct("doc_id", "start")).alias("first")
     distinct = compared.filter("kind = 3")
     later = (
@@ -498,6 +564,20 @@ def spans_of(docs: DataFrame, length: int, grams: int, per_salt: int) -> DataFra
     return settled.filter("kind = 0").select(*SPAN_COLUMNS).unionByName(compared.filter("kind = 0").select(*SPAN_COLUMNS)).unionByName(later)
 
 
+def contexts_by_part(settled: DataFrame, parts: int, per_salt: int) -> DataFrame:
+    """All contexts that may share windows; those dealt by core (kind 2) go where no other has theirs, and are salted where very many do."""
+    many = settled.filter("kind = 2")
+    salts = F.ceil(F.count(F.lit(1)) / F.lit(per_salt)).alias("salts")
+    met = many.groupBy(F.col("part").alias("core")).agg(F.count(F.lit(1)).alias("n"), salts).filter("n > 1")
+    salt = F.pmod(F.xxhash64("doc_id"), F.col("salts"))
+    dealt = many.join(met, F.col("part") == F.col("core")).select(
+        *(F.col(c) for c in settled.columns if c not in ("kind", "part")),
+        F.when(F.col("salts") > 1, 2).otherwise(1).alias("kind"),
+        F.pmod(F.xxhash64("core", salt), F.lit(parts)).cast("long").alias("part"),
+    )
+    return settled.filter("kind = 1").unionByName(dealt)
+
+
 SPAN_COLUMNS = ("batch", "place", "start", "stop")
 
 

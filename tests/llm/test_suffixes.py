@@ -251,3 +251,50 @@ def test_hashes_are_the_polynomial_at_any_place(n):
     assert cells.Rolling(data).of(start, start + 9).tolist() == want
     twice = cells.Blended(np.concatenate([data, data]))
     assert np.array_equal(twice.of(start, start + 9), twice.of(start + n, start + n + 9))
+
+
+def met_by_chance(each, common, seed):
+    """Texts of random bytes, of which ``common`` bytes around the middle are the same."""
+    r = np.random.default_rng(seed)
+    texts = r.integers(97, 123, (each, 176)).astype(np.uint8)
+    texts[:, 88 - common // 2 : 88 + common - common // 2] = texts[0, 88 - common // 2 : 88 + common - common // 2]
+    return texts
+
+
+@pytest.mark.parametrize("each", [20, 200])
+def test_contexts_that_share_little_more_than_their_anchor_are_not_sorted(monkeypatch, each):
+    """All windows of an anchor's contexts were sorted, so time grew with the chance meetings of a larger corpus."""
+    import pandas as pd
+
+    sorted_, sort = [], suffixes.Suffixes.sort
+    monkeypatch.setattr(suffixes.Suffixes, "sort", lambda self, start, segment: sorted_.append(len(start)) or sort(self, start, segment))
+    texts = met_by_chance(each, 60, 21)
+    texts[-3:, 40:170] = texts[-3, 40:170]  # three of them share 130 bytes
+    frame = pd.DataFrame({"kind": 1, "batch": 0, "place": range(each), "doc_id": range(each), "start": 0, "stop": 176, "part": 0,
+                          "text": [t.tobytes() for t in texts], "before": 76})
+    out = suffixes.compare(100, 24)(frame)
+    assert sorted(map(tuple, out[["place", "start", "stop"]].to_numpy())) == [(each - 2, 40, 170), (each - 1, 40, 170)]
+    assert sum(sorted_) <= 3 * 77
+
+
+def test_frequent_anchors_meet_by_core(spark):
+    """Each window of an anchor with more than ``per_salt`` contexts became a row, whether or not its bytes came again."""
+    texts = met_by_chance(60, 60, 22)
+    texts[40:, 10:170] = texts[40, 10:170]
+    rows = [(i, t.tobytes().decode()) for i, t in enumerate(texts)]
+    assert run(spark, rows, per_salt=4) == run(spark, rows, per_salt=30) == brute(rows)
+    spans = [(2, 1, i, i, 0, 100, core, b"x" * 100, 50) for i, core in enumerate([5, 6, 6, *[7] * 9])]
+    found = suffixes.contexts_by_part(spark.createDataFrame(spans, suffixes.SPANS), 50, 3).collect()
+    assert sorted((r["place"], r["kind"]) for r in found) == [(1, 1), (2, 1), *((i, 2) for i in range(3, 12))]
+    assert len({r["part"] for r in found if r["place"] < 3}) == 1 and len({r["part"] for r in found if r["kind"] == 2}) > 1
+
+
+def test_cut_contexts_hold_each_window_once():
+    import pandas as pd
+
+    frame = contexts_of(5, 6, 23)
+    frame = pd.concat([frame, frame.assign(text=[t[30:150] for t in frame["text"]], start=frame["start"] + 30, stop=frame["start"] + 150, before=46)], ignore_index=True)
+    held = lambda f: sorted((d, s + i, t[i : i + 100], b - i) for d, s, t, b in zip(f["doc_id"], f["start"], f["text"], f["before"]) for i in range(len(t) - 99))
+    cut = pd.concat(suffixes.by_core(frame, np.arange(len(frame)).astype(np.uint64), 100, 24))
+    assert held(cut) == held(frame) and (cut["stop"] - cut["start"] == [len(t) for t in cut["text"]]).all()
+    assert len(cut) > len(frame)
