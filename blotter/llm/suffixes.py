@@ -53,6 +53,7 @@ PLACE_BITS = np.uint64(21)
 PLACES = np.uint64((1 << 21) - 1)
 SMALL = 32  # contexts of an anchor that are compared by the suffix array of their anchors
 CORES, HALVES = 9, 2  # cores by which contexts of an anchor are told apart, and by which those of very frequent anchors meet
+TOGETHER = 1 << 15  # bytes of short texts of which the anchors are found together
 AT_ONCE = 1 << 20  # bytes of contexts that are sorted together (more only where one anchor has more), or compared byte by byte
 
 
@@ -76,25 +77,64 @@ class Anchors:
             )
 
     @staticmethod
-    def of(data: np.ndarray, length: int, grams: int, base: int):
-        rolling, n = cells.Rolling(data), len(data) - length + 1
-        start = np.arange(len(data) - grams + 1)
-        keys = cells.mix(rolling.of(start, start + grams))
+    def of(data: np.ndarray, length: int, grams: int, base: int, windows: np.ndarray | None = None):
+        """Of all windows, or of those that start at ``windows``, of which no two from different texts overlap."""
+        keys = gram_keys(data, grams)
         # hash above, place below and reversed: one minimum finds the smallest hash, of equals the rightmost
-        low = (keys >> PLACE_BITS << PLACE_BITS) | (PLACES - start.astype(np.uint64))
+        low = keys >> PLACE_BITS
+        low <<= PLACE_BITS
+        low |= PLACES - np.arange(len(keys), dtype=np.uint64)
         width, reach = length - grams + 1, 1
         while reach < width:  # minima of runs of growing width
             step = min(reach, width - reach)
             low = np.minimum(low[:-step], low[step:])
             reach += step
-        place = (PLACES - (low & PLACES)).astype(np.int64)
-        first = np.flatnonzero(np.diff(place, prepend=-1) != 0)
-        at, last = place[first], np.append(first[1:], n) - 1
+        if windows is not None:
+            low = low[windows]
+        new = np.ones(len(low), bool)
+        np.not_equal(low[1:], low[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        at, last = (PLACES - (low[first] & PLACES)).astype(np.int64), np.append(first[1:], len(low)) - 1
+        if windows is not None:
+            first, last = windows[first], windows[last]
         shape = (at - first).astype(np.uint64) * np.uint64(1 << 20) + (last - first).astype(np.uint64)
         contexts = cells.mix(cells.of_long(data, length).of(first, last + length) + cells.mix(shape)) | np.uint64(1)
         return at + base, first + base, last + base, keys[at], contexts
 
 
+def gram_keys(data: np.ndarray, grams: int) -> np.ndarray:
+    """A mixed hash of every string of ``grams`` bytes, as of a polynomial over its numbers of eight bytes."""
+    n = len(data) - grams + 1
+    if grams < 8:
+        start = np.arange(n)
+        return cells.mix(cells.Rolling(data).of(start, start + grams))
+    eight = np.ndarray((len(data) - 7,), "<u8", buffer=np.ascontiguousarray(data), strides=(1,)).copy()
+    at = sorted({*range(0, grams - 7, 8), grams - 8})
+    powers = cells.geometric(cells.Rolling.BASE, len(at))
+    keys = eight[:n].copy()
+    for a, power in zip(at[1:], powers[1:]):
+        keys += eight[a : a + n] * power
+    return cells.mix(keys)
+
+
+def anchors_of(texts: list[np.ndarray], length: int, grams: int) -> list[np.ndarray]:
+    """The texts' numbers and their anchors' columns. Short texts go together, as a step's calls cost more than their bytes."""
+    sizes = np.array([len(d) for d in texts], np.int64)
+    found = [(*np.empty((4, 0), np.int64), *np.empty((2, 0), np.uint64))]
+    for a, b in stretches(sizes, TOGETHER):
+        if b - a == 1:
+            one = Anchors(texts[a], length, grams)
+            found.append((np.full(len(one.at), a), one.at, one.first, one.last, one.hashes, one.contexts))
+            continue
+        base, each = np.cumsum(sizes[a:b]) - sizes[a:b], np.maximum(sizes[a:b] - length + 1, 0)
+        windows = np.arange(each.sum()) + np.repeat(base - (np.cumsum(each) - each), each)
+        if len(windows):
+            at, first, last, hashes, contexts = Anchors.of(np.concatenate(texts[a:b]), length, grams, 0, windows)
+            own = np.searchsorted(base, at, side="right") - 1
+            found.append((own + a, at - base[own], first - base[own], last - base[own], hashes, contexts))
+    return [np.concatenate(c) for c in zip(*found)]
+
+
 def document_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode(), np.uint8)
 
@@ -107,12 +147,7 @@ class Batch:
         self.doc_ids = np.array([doc_ids[i] for i in order], np.int64)
         self.rows = order
         self.data = [document_bytes(texts[i]) for i in order]
-        found = [Anchors(d, length, grams) for d in self.data]
-        self.document = np.repeat(np.arange(len(found)), [len(a.at) for a in found])
-        self.at, self.first, self.last, hashes, self.contexts = (
-            np.concatenate([getattr(a, name) for a in found] or [np.empty(0, np.int64)]) for name in ("at", "first", "last", "hashes", "contexts")
-        )
-        hashes = hashes.astype(np.uint64)
+        self.document, self.at, self.first, self.last, hashes, self.contexts = anchors_of(self.data, length, grams)
         ids = (cells.bucket_of(hashes, buckets).astype(np.uint64) << np.uint64(cells.KEY_BITS)) | (hashes & cells.KEY_MASK)
         by_id = np.lexsort((self.contexts, ids))  # documents and places stay in order within an (anchor, context)
         self.ids = ids[by_id]

@@ -298,3 +298,24 @@ def test_cut_contexts_hold_each_window_once():
     cut = pd.concat(suffixes.by_core(frame, np.arange(len(frame)).astype(np.uint64), 100, 24))
     assert held(cut) == held(frame) and (cut["stop"] - cut["start"] == [len(t) for t in cut["text"]]).all()
     assert len(cut) > len(frame)
+
+
+@pytest.mark.parametrize("length, grams", [(100, 24), (100, 60), (100, 100), (12, 5), (12, 8)])
+def test_anchors_of_many_texts_are_those_of_each(length, grams):
+    r = np.random.default_rng(31)
+    sizes = r.choice([0, 1, length - 1, length, length + 1, 300, 70_000], 200, p=[0.1, 0.1, 0.1, 0.2, 0.2, 0.28, 0.02])
+    texts = [r.integers(97, 100, n).astype(np.uint8) for n in sizes]
+    found = suffixes.anchors_of(texts, length, grams)
+    each = [suffixes.Anchors(t, length, grams) for t in texts]
+    assert np.array_equal(found[0], np.repeat(np.arange(len(each)), [len(a.at) for a in each]))
+    for name, column in zip(("at", "first", "last", "hashes", "contexts"), found[1:]):
+        assert np.array_equal(column, np.concatenate([getattr(a, name) for a in each])), name
+    assert [len(c) for c in suffixes.anchors_of([], length, grams)] == [0] * 6
+
+
+def test_steps_on_short_texts_are_shared(monkeypatch):
+    """Each text went through all steps alone, so calls on short arrays took most of the time."""
+    calls, of = [], suffixes.Anchors.of
+    monkeypatch.setattr(suffixes.Anchors, "of", staticmethod(lambda data, *rest: calls.append(len(data)) or of(data, *rest)))
+    batch = suffixes.Batch(list(range(300)), ["".join(chr(97 + (i * k) % 26) for k in range(300)) for i in range(300)], 100, 24, 5)
+    assert len(batch.ids) and len(calls) <= 3
